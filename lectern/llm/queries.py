@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import url_rules
+from lectern.llm import bpe, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": bpe.op4_bpe,
     "op8_url_rules": url_rules.op8_url_rules,
 }
 
