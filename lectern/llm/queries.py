@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, url_rules
+from lectern.llm import bpe, media, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_media": media.op3_media,
     "op4_bpe": bpe.op4_bpe,
+    "op5_warc_fixity": warc.op5_warc_fixity,
     "op8_url_rules": url_rules.op8_url_rules,
 }
 
 SQL: dict[str, str] = {
+    "op5_warc_fixity": warc.SQL,
     "op8_url_rules": url_rules.SQL,
 }
