@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, media, toxicity, url_rules, warc
+from lectern.llm import bpe, media, quality, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_media": media.op3_media,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_fixity": warc.op5_warc_fixity,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_url_rules": url_rules.op8_url_rules,
+    "op9_quality": quality.op9_quality,
 }
 
 SQL: dict[str, str] = {

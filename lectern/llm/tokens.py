@@ -37,18 +37,37 @@ class TokenBatch:
         return np.bincount(self.doc, weights=per_token, minlength=len(self))
 
 
-class Memo:
-    """A function of a token that returns a number, with what it has returned before; forgets all beyond a bound."""
-
-    def __init__(self, function, dtype, bound: int = 400_000):
-        self.function, self.dtype, self.bound = function, dtype, bound
-        self.known: dict[str, object] = {}
-
-    def __call__(self, names: list[str]) -> np.ndarray:
-        if len(self.known) > self.bound:
-            self.known = {}
-        known, function = self.known, self.function
-        for x in names:
-            if x not in known:
-                known[x] = function(x)
-        return np.array([known[x] for x in names], self.dtype)
+#: What a code point is: 0 a mark, 1 a letter without case or a small one, 2 a capital, 3 another number.
+_CLASSES: list[np.ndarray] = []
+
+
+def classes() -> np.ndarray:
+    """The class of every code point; made once in each process."""
+    if not _CLASSES:
+        table = np.zeros(0x110000, np.uint8)
+        for i in range(0x110000):
+            c = chr(i)
+            if c.isalnum():
+                table[i] = 3 if not c.isalpha() else 2 if c.isupper() else 1
+        _CLASSES.append(table)
+    return _CLASSES[0]
+
+
+def code_points(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all names, one after another, and where each name begins (one entry more than names)."""
+    lengths = np.fromiter(map(len, names), np.int64, len(names))
+    return np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64), np.append(0, np.cumsum(lengths))
+
+
+def run_hash(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 32-bit polynomial hash of each run of values."""
+    n = np.diff(starts)
+    place = np.arange(len(values)) - np.repeat(starts[:-1], n)
+    powers = np.empty(int(n.max(initial=0)) + 1, np.uint64)
+    powers[0] = 1
+    for i in range(1, len(powers)):
+        powers[i] = int(powers[i - 1]) * 1_000_003 % (1 << 32)
+    mixed = (values.astype(np.uint64) + np.uint64(1)) * powers[place] & np.uint64(0xFFFFFFFF)
+    totals = np.append(np.uint64(0), np.cumsum(mixed, dtype=np.uint64))
+    h = (totals[starts[1:]] - totals[starts[:-1]]) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(32)).astype(np.int64)
