@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, media, quality, toxicity, url_rules, warc
+from lectern.llm import bpe, media, mixing, quality, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": mixing.op2_mixing,
     "op3_media": media.op3_media,
     "op4_bpe": bpe.op4_bpe,
     "op5_warc_fixity": warc.op5_warc_fixity,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_mixing": mixing.SQL,
     "op5_warc_fixity": warc.SQL,
     "op8_url_rules": url_rules.SQL,
 }
