@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, media, mixing, quality, toxicity, url_rules, warc
+from lectern.llm import ann, bpe, media, minhash, mixing, quality, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": ann.op1_ann,
     "op2_mixing": mixing.op2_mixing,
     "op3_media": media.op3_media,
     "op4_bpe": bpe.op4_bpe,
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_quality": quality.op9_quality,
+    "op10_minhash": minhash.op10_minhash,
 }
 
 SQL: dict[str, str] = {
