@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import ann, bpe, media, minhash, mixing, quality, toxicity, url_rules, warc
+from lectern.llm import ann, bpe, media, minhash, mixing, quality, suffixes, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": bpe.op4_bpe,
     "op5_warc_fixity": warc.op5_warc_fixity,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_suffixes": suffixes.op7_suffixes,
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_quality": quality.op9_quality,
     "op10_minhash": minhash.op10_minhash,
