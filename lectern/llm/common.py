@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,23 @@ def checkpoint(df: DataFrame) -> DataFrame:
     The session's ``spark.checkpoint.dir`` is used; a folder of our own is set only where
     the session has none, as in local tests.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which driver and executors share."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as Parquet to a new place in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -123,6 +123,15 @@ def mix(df: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = MAX
     return taken.select("key", "doc_id", "text_md5", "domain", "lang", "source", "n_tokens", "epoch", "copies", F.col("upto").alias("leaf_tokens"))
 
 
+def mixed_rows(df: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The rows of df that the mixture has, with all their columns, once for each epoch that takes them."""
+    taken = mix(df, budget_share, max_epochs, seed).select("doc_id", "text_md5", "lang", "source").groupBy("doc_id", "text_md5", "lang", "source").agg(F.count(F.lit(1)).alias("epochs"))
+    keyed = df.withColumn("text_md5", F.md5(F.coalesce("text", F.lit(""))))
+    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("doc_id", "text_md5", "lang", "source")]
+    joined = keyed.alias("d").join(taken.alias("t"), on).select(*(F.col(f"d.{c}") for c in df.columns), F.col("t.epochs").alias("_epochs"))
+    return joined.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int")))).select(*df.columns)
+
+
 def mixing_sql(documents: str = "documents", budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> str:
     """The same mixture for DuckDB, as common table expressions ending in ``mixed``."""
     weight = lambda col, weights: f"CASE {' '.join(f"WHEN {col} = '{k}' THEN {v!r}" for k, v in weights.items())} ELSE {OTHER_WEIGHT!r} END::DOUBLE"

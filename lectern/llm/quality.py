@@ -231,6 +231,11 @@ def score_quality(df: DataFrame, model: QualityModel, text_col: str = "text") ->
     return df.mapInArrow(run, schema)
 
 
+def good_rows(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of df that a classifier fitted on df itself keeps, with their columns."""
+    return score_quality(df, fit_quality(df, text_col), text_col).where("keep = 1").select(*df.columns)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_quality(documents, fit_quality(documents)).select("doc_id", "quality", "keep", "votes")
