@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import checkpoint, read_table
+from lectern.llm.common import checkpoint, read_table, tidy
 
 #: Neighbours of a node in the graph, rounds of NN-descent, and projection orders that the first graph comes from.
 NEIGHBOURS, ROUNDS, ORDERS = 20, 4, 3
@@ -79,7 +79,7 @@ def with_codes(nodes: DataFrame, orders: int = ORDERS, seed: int = 7) -> DataFra
             codes = ordered @ (1 << np.arange(23, -1, -1))
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in _quantised(v)], pa.binary()), pa.array(list(codes.astype(np.int64)), pa.list_(pa.int64()))], names=["node", "packed", "codes"])
 
-    return nodes.select("node", "vector").mapInArrow(run, "node long, packed binary, codes array<long>")
+    return nodes.select("node", "vector").mapInArrow(tidy(run), "node long, packed binary, codes array<long>")
 
 
 def _top_edges(u: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +120,7 @@ def block_edges(coded: DataFrame, order: int, k: int, block: int = BLOCK) -> Dat
                 yield _edge_batch(np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel().astype(float))
 
     code = F.col("codes")[order]
-    return coded.select("node", "packed", code.alias("code")).repartitionByRange("code", "node").sortWithinPartitions("code", "node").drop("code").mapInArrow(run, _EDGES)
+    return coded.select("node", "packed", code.alias("code")).repartitionByRange("code", "node").sortWithinPartitions("code", "node").drop("code").mapInArrow(tidy(run), _EDGES)
 
 
 def best_edges(edges: DataFrame, k: int) -> DataFrame:
@@ -156,7 +156,7 @@ def descend(edges: DataFrame, coded: DataFrame, k: int) -> DataFrame:
                 ss.append(s[i, j])
             yield _edge_batch(*_top_edges(np.concatenate(us), np.concatenate(vs), np.concatenate(ss).astype(float), k))
 
-    found = gathered.mapInArrow(run, _EDGES)
+    found = gathered.mapInArrow(tidy(run), _EDGES)
     return best_edges(edges.unionByName(found), k)
 
 
@@ -187,7 +187,7 @@ def _scored(pairs: DataFrame) -> DataFrame:
             s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(s)], names=["query_id", "node", "score"])
 
-    return pairs.select("query_id", "node", "q", "vector").mapInArrow(run, "query_id long, node long, score double")
+    return pairs.select("query_id", "node", "q", "vector").mapInArrow(tidy(run), "query_id long, node long, score double")
 
 
 def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
@@ -211,7 +211,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
 
     vectors = queries.select("query_id", "q")
     home = queries.where(F.col("home").isNotNull()).select("query_id", F.col("home").alias("node"))
-    start = vectors.mapInArrow(nearest_seeds, "query_id long, node long").unionByName(home).distinct()
+    start = vectors.mapInArrow(tidy(nearest_seeds), "query_id long, node long").unionByName(home).distinct()
     score = lambda pairs: _scored(pairs.join(nodes.select("node", "vector"), "node").join(vectors, "query_id"))
     links = checkpoint(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(best_reverse(edges), ["u", "v"], "left_semi")).distinct())
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "node")

@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
-from lectern.llm.common import bound_batches, read_table
+from lectern.llm.common import bound_batches, read_table, tidy
 
 #: How byte-level BPE cuts text into words (fixed by the vocabulary's format).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Pieces whose ids a task remembers; beyond that it starts afresh. This bounds memory only, results don't depend on it.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 _NO_RANK = np.int64(1 << 40)
 
 
@@ -281,7 +281,7 @@ def bpe_encode(df: DataFrame, vocab_path: str, text_col: str = "text", ids_col:
                 columns = [*batch.columns, pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def bpe_decode(df: DataFrame, vocab_path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
@@ -304,7 +304,7 @@ def bpe_decode(df: DataFrame, vocab_path: str, ids_col: str = "token_ids", text_
                     texts.append(bytes(memoryview(data)[edges[0] : edges[len(ids)]]).decode("utf-8", "replace") if len(ids) else "")
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def unpack_ids(packed: F.Column) -> F.Column:

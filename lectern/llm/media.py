@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from lectern.llm.bpe import slices
-from lectern.llm.common import bound_batches, read_table
+from lectern.llm.common import bound_batches, read_table, tidy
 
 #: Width in samples of the pictures that carry a payload.
 CARRIER_WIDTH = 64
@@ -181,7 +181,7 @@ def media_tiles(df: DataFrame, media_col: str = "media") -> DataFrame:
                 new_columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.string()))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new_columns], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def text_media(df: DataFrame, text_col: str = "text", form: str = "pgm") -> DataFrame:
@@ -206,7 +206,7 @@ def text_media(df: DataFrame, text_col: str = "text", form: str = "pgm") -> Data
                 columns = [batch.column(f.name) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, pc.binary_length(raw).cast(pa.int64()), pa.array(media, pa.binary())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def payload_digests(df: DataFrame, media_col: str = "media") -> DataFrame:
@@ -228,7 +228,7 @@ def payload_digests(df: DataFrame, media_col: str = "media") -> DataFrame:
                 new_columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))]
                 yield pa.RecordBatch.from_arrays([*columns, *new_columns], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:

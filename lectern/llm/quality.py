@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from lectern.llm.bpe import slices
-from lectern.llm.common import bound_batches, read_table
+from lectern.llm.common import TOKEN_BYTES, bound_batches, read_table, tidy
 from lectern.llm.tokens import TokenBatch, classes, code_points, run_hash
 
 #: Hashed features, and the most documents that the scorer is fitted on (those with the least MD5 of their text).
@@ -175,12 +175,12 @@ def weak_votes(df: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, TOKEN_BYTES):
                 tokens, shares, _ = reader.read(batch.column(text_col))
                 letters = np.array(["-", "0", "+"])[vote(shares, tokens.counts) + 1]
                 yield pa.RecordBatch.from_arrays([pa.array(["".join(r) for r in letters], pa.string())], names=["votes"])
 
-    return df.select(text_col).mapInArrow(run, "votes string")
+    return df.select(text_col).mapInArrow(tidy(run), "votes string")
 
 
 def fit_quality(df: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> QualityModel:
@@ -194,7 +194,7 @@ def fit_quality(df: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, TOKEN_BYTES):
                 tokens, shares, buckets = reader.read(batch.column(text_col))
                 x = _features(tokens, shares, buckets).astype(np.float16)
                 y = labels.posterior(vote(shares, tokens.counts))
@@ -202,7 +202,7 @@ def fit_quality(df: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -
 
     # Copies of one text at the limit could be many, so the sample is of distinct texts.
     sample = df.select(text_col).where(order <= F.lit(chosen)).distinct().limit(rows) if chosen is not None else df.select(text_col).limit(0)
-    got = sample.mapInArrow(run, StructType([StructField("x", BinaryType()), StructField("y", DoubleType())])).collect()
+    got = sample.mapInArrow(tidy(run), StructType([StructField("x", BinaryType()), StructField("y", DoubleType())])).collect()
     x = np.frombuffer(b"".join(r["x"] for r in got), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
     return QualityModel(labels, *fit_scorer(x, np.array([r["y"] for r in got], float)))
 
@@ -220,7 +220,7 @@ def score_quality(df: DataFrame, model: QualityModel, text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, fitted = Reader(), shared.value
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, TOKEN_BYTES):
                 tokens, shares, buckets = reader.read(batch.column(text_col))
                 logit = _features(tokens, shares, buckets) @ fitted.weights + fitted.bias
                 score = 1 / (1 + np.exp(-np.clip(logit, -40, 40).astype(np.float64)))
@@ -228,7 +228,7 @@ def score_quality(df: DataFrame, model: QualityModel, text_col: str = "text") ->
                 new = [pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(["".join(r) for r in letters], pa.string())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def good_rows(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from lectern.llm.bpe import slices
-from lectern.llm.common import bound_batches, checkpoint, read_table
+from lectern.llm.common import TOKEN_BYTES, bound_batches, checkpoint, read_table, tidy
 from lectern.llm.tokens import TokenBatch
 
 #: At most so many labelled rows are fitted on, those with the least MD5 of their id.
@@ -318,11 +318,11 @@ def with_features(df: DataFrame, words: Iterable[str], stems: Iterable[str], tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, TOKEN_BYTES):
                 x = scorer.features(batch.column(text_col))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(x), pa.list_(pa.float64()))], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityModel:
@@ -345,12 +345,12 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text_col: str = "text")
         automaton, fitted = shared.value
         scorer = Scorer(automaton)
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, TOKEN_BYTES):
                 score = fitted.score(scorer.features(batch.column(text_col)))
                 columns = [batch.column(n) for n in batch.schema.names if n != text_col]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
