@@ -1,14 +1,392 @@
-"""Every registered query with its SQL."""
+"""Every query of the engine's own operators over the driver tables, with its SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lectern.functions.text import letters_jaccard, occurrences, stable_key
+from lectern.operators import gates, graph, intervals, ledger, recon, repeats, search, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_SEGMENTS = r"""seg AS (
+  SELECT doc_id, unnest(parts) AS segment, unnest(range(len(parts))) AS seq
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?;。！？；\n]*(?:[.!?;。！？；]+|\n)|[^.!?;。！？；\n]+') AS parts FROM documents)
+), span AS (
+  SELECT doc_id, seq, segment, CAST(coalesce(sum(length(segment)) OVER w, 0) AS INTEGER) AS start_offset,
+         CAST(coalesce(sum(length(segment)) OVER w, 0) + length(segment) AS INTEGER) AS end_offset
+  FROM seg WINDOW w AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)"""
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    return segment_coverage(spark, sf_dir)
+
+
+@query(rf"""WITH {_SEGMENTS}
+SELECT d.doc_id, CAST(count(s.seq) AS BIGINT) AS n_spans, CAST(coalesce(sum(s.end_offset - s.start_offset), 0) AS BIGINT) AS covered, 0 AS widest_gap, 0 AS widest_overlap,
+       coalesce(max(s.end_offset), 0) = max(coalesce(length(d.text), 0)) AS contiguous
+FROM documents d LEFT JOIN span s ON s.doc_id = d.doc_id GROUP BY d.doc_id""")
+def segment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lossless segmentation with offsets, and a verdict that the spans cover each text."""
+    docs = table(spark, sf_dir, "documents")
+    return spans.coverage(docs, spans.segment_spans(docs))
+
+
+@query(rf"""WITH {_SEGMENTS}
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, start_offset, end_offset, 'd' || lpad(CAST(doc_id AS VARCHAR), 7, '0') || '_s' || lpad(CAST(seq + 1 AS VARCHAR), 4, '0') AS span_id, sha256(segment) AS quote_sha256 FROM span""")
+def span_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.with_span_ids(spans.segment_spans(table(spark, sf_dir, "documents"))).drop("segment")
+
+
+@query("SELECT NULL::BIGINT AS doc_id, NULL::VARCHAR AS reason WHERE false")
+def strict_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans that differ from what their offsets say: none."""
+    docs = table(spark, sf_dir, "documents")
+    return spans.slices_hold(docs, spans.segment_spans(docs)).select("doc_id", "reason")
+
+
+_PARTS = "SELECT doc_id, trim(part) AS part, CAST(count(*) AS BIGINT) AS n, CAST(min(index) AS INTEGER) AS first_index FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part, unnest(range(len(string_split(text, chr(10))))) AS index FROM documents) WHERE length(trim(part)) BETWEEN {} AND {} GROUP BY doc_id, trim(part) HAVING count(*) >= {}"
+
+
+@query(_PARTS.format(2, 40, 3))
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@query(_PARTS.format(8, 1 << 30, 2))
+def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query("SELECT sha256(text) AS sha256, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def exact_duplicate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query(r"""WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents
+), m AS (
+  SELECT doc_id, line, len(regexp_extract_all(content, '[|+*=#$%&_\-]')) >= 3 AS drawn FROM l
+), g AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) - row_number() OVER (PARTITION BY doc_id, drawn ORDER BY line) AS island FROM m
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(min(line) AS INTEGER) AS first, CAST(max(line) AS INTEGER) AS last FROM g WHERE drawn GROUP BY doc_id, island HAVING count(*) >= 2""")
+def diagram_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.diagram_runs(table(spark, sf_dir, "documents"))
+
+
+@query("SELECT b.item_id, d.doc_id, CAST(strpos(d.text, b.text) - 1 AS INTEGER) AS start, CAST(strpos(d.text, b.text) - 1 + length(b.text) AS INTEGER) AS stop FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE len(string_split(b.text, ' ')) >= 5 AND (length(d.text) - length(replace(d.text, b.text, ''))) / length(b.text) = 1")
+def quote_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark texts of five words or more that stand exactly once in a document, with absolute offsets.
+
+    Items and documents meet at the item's second to fourth word, which are whole words in any text that holds it, so no document is tried against all items.
+    """
+    three = lambda words, i: F.concat_ws(" ", F.slice(words, i, 3))
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn("words", F.split("text", " "))
+    items = table(spark, sf_dir, "benchmark").withColumn("words", F.split("text", " ")).where(F.size("words") >= 5).select("item_id", F.col("text").alias("quote"), three(F.col("words"), F.lit(2)).alias("head"))
+    grams = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1))), lambda i: three(F.col("words"), i)))).alias("head"))
+    pairs = grams.join(items, "head").select("item_id", "doc_id", "quote").join(docs.select("doc_id", F.col("text").alias("span_text")), "doc_id")
+    none = F.lit(None).cast("int")
+    return spans.locate_quotes(pairs.withColumns({"span_start": F.lit(0), "rel_start": none, "rel_end": none})).where("reason IS NULL").select("item_id", "doc_id", "start", "stop")
+
+
+@query("SELECT conv_id, turn, CAST(coalesce(sum(length(text) + 1) OVER w, 0) AS BIGINT) AS start_offset, CAST(coalesce(sum(length(text) + 1) OVER w, 0) + length(text) AS BIGINT) AS end_offset FROM (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations) WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+def running_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.running_offsets(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text").select("conv_id", "turn", "start_offset", "end_offset")
+
+
+@query("SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS line_index, CAST((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS BIGINT) AS batch_in_group FROM conversations")
+def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.batch_numbers(table(spark, sf_dir, "conversations"), "conv_id", "turn", 3).select("conv_id", "turn", "line_index", "batch_in_group")
+
+
+@query("SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id")
+def revision_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.latest(table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"])
+
+
+@query("SELECT user_id, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = (SELECT min(event_type) FROM events) GROUP BY user_id")
+def first_sealed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    least = events.agg(F.min("event_type").alias("event_type"))
+    return ledger.earliest(events.join(F.broadcast(least), "event_type").drop("event_type"), ["user_id"], ["ts", "event_id"])
+
+
+@query("SELECT o_orderpriority, CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS F, CAST(count(*) FILTER (o_orderstatus = 'O') AS BIGINT) AS O, CAST(count(*) FILTER (o_orderstatus = 'P') AS BIGINT) AS P FROM orders GROUP BY 1")
+def status_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.status_pivot(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+
+
+@query("SELECT o_custkey, CASE WHEN bool_and(o_orderstatus = 'F') THEN 'F' WHEN bool_or(o_orderstatus = 'P') THEN 'P' ELSE arg_max(o_orderstatus, (o_orderdate, o_orderkey)) END AS run_status, CAST(count(*) AS BIGINT) AS n_steps FROM orders GROUP BY 1")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = table(spark, sf_dir, "orders").withColumn("seq", F.struct("o_orderdate", "o_orderkey"))
+    return ledger.run_status(steps, "o_custkey", "o_orderstatus", "seq", "F", "P")
+
+
+@query("SELECT o_custkey, min(o_orderdate) AS started, CASE WHEN bool_and(o_orderstatus IN ('F', 'P')) THEN max(o_orderdate) END AS finished FROM orders GROUP BY 1")
+def run_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.run_bounds(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderdate", ["F", "P"])
+
+
+@query("SELECT event_type, round(avg(s), 3) AS mean_seconds, CAST(count(s) AS BIGINT) AS n FROM (SELECT event_type, epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_type)) / 1e6 - epoch_us(ts) / 1e6 AS s FROM events) GROUP BY 1")
+def throughput_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.throughput(table(spark, sf_dir, "events"), "event_type", "user_id", "ts").withColumn("mean_seconds", F.round("mean_seconds", 3))
+
+
+@query("SELECT event_id, from_status, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_status FROM events) WHERE from_status IS NOT NULL AND NOT (from_status = event_type OR event_type = 'view')")
+def illegal_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    kinds = [r[0] for r in events.select("event_type").distinct().collect()]  # a closed list of a few kinds
+    legal = {k: sorted({k, "view"}) for k in kinds}
+    return ledger.illegal_transitions(events, ["user_id"], "event_type", ["ts", "event_id"], legal).select("event_id", "from_status", "event_type")
+
+
+@query("WITH g AS (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS i FROM events) SELECT user_id, event_type AS value, CAST(count(*) AS BIGINT) AS n, min(ts) AS first, max(ts) AS last FROM g GROUP BY user_id, event_type, i HAVING count(*) >= 3")
+def event_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.islands(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type"), 3)
+
+
+_EDGES = "SELECT 'r' || n_regionkey AS src, 'n' || n_nationkey AS dst FROM nation UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer UNION ALL SELECT 'c' || o_custkey, 'o' || o_orderkey FROM orders"
+
+
+@query(f"WITH RECURSIVE e AS ({_EDGES}), t(node, depth) AS (SELECT 'n' || n_nationkey, 0 FROM nation WHERE n_nationkey < 3 UNION SELECT e.dst, depth + 1 FROM t JOIN e ON e.src = t.node) SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM t GROUP BY node")
+def lineage_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first three nations' customers and orders are reached by, over lineage edges."""
+    nation, customer, orders = (table(spark, sf_dir, t) for t in ("nation", "customer", "orders"))
+    edge = lambda df, a, p, b, q: df.select(F.concat(F.lit(a), p).alias("src"), F.concat(F.lit(b), q).alias("dst"))
+    edges = edge(nation, "r", "n_regionkey", "n", "n_nationkey").unionByName(edge(customer, "n", "c_nationkey", "c", "c_custkey")).unionByName(edge(orders, "c", "o_custkey", "o", "o_orderkey"))
+    return graph.reachable(edges, nation.where("n_nationkey < 3").select(F.concat(F.lit("n"), "n_nationkey").alias("node")))
+
+
+@query("SELECT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0 LEFT JOIN nation ON n_nationkey = c_nationkey")
+def left_outer_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    return orders.join(customer.where("c_acctbal > 0"), F.col("c_custkey") == F.col("o_custkey"), "left").join(nation, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("o_orderkey", "c_name", "n_name")
+
+
+@query("SELECT n_name, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(round(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)) AS BIGINT) AS revenue_cents FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE l_returnflag = 'R' GROUP BY n_name")
+def multi_way_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, orders, customer, nation = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
+    joined = line.where("l_returnflag = 'R'").join(orders, F.col("o_orderkey") == F.col("l_orderkey")).join(customer, F.col("c_custkey") == F.col("o_custkey")).join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    return joined.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")).alias("revenue_cents"))
+
+
+@query("SELECT c_custkey, 'orphan' AS kind FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'used' FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, keys = table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return customer.join(keys, "c_custkey", "left_anti").withColumn("kind", F.lit("orphan")).unionByName(customer.join(keys, "c_custkey", "left_semi").withColumn("kind", F.lit("used")))
+
+
+@query("SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'added' WHEN d.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM (SELECT doc_id, quality AS v FROM labels) l FULL JOIN (SELECT doc_id, CAST(n_chars > 1000 AS INTEGER) AS v FROM documents) d USING (doc_id) WHERE l.v IS DISTINCT FROM d.v")
+def full_outer_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("v"))
+    new = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 1000).cast("int").alias("v"))
+    return recon.changed_rows(old, new, "doc_id", ["v"])
+
+
+@query("WITH a AS (SELECT conv_id, list(length(text) ORDER BY length(text)) AS l FROM conversations WHERE role = 'user' GROUP BY 1), b AS (SELECT conv_id, list(length(text) ORDER BY length(text)) AS l FROM conversations WHERE role = 'assistant' GROUP BY 1) SELECT conv_id, CAST(coalesce(len(a.l), 0) AS BIGINT) AS n_left, CAST(coalesce(len(b.l), 0) AS BIGINT) AS n_right, coalesce(a.l = b.l, false) AS agreed FROM a FULL JOIN b USING (conv_id)")
+def lane_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").withColumn("body", F.length("text"))
+    return recon.lanes_agree(turns.where("role = 'user'"), turns.where("role = 'assistant'"), "conv_id", "body")
+
+
+@query("WITH i AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) SELECT a.l_orderkey AS left_id, b.l_orderkey AS right_id, CAST(count(*) AS BIGINT) AS shared FROM i a JOIN i b ON a.l_partkey = b.l_partkey AND a.l_orderkey < b.l_orderkey GROUP BY 1, 2 HAVING count(*) >= 2")
+def array_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recon.overlap_pairs(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", 2)
+
+
+@query("SELECT s_suppkey AS left_id, c_custkey AS right_id, CAST(min(CASE WHEN substr(s_name, -3) = substr(c_name, -3) THEN 0 ELSE 1 END) AS INTEGER) AS rule FROM supplier JOIN customer ON substr(s_name, -3) = substr(c_name, -3) OR (s_nationkey = c_nationkey AND c_acctbal > 9000 AND s_acctbal > 5000) GROUP BY 1, 2")
+def disjunctive_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.substring("s_name", -3, 3).alias("tail"), F.when(F.col("s_acctbal") > 5000, F.col("s_nationkey")).alias("place"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", F.substring("c_name", -3, 3).alias("tail"), F.when(F.col("c_acctbal") > 9000, F.col("c_nationkey")).alias("place"))
+    return recon.ranked_matches(supplier, customer, "s_suppkey", "c_custkey", [("tail", "tail"), ("place", "place")])
+
+
+@query("WITH i AS (SELECT p_partkey, p_partkey * 7 AS a, p_partkey * 7 + p_size AS b FROM part) SELECT o_orderkey, p_partkey FROM orders JOIN i ON o_orderkey >= a AND o_orderkey < b")
+def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") * 7).alias("a"), (F.col("p_partkey") * 7 + F.col("p_size")).alias("b"))
+    return intervals.points_in_intervals(table(spark, sf_dir, "orders").select("o_orderkey"), boxes, "o_orderkey", "a", "b", 25).select("o_orderkey", "p_partkey")
+
+
+@query("SELECT e.event_id, o.o_orderkey FROM events e ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2) o ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate")
+def asof_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("user_id"), "o_orderdate").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return intervals.as_of(table(spark, sf_dir, "events").select("user_id", "ts", "event_id"), orders, ["user_id"], "ts", "o_orderdate", "o_orderkey").select("event_id", "o_orderkey")
+
+
+@query("SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+def stage_counts_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").rollup("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("total_cents"))
+
+
+@query("SELECT quality, bool_or(toxic = 1) AS failed, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id % 10) AS BIGINT) AS validators FROM labels GROUP BY quality")
+def level_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").groupBy("quality").agg(F.bool_or(F.col("toxic") == 1).alias("failed"), F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("doc_id") % 10).alias("validators"))
+
+
+@query("SELECT user_id, CASE min(CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'click' THEN 3 WHEN 'view' THEN 4 END) WHEN 1 THEN 'purchase' WHEN 2 THEN 'signup' WHEN 3 THEN 'click' WHEN 4 THEN 'view' END AS outcome FROM events WHERE event_type IN ('purchase', 'signup', 'click', 'view') GROUP BY 1")
+def outcome_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recon.precedence(table(spark, sf_dir, "events"), "user_id", "event_type", ["purchase", "signup", "click", "view"])
+
+
+@query("SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
+def last_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.latest(table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "value")
+
+
+@query("SELECT CAST(greatest((SELECT max(o_orderkey) FROM orders), (SELECT max(l_orderkey) FROM lineitem)) AS BIGINT) AS watermark")
+def id_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "orders").select(F.concat(F.lit("ord_"), "o_orderkey").alias("id")).unionByName(table(spark, sf_dir, "lineitem").select(F.concat(F.lit("ord_"), "l_orderkey").alias("id")))
+    return ids.agg(recon.next_ids([F.col("id")], "ord_").alias("watermark"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, true AS equal FROM orders")
+def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders merged in two steps, the second replacing part of the first, against the whole table."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    stale = orders.where("o_orderkey % 3 <> 0").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 3 == 1, F.lit(0.0)).otherwise(F.col("o_totalprice")))
+    merged = recon.merge_version(stale, orders.where("o_orderkey % 3 < 2"), ["o_orderkey"])
+    a, b = recon.table_fingerprint(merged), recon.table_fingerprint(orders)
+    return a.alias("a").join(b.alias("b"), F.lit(True)).select(F.col("b.n").alias("n"), ((F.col("a.n") == F.col("b.n")) & (F.col("a.fingerprint") == F.col("b.fingerprint"))).alias("equal"))
+
+
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'undeclared' WHEN NOT quality = 1 THEN 'low_quality' ELSE 'short' END AS reason FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR NOT quality = 1 OR NOT n_chars >= 500")
+def not_comparable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").withColumn("declared", F.lit(True)), "doc_id", "left")
+    return recon.not_comparable(joined, [("undeclared", F.col("declared")), ("low_quality", F.col("quality") == 1), ("short", F.col("n_chars") >= 500)]).select("doc_id", "reason")
+
+
+@query("SELECT 'turn_order' AS check, CAST(count(*) FILTER (turn <> due) AS BIGINT) AS failures, count(*) FILTER (turn <> due) = 0 AS passed FROM (SELECT turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS due FROM conversations) UNION ALL SELECT 'labels_known', CAST(count(*) AS BIGINT), count(*) = 0 FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT 'ids_unique', CAST(count(*) AS BIGINT), count(*) = 0 FROM (SELECT doc_id FROM documents GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'all_labelled', CAST(count(*) AS BIGINT), count(*) = 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four checks over documents, labels and turns with their verdicts."""
+    docs, labels, turns = (table(spark, sf_dir, t) for t in ("documents", "labels", "conversations"))
+    rows = gates.all_of(
+        gates.consecutive(turns, "turn_order", "conv_id", "turn"), gates.references(labels, "labels_known", "doc_id", "doc_id", docs, "doc_id"),
+        gates.unique(docs, "ids_unique", "doc_id"), gates.same_sets(docs, labels, "all_labelled", "doc_id").where("detail = 'left only'"),
+    )
+    return gates.verdict(rows, ["turn_order", "labels_known", "ids_unique", "all_labelled"])
+
+
+@query("SELECT src, kind, dst FROM (SELECT 'region:' || r_regionkey AS src, 'has' AS kind, 'nation:' || n_nationkey AS dst FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'nation:' || c_nationkey, 'home_of', 'customer:' || c_custkey FROM customer WHERE c_nationkey IS NOT NULL)")
+def graph_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed edges of which both ends are nodes."""
+    region, nation, customer = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    name = lambda kind, key: F.concat(F.lit(f"{kind}:"), key)
+    nodes = region.select(name("region", "r_regionkey").alias("node_id")).unionByName(nation.select(name("nation", "n_nationkey").alias("node_id"))).unionByName(customer.select(name("customer", "c_custkey").alias("node_id")))
+    edges = nation.select(name("region", "n_regionkey").alias("src"), F.lit("has").alias("kind"), name("nation", "n_nationkey").alias("dst")).unionByName(customer.select(name("nation", "c_nationkey").alias("src"), F.lit("home_of").alias("kind"), name("customer", "c_custkey").alias("dst")))
+    return edges.join(graph.dangling_edges(edges, nodes), ["src", "kind", "dst"], "left_anti").where("src IS NOT NULL AND dst IS NOT NULL")
+
+
+@query(r"SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (n_chars < 500) AS BIGINT) AS short, CAST(count(*) FILTER (contains(text, '%%%')) AS BIGINT) AS marked, CAST(count(*) FILTER (lang = 'en') AS BIGINT) AS english, round(avg(n_chars), 4) AS mean_chars, CAST((avg(n_chars) > 2000)::INT + (count(*) FILTER (n_chars < 500) > 0.2 * count(*))::INT + (count(*) FILTER (contains(text, '%%%')) > 0.02 * count(*))::INT + (count(*) FILTER (lang = 'en') < 0.5 * count(*))::INT AS INTEGER) AS votes FROM documents GROUP BY source")
+def page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditional counts of each source, and how many of four signs of trouble it shows."""
+    n = F.count(F.lit(1))
+    short, marked, english, mean = F.count_if(F.col("n_chars") < 500), F.count_if(F.contains("text", F.lit("%%%"))), F.count_if(F.col("lang") == "en"), F.avg("n_chars")
+    votes = (mean > 2000).cast("int") + (short > 0.2 * n).cast("int") + (marked > 0.02 * n).cast("int") + (english < 0.5 * n).cast("int")
+    return table(spark, sf_dir, "documents").groupBy("source").agg(n.alias("n"), short.alias("short"), marked.alias("marked"), english.alias("english"), F.round(mean, 4).alias("mean_chars"), votes.alias("votes"))
+
+
+@query("SELECT doc_id, CAST((length(text) - length(replace(text, 'the', ''))) / 3 AS INTEGER) AS n FROM documents WHERE contains(text, 'the')")
+def substring_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumn("n", occurrences(F.col("text"), F.lit("the"))).where("n > 0").select("doc_id", "n")
+
+
+@query("SELECT doc_id, 'substring' AS how FROM documents WHERE contains(lower(text), 'thedat')")
+def locate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("search_text", F.lower("text"))
+    return search.locate(docs, "thedat", "doc_id", "text").select("doc_id", "how")
+
+
+@query(r"SELECT doc_id, c AS char, CAST(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(string_split(text, '')) AS c FROM documents) WHERE NOT regexp_matches(c, '^[ \t\n\x0b\f\r]*$') GROUP BY 1, 2")
+def character_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.character_index(table(spark, sf_dir, "documents"))
+
+
+@query(r"WITH i AS (SELECT doc_id, c AS char, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, '')) AS c FROM documents) WHERE NOT regexp_matches(c, '^[ \t\n\x0b\f\r]*$') GROUP BY 1, 2) SELECT char, CAST(sum(n) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS n_docs, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids FROM i GROUP BY char HAVING sum(n) <= 20")
+def rare_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rare_characters(search.character_index(table(spark, sf_dir, "documents")))
+
+
+@query("WITH t AS (SELECT conv_id, max(text) FILTER (turn = 0) AS a, max(text) FILTER (turn = 1) AS b FROM conversations GROUP BY 1) SELECT conv_id, round(len(list_intersect(list_distinct(string_split(a, '')), list_distinct(string_split(b, '')))) / len(list_distinct(list_concat(string_split(a, ''), string_split(b, '')))), 6) AS jaccard FROM t WHERE length(a) > 0 AND length(b) > 0")
+def sentence_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = lambda i, name: F.max(F.when(F.col("turn") == i, F.col("text"))).alias(name)
+    pairs = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turn(0, "a"), turn(1, "b")).where("length(a) > 0 AND length(b) > 0")
+    return pairs.select("conv_id", F.round(letters_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"))
+
+
+@query("SELECT e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) >= 0.2 ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id LIMIT 10")
+def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    near = search.nearest_to(vectors, vectors.where("vec_id = 0").select(F.col("embedding").alias("q")), "vec_id", "embedding", 10, 0.2)
+    return near.withColumn("score", F.round("score", 9))
+
+
+@query("WITH a AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer), b AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS rank FROM customer) SELECT c_custkey, round(sum(1.0 / (rank + 60)), 9) AS fused FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1")
+def rank_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    a = search.ranks(customer, ["c_nationkey"], [F.col("c_acctbal").desc(), F.col("c_custkey")]).select("c_custkey", "rank")
+    b = search.ranks(customer, ["c_mktsegment"], [F.col("c_acctbal"), F.col("c_custkey")]).select("c_custkey", "rank")
+    return search.fuse_ranks([a, b], "c_custkey").withColumn("fused", F.round("fused", 9))
+
+
+@query("SELECT user_id, time_bucket(INTERVAL 10 minutes, ts) AS window_start, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+def notification_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.streaming.notifications import merged
+
+    return merged(table(spark, sf_dir, "events")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("SELECT o_orderkey, o_orderdate, o_custkey FROM orders WHERE (o_orderdate, o_orderkey) > (SELECT (o_orderdate, o_orderkey) FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)) ORDER BY o_orderdate, o_orderkey LIMIT 25")
+def keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    at = ledger.earliest(orders.withColumn("one", F.lit(1)), ["one"], ["o_orderkey"]).first()
+    return ledger.keyset_page(orders, ["o_orderdate", "o_orderkey"], [F.lit(at["o_orderdate"]).cast("timestamp_ntz"), F.lit(at["o_orderkey"])], 25)
+
+
+@query("SELECT p_partkey, 'part:' || substr(sha256(strlen(p_name) || ':' || p_name || '|' || strlen(p_brand) || ':' || p_brand), 1, 32) AS key FROM part")
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", stable_key("part", F.col("p_name"), F.col("p_brand")).alias("key"))
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r <= 5")
+def evidence_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recon.top_per_group(table(spark, sf_dir, "orders"), ["o_orderpriority"], [F.col("o_orderdate").desc(), F.col("o_orderkey")], 5).select("o_orderkey", "o_orderstatus")
+
+
+@query()
+def cleaned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of all documents by rule, and whether replaying their patches gives the cleaned text."""
+    from lectern.operators import cleaning
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cleaning.replay_report(docs)
+
+
+@query()
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.sources.files import html_to_text
+
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", html_to_text(F.col("html")).alias("text"))
