@@ -34,6 +34,8 @@ STEM_LENGTHS, STEM_WORDS = (4, 5, 6, 7, 8, 9), 3
 PRECISION = 0.8
 #: Words and stems that chance could make look toxic; terms must be more surprising than that.
 CANDIDATES = 100_000
+#: So many different words must stand before a word in toxic rows.
+CONTEXTS = 3
 #: Tokens on either side of a hit that are its context.
 WINDOW = 6
 #: What counts as address, as reporting and as a quotation mark, in the corpus's languages.
@@ -270,30 +272,34 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label_col: str = "toxic") -> DataFrame:
-    """Text and label of at most ``rows`` labelled rows that aren't held out. The sample's size bounds the broadcast."""
+    """Distinct texts and labels of at most ``rows`` labelled rows that aren't held out; a text with both labels is toxic. The sample's size bounds the broadcast."""
     sample = (
         labels.where(~is_held_out(F.col("doc_id")) & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(label_col).alias("label"))
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    # Copies of one text are one example, else all words of a toxic text with copies would look toxic.
+    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("label").alias("label"))
 
 
 def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     """Words and stems that occur in toxic rows far more often than chance and rarely in others.
 
+    A word must also follow different words in toxic texts, which words of near copies don't.
     A candidate's surprise is its number of rows times the divergence of its toxic share from the overall one; it must exceed the log of
     ``CANDIDATES``, so that chance finds are unlikely. What reaches the driver is the lexicon itself.
     """
-    rows = train.select(F.monotonically_increasing_id().alias("row"), "label", F.expr(r"array_distinct(regexp_extract_all(lower(text), '[\\p{L}]{3,}', 0))").alias("words"))
+    rows = train.select(F.monotonically_increasing_id().alias("row"), "label", F.expr(r"regexp_extract_all(lower(text), '[\\p{L}]+', 0)").alias("words"))
     total = train.agg(F.count(F.lit(1)), F.sum("label")).first()
     n, toxic = total[0], total[1] or 0
     if not 0 < toxic < n:
         return [], []
     prior = toxic / n
-    word = rows.select("row", "label", F.explode("words").alias("word"))
+    placed = rows.select("row", "label", F.explode(F.expr("transform(words, (w, i) -> struct(w AS word, CASE WHEN i > 0 THEN words[i - 1] ELSE '' END AS before))")).alias("w"))
+    word = placed.where(F.length("w.word") >= 3).groupBy("row", "label", "w.word").agg(F.min("w.before").alias("before"))
     stem = word.select("row", "label", "word", F.explode(F.array(*(F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEM_LENGTHS))).alias("stem")).where("stem IS NOT NULL")
-    counts = word.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t")).select("word", F.lit(False).alias("is_stem"), "n", "t").unionByName(
+    varied = F.countDistinct(F.when(F.col("label") == 1, F.col("before")))
+    counts = word.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t"), varied.alias("variety")).where(F.col("variety") >= F.greatest(F.lit(CONTEXTS), F.col("t") / 4)).select("word", F.lit(False).alias("is_stem"), "n", "t").unionByName(
         stem.groupBy("stem").agg(F.countDistinct("row").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("row"))).alias("t"), F.countDistinct(F.when(F.col("label") == 1, F.col("word"))).alias("variety"))
         .where(F.col("variety") >= STEM_WORDS).select(F.col("stem").alias("word"), F.lit(True).alias("is_stem"), "n", "t")
     )
