@@ -175,7 +175,7 @@ def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, ord
 def seed_nodes(nodes: DataFrame, seeds: int = SEEDS) -> tuple[np.ndarray, np.ndarray]:
     """A bounded sample of nodes, those with the least hash, and their vectors."""
     got = nodes.select("node", "vector").orderBy(F.xxhash64("node"), "node").limit(seeds).collect()
-    return np.array([r["node"] for r in got], np.int64), np.array([r["vector"] for r in got], np.float64).reshape(len(got), -1)
+    return np.array([r["node"] for r in got], np.int64), np.array([r["vector"] for r in got], np.float64).reshape(len(got), len(got[0]["vector"]) if got else 0)
 
 
 def _scored(pairs: DataFrame) -> DataFrame:

@@ -310,7 +310,8 @@ def bpe_decode(df: DataFrame, vocab_path: str, ids_col: str = "token_ids", text_
 def unpack_ids(packed: F.Column) -> F.Column:
     """Packed ids as an array of integers."""
     word = lambda i: F.conv(F.concat(*(F.substring(F.hex(packed), i * 8 + 7 - 2 * k, 2) for k in range(4))), 16, 10).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(packed) / 4 - 1, F.lit(-1)).cast("int")), word)
+    n = (F.octet_length(packed) / 4).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), word)).when(n == 0, F.array().cast("array<int>"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
