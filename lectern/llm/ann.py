@@ -11,7 +11,7 @@ Queries keep a beam of nodes; each round expands the best unexpanded ones along
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 from lectern.llm.common import checkpoint, read_table, tidy
 
 #: Neighbours of a node in the graph, rounds of NN-descent, and projection orders that the first graph comes from.
-NEIGHBOURS, ROUNDS, ORDERS = 20, 4, 3
+NEIGHBOURS, ROUNDS, ORDERS = 32, 4, 3
+#: Share of replaced edges at which rounds end.
+SETTLED = 0.01
 #: Nodes of a block that are compared with each other for the first graph.
 BLOCK = 512
 #: Nodes that a query keeps, that it expands in a round, and rounds of search.
-BEAM, EXPAND, SEARCH_ROUNDS = 48, 16, 4
+BEAM, EXPAND, SEARCH_ROUNDS = 160, 56, 4
 #: Nodes that queries which aren't indexed start from; a bounded sample that is broadcast.
 SEEDS = 256
 
@@ -65,7 +67,7 @@ def _matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
 
 
 def with_codes(nodes: DataFrame, orders: int = ORDERS, seed: int = 7) -> DataFrame:
-    """node, packed vector, and one code of 24 random-projection signs for each order."""
+    """The nodes, each with its packed vector and one code of 24 random-projection signs for each order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,9 +79,12 @@ def with_codes(nodes: DataFrame, orders: int = ORDERS, seed: int = 7) -> DataFra
             # In Gray order, codes that differ in one bit can stand side by side.
             ordered = np.bitwise_xor.accumulate(bits, axis=2)
             codes = ordered @ (1 << np.arange(23, -1, -1))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in _quantised(v)], pa.binary()), pa.array(list(codes.astype(np.int64)), pa.list_(pa.int64()))], names=["node", "packed", "codes"])
+            packed = pa.array([r.tobytes() for r in _quantised(v)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, packed, pa.array(list(codes.astype(np.int64)), pa.list_(pa.int64()))], names=[*batch.schema.names, "packed", "codes"])
 
-    return nodes.select("node", "vector").mapInArrow(tidy(run), "node long, packed binary, codes array<long>")
+    rows = nodes.select("node", "vector", "members")
+    of = rows.schema["vector"].dataType.simpleString()
+    return rows.mapInArrow(tidy(run), f"node long, vector {of}, members array<long>, packed binary, codes array<long>")
 
 
 def _top_edges(u: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,39 +108,51 @@ def _edge_batch(u: np.ndarray, v: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["u", "v", "s"])
 
 
-def block_edges(coded: DataFrame, order: int, k: int, block: int = BLOCK) -> DataFrame:
-    """Each node's best k within its block of nodes that follow each other by code."""
+def block_edges(coded: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """Each node's best k within its blocks: in each order, nodes that follow each other by code form blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                part = batch.slice(at, block)
-                ids, v = np.asarray(part.column("node")), _unpacked(part.column("packed"))
-                s = v @ v.T
-                np.fill_diagonal(s, -2)
-                m = min(k, len(ids) - 1)
-                if m < 1:
-                    continue
-                near = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                yield _edge_batch(np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel().astype(float))
-
-    code = F.col("codes")[order]
-    return coded.select("node", "packed", code.alias("code")).repartitionByRange("code", "node").sortWithinPartitions("code", "node").drop("code").mapInArrow(tidy(run), _EDGES)
+            orders = np.asarray(batch.column("order"))
+            bounds = [0, *(np.flatnonzero(orders[1:] != orders[:-1]) + 1), len(orders)]
+            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                for at in range(begin, end, block):
+                    part = batch.slice(at, min(block, end - at))
+                    ids, v = np.asarray(part.column("node")), _unpacked(part.column("packed"))
+                    s = v @ v.T
+                    np.fill_diagonal(s, -2)
+                    m = min(k, len(ids) - 1)
+                    if m < 1:
+                        continue
+                    near = np.argpartition(-s, m - 1, axis=1)[:, :m]
+                    yield _edge_batch(np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel().astype(float))
+
+    dealt = coded.select("node", "packed", F.posexplode("codes").alias("order", "code")).repartitionByRange("order", "code", "node")
+    return dealt.sortWithinPartitions("order", "code", "node").select("order", "node", "packed").mapInArrow(tidy(run), _EDGES)
 
 
 def best_edges(edges: DataFrame, k: int) -> DataFrame:
-    """Distinct edges, the best k of each u; ties to the smaller v."""
+    """Distinct edges (u, v, s, old), the best k of each u, ties to the smaller v; ``old`` if any of the equal edges was."""
     best = Window.partitionBy("u").orderBy(F.col("s").desc(), "v")
-    return edges.groupBy("u", "v").agg(F.max("s").alias("s")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place")
+    # Dealt by u once, which serves the grouping by (u, v) and the window.
+    distinct = edges.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"), F.max("old").alias("old"))
+    return distinct.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place")
+
+
+def both_ways(edges: DataFrame, k: int) -> DataFrame:
+    """Each edge as (u, v), and turned round as (v, u) if it is among the best k that lead to v."""
+    into = Window.partitionBy("v").orderBy(F.col("s").desc(), "u")
+    placed = edges.select("u", "v", F.row_number().over(into).alias("place"))
+    way = lambda a, b: F.struct(F.col(a).alias("u"), F.col(b).alias("v"))
+    return placed.select(F.explode(F.when(F.col("place") <= k, F.array(way("u", "v"), way("v", "u"))).otherwise(F.array(way("u", "v")))).alias("e")).select("e.*")
 
 
 def descend(edges: DataFrame, coded: DataFrame, k: int) -> DataFrame:
-    """One round of NN-descent. Of a node's reverse neighbours the k best take part, as in the published algorithm's sampling, so a node's gathering is bounded by 2k + 1."""
-    reverse = Window.partitionBy("v").orderBy(F.col("s").desc(), "u")
-    back = edges.withColumn("place", F.row_number().over(reverse)).where(F.col("place") <= k).select(F.col("v").alias("u"), F.col("u").alias("v"))
-    around = edges.select("u", "v").unionByName(back).distinct()
-    worst = edges.groupBy("u").agg(F.when(F.count(F.lit(1)) >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("kth")).withColumnRenamed("u", "v")
+    """One round of NN-descent. Of a node's reverse neighbours the k best take part, as in the published algorithm's sampling, so a node's gathering is bounded by 2k."""
+    worst = edges.groupBy(F.col("u").alias("v")).agg(F.when(F.count(F.lit(1)) >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("kth"))
     known = coded.select(F.col("node").alias("v"), "packed").join(worst, "v")
+    # A neighbour both ways counts once; dealt by v for this and for the join.
+    around = both_ways(edges, k).repartition("v").dropDuplicates(["u", "v"])
     gathered = around.join(known, "v").groupBy("u").agg(F.collect_list(F.struct("v", "kth", "packed")).alias("near")).select("near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,19 +173,21 @@ def descend(edges: DataFrame, coded: DataFrame, k: int) -> DataFrame:
                 ss.append(s[i, j])
             yield _edge_batch(*_top_edges(np.concatenate(us), np.concatenate(vs), np.concatenate(ss).astype(float), k))
 
-    found = gathered.mapInArrow(tidy(run), _EDGES)
-    return best_edges(edges.unionByName(found), k)
+    found = gathered.mapInArrow(tidy(run), _EDGES).withColumn("old", F.lit(False))
+    return best_edges(edges.withColumn("old", F.lit(True)).unionByName(found), k)
+
 
+def build_graph(coded: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+    """Edges (u, v, s, old) from each node of ``with_codes`` to about its k nearest. No nodes, no edges.
 
-def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, orders: int = ORDERS) -> DataFrame:
-    """Edges (u, v, s) from each node to about its k nearest. No nodes, no edges."""
-    coded = checkpoint(with_codes(nodes, orders))
-    edges = block_edges(coded, 0, k)
-    for i in range(1, orders):
-        edges = edges.unionByName(block_edges(coded, i, k))
-    edges = checkpoint(best_edges(edges, k))
+    Rounds end, as in the published algorithm, when a round replaces no more than the share ``settled`` of the edges.
+    """
+    edges = checkpoint(best_edges(block_edges(coded, k).withColumn("old", F.lit(False)), k))
     for _ in range(rounds):
         edges = checkpoint(descend(edges, coded, k))
+        total, new = edges.agg(F.count(F.lit(1)), F.count_if(~F.col("old"))).first()
+        if new <= settled * total:
+            break
     return edges
 
 
@@ -178,22 +197,25 @@ def seed_nodes(nodes: DataFrame, seeds: int = SEEDS) -> tuple[np.ndarray, np.nda
     return np.array([r["node"] for r in got], np.int64), np.array([r["vector"] for r in got], np.float64).reshape(len(got), len(got[0]["vector"]) if got else 0)
 
 
-def _scored(pairs: DataFrame) -> DataFrame:
-    """query_id, node and the cosine of ``q`` and ``vector`` in double precision."""
+def _cosines(rows: DataFrame, left: str, right: str, vectors: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """query_id, node and ``score``, the cosine of two columns that ``vectors`` turns into matrices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _matrix(batch.column("q")), _matrix(batch.column("vector"))
-            s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(s)], names=["query_id", "node", "score"])
+            if not batch.num_rows:
+                continue
+            a, b = vectors(batch.column(left)), vectors(batch.column(right))
+            s = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(s.astype(float))], names=["query_id", "node", "score"])
 
-    return pairs.select("query_id", "node", "q", "vector").mapInArrow(tidy(run), "query_id long, node long, score double")
+    return rows.select("query_id", "node", left, right).mapInArrow(tidy(run), "query_id long, node long, score double")
 
 
 def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
-    """Greedy search for each query (query_id, q): the beam's nodes with their scores.
+    """Greedy search for each query (query_id, q): the beam's nodes with their scores, from the original vectors in double precision.
 
     A query starts from the sampled seeds that are nearest to it; if its id is given in ``home`` as an indexed node, from that node too.
+    A query's packed vector travels to the nodes that it is compared with, not theirs to it.
     """
     seed_ids, seed_vectors = seed_nodes(nodes)
     shared = queries.sparkSession.sparkContext.broadcast((seed_ids, seed_vectors))
@@ -207,29 +229,33 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
             s = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).T
             m = min(4, len(ids))
             near = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column("query_id")), m)), pa.array(ids[near].ravel())], names=["query_id", "node"])
-
-    vectors = queries.select("query_id", "q")
-    home = queries.where(F.col("home").isNotNull()).select("query_id", F.col("home").alias("node"))
-    start = vectors.mapInArrow(tidy(nearest_seeds), "query_id long, node long").unionByName(home).distinct()
-    score = lambda pairs: _scored(pairs.join(nodes.select("node", "vector"), "node").join(vectors, "query_id"))
-    links = checkpoint(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(best_reverse(edges), ["u", "v"], "left_semi")).distinct())
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "node")
-    state = checkpoint(score(start).withColumn("done", F.lit(False)))
+            packed = pa.array([r.tobytes() for r in _quantised(q)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("home"), packed, pa.array(list(ids[near]), pa.list_(pa.int64()))], names=["query_id", "home", "packed_q", "seeds"])
+
+    asked = checkpoint(queries.select("query_id", "q", "home").mapInArrow(tidy(nearest_seeds), "query_id long, home long, packed_q binary, seeds array<long>"))
+    start = asked.select("query_id", "packed_q", F.explode(F.array_distinct(F.array_compact(F.array_append("seeds", F.col("home"))))).alias("node"))
+    packed = nodes.select("node", "packed")
+    links = checkpoint(both_ways(edges, 2 * NEIGHBOURS).groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("links")))
+    best, undone = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "node"), Window.partitionBy("query_id", "done").orderBy(F.col("score").desc(), "node")
+
+    def merged(pairs: DataFrame, old: DataFrame | None) -> DataFrame:
+        """The best of the old beam and of the pairs (query_id, packed_q, node); those to expand next have packed_q."""
+        # Dealt by one key each, which serves the grouping by both, the join and the windows.
+        fresh = pairs.repartition("node").dropDuplicates(["query_id", "node"]).join(packed, "node")
+        rows = _cosines(fresh, "packed_q", "packed", _unpacked).withColumn("done", F.lit(False))
+        if old is not None:
+            rows = rows.unionByName(old.select("query_id", "node", "score", (F.col("done") | F.col("packed_q").isNotNull()).alias("done")))
+        rows = rows.repartition("query_id").groupBy("query_id", "node").agg(F.max("score").alias("score"), F.max("done").alias("done"))
+        rows = rows.withColumn("place", F.row_number().over(best)).where(F.col("place") <= beam).withColumn("turn", F.row_number().over(undone))
+        next_ones = ~F.col("done") & (F.col("turn") <= expand)
+        return checkpoint(rows.join(asked.select("query_id", "packed_q"), "query_id").select("query_id", "node", "score", "done", F.when(next_ones, F.col("packed_q")).alias("packed_q")))
+
+    state = merged(start, None)
     for _ in range(rounds):
-        todo = state.where(~F.col("done")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= expand).select("query_id", "node")
-        reached = todo.join(links.withColumnRenamed("u", "node"), "node").select("query_id", F.col("v").alias("node")).distinct()
-        fresh = reached.join(state.select("query_id", "node"), ["query_id", "node"], "left_anti")
-        old = state.join(todo.withColumn("now", F.lit(True)), ["query_id", "node"], "left").select("query_id", "node", "score", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        merged = old.unionByName(score(fresh).withColumn("done", F.lit(False)))
-        state = checkpoint(merged.withColumn("place", F.row_number().over(best)).where(F.col("place") <= beam).drop("place"))
-    return state.select("query_id", "node", "score")
-
-
-def best_reverse(edges: DataFrame, k: int = 2 * NEIGHBOURS) -> DataFrame:
-    """The best k edges that lead to each node, turned round."""
-    into = Window.partitionBy("v").orderBy(F.col("s").desc(), "u")
-    return edges.withColumn("place", F.row_number().over(into)).where(F.col("place") <= k).select(F.col("v").alias("u"), F.col("u").alias("v"))
+        reached = state.where("packed_q IS NOT NULL").select("query_id", "packed_q", "node").join(links, "node").select("query_id", "packed_q", F.explode("links").alias("node"))
+        state = merged(reached, state)
+    pairs = state.select("query_id", "node").join(nodes.select("node", "vector"), "node").join(queries.select("query_id", "q"), "query_id")
+    return _cosines(pairs, "q", "vector", _matrix)
 
 
 def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 5) -> DataFrame:
@@ -239,7 +265,7 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     With fewer other rows than ``top``, all of them come. An empty table gives no rows; further columns are ignored.
     """
     rows = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"), is_query.alias("is_query"))
-    nodes = checkpoint(nodes_of(rows, "vec_id", "vector", top + 1))
+    nodes = checkpoint(with_codes(nodes_of(rows, "vec_id", "vector", top + 1)))
     edges = build_graph(nodes)
     asked = rows.where("is_query AND vec_id IS NOT NULL").where(usable(F.col("vector"))).groupBy(F.col("vec_id").cast("long").alias("query_id")).agg(F.min("vector").alias("q"))
     queries = checkpoint(asked.join(nodes.select(F.col("vector").alias("q"), F.col("node").alias("home")), "q", "left"))
