@@ -10,6 +10,11 @@ agree with it in most entries and with the chunk's most central text, so that a
 in proportion to its size. A pair is verified by an alignment of the two shingle sequences within the band of diagonals
 that the threshold leaves. Verified pairs are contracted to classes, and texts of one bucket that are
 still in different classes are paired and verified again.
+
+An exact pass then finds every link between classes that the sketches missed. Aligned similarity is at most the Jaccard similarity of the labelled
+shingles, so similar texts share one of the first shingles of each in an order that all texts have in common, rare ones first.
+Few texts with such a shingle are joined and verified; where many have it, their groups are compared in salted blocks, each by counts
+of common shingles and then by alignment, and a block gives at most one link for each text.
 """
 
 from __future__ import annotations
@@ -37,6 +42,12 @@ ENTRIES, PER_ENTRY = 10, 3
 CHUNK, PARTNERS = 512, 3
 #: Rounds of pairing and verifying.
 ROUNDS = 2
+#: Texts that bring the frequencies by which shingles are ordered, and shingles that are known as frequent. They change the cost of the exact pass, not what it finds.
+ORDER_TEXTS, FREQUENT = 20_000, 1 << 16
+#: A shingle that begins more texts than this has them compared in blocks, of about so many texts and shingles.
+LIGHT, BLOCK_TEXTS, BLOCK_SHINGLES = 64, 1024, 1 << 18
+#: Keeps thresholds that floats miss by a hair.
+HAIR = 1e-9
 SEED = 11
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
@@ -255,15 +266,182 @@ def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "u binary, v binary, similarity double")
 
 
+def shingle_order(df: DataFrame, n_texts: int, text_col: str) -> np.ndarray:
+    """Frequent shingles, sorted by hash, as rows of (hash, count) in a sample of texts. Any such table gives a right order; a good one makes prefixes rare."""
+    bound_batches(df.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    some = df.select(text.alias("text")).where(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 20)) < int(min(1.0, ORDER_TEXTS / max(n_texts, 1)) * (1 << 20))).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", TOKEN_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.array(labelled_shingles(batch.column("text"))[0].view(np.int64))], names=["token"])
+
+    counts = some.mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()  # at most FREQUENT rows
+    table = np.array([(r["token"], r["n"]) for r in top], np.int64).reshape(-1, 2)
+    table = table[np.argsort(table[:, 0].view(np.uint64))]
+    return table
+
+
+def prefix_sizes(n: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts with ``n`` shingles: how many first ones meet those of any similar text, and how many do if the other text is at least as long."""
+    return tuple(np.minimum(n, n - np.ceil(share * n - HAIR).astype(np.int64) + 1) for share in (similarity, 2 * similarity / (1 + similarity)))
+
+
+def prefix_rows(df: DataFrame, order: np.ndarray, text_col: str, similarity: float) -> DataFrame:
+    """For each distinct text with shingles: text_key, n (its shingles), n_index and ``tokens``, its first shingles in the common order."""
+    bound_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(order)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = np.append(shared.value[:, 0].view(np.uint64), _TOP), np.append(shared.value[:, 1], 0)
+        for whole in batches:
+            for batch in slices(whole, "text", TOKEN_BYTES):
+                shingles, starts = labelled_shingles(batch.column("text"))
+                n = np.diff(starts)
+                at = np.searchsorted(known, shingles)
+                rank = np.where(known[np.minimum(at, len(known) - 1)] == shingles, counts[np.minimum(at, len(known) - 1)], 0)
+                doc = np.repeat(np.arange(len(n)), n)
+                ordered = shingles[np.lexsort((shingles, rank, doc))]
+                probe, index = prefix_sizes(n, similarity)
+                first = np.arange(len(doc)) - np.repeat(starts[:-1], n) < np.repeat(probe, n)
+                tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(probe)).astype(np.int32)), pa.array(ordered[first].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(n.astype(np.int32)), pa.array(index.astype(np.int32)), tokens], names=["text_key", "n", "n_index", "tokens"])
+
+    rows = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
+    return rows.mapInArrow(tidy(run), "text_key binary, n int, n_index int, tokens array<long>").where("n > 0").dropDuplicates(["text_key"])
+
+
+def block_links(num: np.ndarray, side: np.ndarray, classes: np.ndarray, shingles: np.ndarray, starts: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links across classes between the texts of two blocks (sides 0 and 1), or within one block if all have side 0; classes that a link joins count as one from then on."""
+    n = np.diff(starts)
+    _, code, times = np.unique(shingles, return_inverse=True, return_counts=True)
+    dense = np.cumsum(times > 1) - 1
+    held = times[code] > 1
+    owner, code = np.repeat(np.arange(len(n)), n)[held], dense[code[held]]
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if side.any() else left
+    common = np.zeros((len(left), len(right)), np.float32)
+    by_code = np.argsort(code, kind="stable")
+    owner, code = owner[by_code], code[by_code]
+    width = 1024
+    cuts = np.searchsorted(code, np.arange(0, (code[-1] if len(code) else -1) + 1 + width, width))
+    for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        has = np.zeros((len(n), width), np.float32)
+        has[owner[a:b], code[a:b] - k * width] = 1
+        common += has[left] @ has[right].T
+    near = common * (1 + similarity) >= similarity * (n[left][:, None] + n[right][None, :]) - 1e-3
+    near &= classes[left][:, None] != classes[right][None, :]
+    if not side.any():
+        near &= np.arange(len(left))[:, None] < np.arange(len(left))[None, :]
+    above = {int(c): int(c) for c in np.unique(classes)}
+
+    def root(c: int) -> int:
+        while above[c] != c:
+            above[c] = above[above[c]]
+            c = above[c]
+        return c
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        a, b = left[i], right[j]
+        u, v = root(int(classes[a])), root(int(classes[b]))
+        if u != v and aligned(shingles[starts[a] : starts[a + 1]], shingles[starts[b] : starts[b + 1]], similarity) >= similarity:
+            above[u] = v
+            out.append((int(num[a]), int(num[b])))
+    return out
+
+
+def crowded_links(df: DataFrame, rows: DataFrame, texts: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Links (u, v) by number among texts of crowded shingles: ``rows`` has token and num of these, ``texts`` num, text_key, n and class.
+
+    Texts that crowded shingles connect are one group; its texts are dealt to blocks by hash, and each two blocks are compared in a task of their own.
+    """
+    bound_batches(df.sparkSession)
+    groups = connected_components(rows.select(F.concat(F.lit("n"), "num").alias("u"), F.concat(F.lit("t"), "token").alias("v")))
+    groups = groups.where("node LIKE 'n%'").select(F.expr("CAST(substr(node, 2) AS BIGINT)").alias("num"), F.col("component").alias("cluster"))
+    members = checkpoint(groups.join(texts, "num"))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    members = members.join(F.broadcast(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(members, "text_key").select("text_key", "text", "num", "class", "cluster", "block", "blocks")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", TOKEN_BYTES):
+                shingles, starts = labelled_shingles(batch.column("text"))
+                column = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(shingles.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("num", "class", "cluster", "block", "blocks")), column], names=["num", "class", "cluster", "block", "blocks", "shingles"])
+
+    read_rows = source.mapInArrow(tidy(read), "num long, class long, cluster string, block int, blocks int, shingles array<long>").dropDuplicates(["num"])
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = read_rows.select("*", other).select(
+        "num", "class", "shingles", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"),
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).combine_chunks()
+        lists = column("shingles")
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        side = column("side").to_numpy()
+        alone = table.column("i")[0].as_py() < table.column("j")[0].as_py() and (side == side[0]).all()
+        found = [] if alone else block_links(column("num").to_numpy(), side, column("class").to_numpy(), lists.flatten().to_numpy().view(np.uint64), starts, similarity)
+        u, v = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "u long, v long")
+
+
+def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Links (u, v) by text key that join all classes between which any pair of texts is similar enough.
+
+    ``nodes`` has text_key and num, ``classes`` node and component by text key; texts without a row there are classes of their own.
+    """
+    order = shingle_order(df, nodes.count(), text_col)
+    numbers = nodes.select("text_key", "num")
+    of_class = classes.select(F.col("node").alias("text_key"), "component").join(numbers.select(F.col("text_key").alias("component"), F.col("num").alias("class")), "component").select("text_key", "class")
+    known = numbers.join(of_class, "text_key", "left").select("text_key", "num", F.coalesce("class", "num").alias("class"))
+    texts = checkpoint(prefix_rows(df, order, text_col, similarity).join(known, "text_key"))
+    rows = texts.select("num", "class", "n", "n_index", F.posexplode("tokens").alias("at", "token")).select("token", "num", "class", "n", (F.col("at") < F.col("n_index")).alias("index"))
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("texts"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("texts > 1 AND lo <> hi").select("token", "texts")
+    rows = checkpoint(rows.join(shared, "token"))
+    light, crowded = rows.where(F.col("texts") <= LIGHT), rows.where(F.col("texts") > LIGHT)
+    longer = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.num") > F.col("x.num")))
+    pairs = (
+        light.where("index").alias("x").join(light.alias("y"), "token")
+        .where((F.col("x.class") != F.col("y.class")) & longer & (F.col("x.n") >= similarity * F.col("y.n") - HAIR))
+        .select(F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
+    )
+    names = texts.select("text_key", "num")
+    keyed = lambda p, x, y: p.join(names.select(F.col("num").alias(x), F.col("text_key").alias("u")), x).join(names.select(F.col("num").alias(y), F.col("text_key").alias("v")), y).select("u", "v")
+    pairs = checkpoint(keyed(pairs, "a", "b").select(F.col("u").alias("a"), F.col("v").alias("b")))
+    wanted = checkpoint(pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct())
+    if wanted.count() <= ORDER_TEXTS:
+        wanted = F.broadcast(wanted)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    of = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(wanted, "text_key").dropDuplicates(["text_key"])
+    found = verify(with_texts(pairs, checkpoint(of)), similarity).select("u", "v")
+    if not crowded.isEmpty():
+        found = found.unionByName(keyed(crowded_links(df, crowded, texts.select("num", "text_key", "n", "class"), text_col, similarity).toDF("a", "b"), "a", "b"))
+    return checkpoint(found)
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) with text_a and text_b."""
+    return pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """One row for each input row: id, text_key (MD5 of its text), class_id and keep.
 
-    Equal texts are one class, as are texts joined by a chain of pairs whose alignment reaches ``similarity``. ``class_id`` is the
+    Equal texts are one class, as are texts joined by a chain of pairs whose alignment reaches ``similarity``; none is missed, however many rounds of sketches come first (one at least). ``class_id`` is the
     class's least id, ``keep`` whether the row has that id and the first text (by MD5) with it; repeated rows all keep it.
     Null texts count as empty and are copies of each other; texts of fewer than five words are one shingle.
     A null id counts as larger than all others. Empty tables give no rows; other columns are ignored.
     """
-    nodes = checkpoint(sketches(df, id_col, text_col))
+    nodes = checkpoint(sketches(df, id_col, text_col).withColumn("num", F.monotonically_increasing_id()))
     buckets = checkpoint(bucket_rows(nodes))
     ends = buckets.select("text_key").distinct().join(nodes.select("text_key", "id"), "text_key")
     source = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -273,6 +451,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = checkpoint(texts.dropDuplicates(["text_key"]))
     links: DataFrame | None = None
     classes: DataFrame | None = None
+    tried: DataFrame | None = None
     for _ in range(rounds):
         rows = buckets
         if classes is not None:
@@ -280,10 +459,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             mixed = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
             rows = rows.join(mixed, "key")
         pairs = candidate_pairs(rows)
-        pairs = pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
-        found = checkpoint(verify(pairs, similarity).select("u", "v"))
+        pairs = checkpoint(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = checkpoint(verify(with_texts(pairs, texts), similarity).select("u", "v"))
         links = found if links is None else links.unionByName(found)
         classes = checkpoint(connected_components(links))
+    found = missed_links(df, nodes, classes, text_col, similarity)
+    if not found.isEmpty():
+        classes = checkpoint(connected_components(links.unionByName(found)))
     named = nodes.join(classes.withColumnRenamed("node", "text_key"), "text_key", "left").select("text_key", "id", F.coalesce("component", "text_key").alias("component"))
     named = checkpoint(named)
     # A null id stands behind all others.

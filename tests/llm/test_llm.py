@@ -223,3 +223,36 @@ def test_pipeline_runs(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.where("NOT round_trip").count() == 0 and 0 < out.count() <= 82
     assert {r.doc_id % 2 for r in out.where("doc_id < 900").collect()} == {0}
+
+
+@pytest.mark.parametrize("crowd", [minhash.LIGHT, 3])
+def test_minhash_finds_links_that_no_sketch_has(spark, monkeypatch, crowd):
+    monkeypatch.setattr(minhash, "LIGHT", crowd)
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 40)
+    r = random.Random(4)
+    texts = []
+    for k in range(3):
+        base = prose(70 + k, 120)
+        for c in range(60):  # copies around the threshold
+            words = list(base)
+            for e in r.sample(range(0, 120, 8), r.randrange(1, 5)):
+                words[e] = f"edit{k}x{c}x{e}"
+            texts.append((len(texts), " ".join(words)))
+    shingles, starts = minhash.labelled_shingles(pa.array([t for _, t in texts]))
+    of = [shingles[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+    links = list(range(len(of)))
+
+    def root(i):
+        while links[i] != i:
+            i = links[i]
+        return i
+
+    for a in range(len(of)):
+        for b in range(a + 1, len(of)):
+            if minhash.aligned(of[a], of[b], 0.8) >= 0.8:
+                x, y = root(a), root(b)
+                links[max(x, y)] = min(x, y)
+    # Sketches that give no pair at all leave everything to the exact pass.
+    monkeypatch.setattr(minhash, "candidate_pairs", lambda buckets: buckets.select(F.col("text_key").alias("a"), F.col("text_key").alias("b")).limit(0))
+    got = {x.doc_id: x.class_id for x in minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {i: root(i) for i in range(len(of))} and len(set(got.values())) < len(got)
