@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.bpe import slices
@@ -43,9 +43,11 @@ CHUNK, PARTNERS = 512, 3
 #: Rounds of pairing and verifying.
 ROUNDS = 2
 #: Texts that bring the frequencies by which shingles are ordered, and shingles that are known as frequent. They change the cost of the exact pass, not what it finds.
-ORDER_TEXTS, FREQUENT = 20_000, 1 << 16
+ORDER_TEXTS, FREQUENT = 5_000, 1 << 16
 #: A shingle that begins more texts than this has them compared in blocks, of about so many texts and shingles.
 LIGHT, BLOCK_TEXTS, BLOCK_SHINGLES = 64, 1024, 1 << 18
+#: Keys of at most so many texts are broadcast to where the texts are read, so that texts aren't shuffled.
+FEW_KEYS = 100_000
 #: Keeps thresholds that floats miss by a hair.
 HAIR = 1e-9
 SEED = 11
@@ -354,17 +356,21 @@ def block_links(num: np.ndarray, side: np.ndarray, classes: np.ndarray, shingles
     return out
 
 
-def crowded_links(df: DataFrame, rows: DataFrame, texts: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """Links (u, v) by number among texts of crowded shingles: ``rows`` has token and num of these, ``texts`` num, text_key, n and class.
+def crowded_links(df: DataFrame, rows: DataFrame, numbers: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Links (u, v) by number among texts of crowded shingles: ``rows`` has token, num, class and n, ``numbers`` num and text_key.
 
     Texts that crowded shingles connect are one group; its texts are dealt to blocks by hash, and each two blocks are compared in a task of their own.
     """
     bound_batches(df.sparkSession)
-    groups = connected_components(rows.select(F.concat(F.lit("n"), "num").alias("u"), F.concat(F.lit("t"), "token").alias("v")))
-    groups = groups.where("node LIKE 'n%'").select(F.expr("CAST(substr(node, 2) AS BIGINT)").alias("num"), F.col("component").alias("cluster"))
-    members = checkpoint(groups.join(texts, "num"))
+    # A shingle's least text stands for it, so that only texts are nodes.
+    least = F.min("num").over(Window.partitionBy("token"))
+    groups = connected_components(rows.select(F.col("num").alias("u"), least.alias("v")))
+    members = rows.select("num", "class", "n").distinct().join(groups.select(F.col("node").alias("num"), F.col("component").alias("cluster")), "num").join(numbers, "num")
+    members = checkpoint(members)
     sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = members.join(F.broadcast(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    if members.count() <= FEW_KEYS:
+        members = F.broadcast(members)
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(members, "text_key").select("text_key", "text", "num", "class", "cluster", "block", "blocks")
 
@@ -375,7 +381,7 @@ def crowded_links(df: DataFrame, rows: DataFrame, texts: DataFrame, text_col: st
                 column = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(shingles.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("num", "class", "cluster", "block", "blocks")), column], names=["num", "class", "cluster", "block", "blocks", "shingles"])
 
-    read_rows = source.mapInArrow(tidy(read), "num long, class long, cluster string, block int, blocks int, shingles array<long>").dropDuplicates(["num"])
+    read_rows = source.mapInArrow(tidy(read), "num long, class long, cluster long, block int, blocks int, shingles array<long>").dropDuplicates(["num"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = read_rows.select("*", other).select(
         "num", "class", "shingles", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"),
@@ -403,10 +409,12 @@ def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, text_col:
     numbers = nodes.select("text_key", "num")
     of_class = classes.select(F.col("node").alias("text_key"), "component").join(numbers.select(F.col("text_key").alias("component"), F.col("num").alias("class")), "component").select("text_key", "class")
     known = numbers.join(of_class, "text_key", "left").select("text_key", "num", F.coalesce("class", "num").alias("class"))
-    texts = checkpoint(prefix_rows(df, order, text_col, similarity).join(known, "text_key"))
+    texts = prefix_rows(df, order, text_col, similarity).join(known, "text_key")
     rows = texts.select("num", "class", "n", "n_index", F.posexplode("tokens").alias("at", "token")).select("token", "num", "class", "n", (F.col("at") < F.col("n_index")).alias("index"))
-    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("texts"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("texts > 1 AND lo <> hi").select("token", "texts")
-    rows = checkpoint(rows.join(shared, "token"))
+    # A window needs one shuffle of the rows, a grouping and a join two.
+    alike = Window.partitionBy("token")
+    rows = rows.withColumns({"texts": F.count(F.lit(1)).over(alike), "lo": F.min("class").over(alike), "hi": F.max("class").over(alike)})
+    rows = checkpoint(rows.where("texts > 1 AND lo <> hi").drop("lo", "hi"))
     light, crowded = rows.where(F.col("texts") <= LIGHT), rows.where(F.col("texts") > LIGHT)
     longer = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.num") > F.col("x.num")))
     pairs = (
@@ -414,17 +422,16 @@ def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, text_col:
         .where((F.col("x.class") != F.col("y.class")) & longer & (F.col("x.n") >= similarity * F.col("y.n") - HAIR))
         .select(F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
     )
-    names = texts.select("text_key", "num")
-    keyed = lambda p, x, y: p.join(names.select(F.col("num").alias(x), F.col("text_key").alias("u")), x).join(names.select(F.col("num").alias(y), F.col("text_key").alias("v")), y).select("u", "v")
+    keyed = lambda p, x, y: p.join(numbers.select(F.col("num").alias(x), F.col("text_key").alias("u")), x).join(numbers.select(F.col("num").alias(y), F.col("text_key").alias("v")), y).select("u", "v")
     pairs = checkpoint(keyed(pairs, "a", "b").select(F.col("u").alias("a"), F.col("v").alias("b")))
     wanted = checkpoint(pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct())
-    if wanted.count() <= ORDER_TEXTS:
+    if wanted.count() <= FEW_KEYS:
         wanted = F.broadcast(wanted)
     text = F.coalesce(F.col(text_col), F.lit(""))
     of = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(wanted, "text_key").dropDuplicates(["text_key"])
     found = verify(with_texts(pairs, checkpoint(of)), similarity).select("u", "v")
     if not crowded.isEmpty():
-        found = found.unionByName(keyed(crowded_links(df, crowded, texts.select("num", "text_key", "n", "class"), text_col, similarity).toDF("a", "b"), "a", "b"))
+        found = found.unionByName(keyed(crowded_links(df, crowded, numbers, text_col, similarity).toDF("a", "b"), "a", "b"))
     return checkpoint(found)
 
 
