@@ -144,8 +144,8 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return keyed.join(shared, "key").join(nodes.select("text_key", "sketch"), "text_key").select("key", "text_key", "sketch")
 
 
-def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int = PARTNERS) -> set[tuple[int, int]]:
-    """Pairs of rows of a chunk: each row with the rows that agree with it in most entries, and with the most central row. With classes, only pairs across them."""
+def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int = PARTNERS) -> tuple[set[tuple[int, int]], int]:
+    """Pairs of rows of a chunk, and its most central row: each row with the rows that agree with it in most entries, and with the most central row. With classes, only pairs across them."""
     agree = np.zeros((len(sketch), len(sketch)), np.int16)
     for j in range(sketch.shape[1]):
         agree += sketch[:, j, None] == sketch[None, :, j]
@@ -159,14 +159,15 @@ def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int =
     best = np.argpartition(-rank, top - 1, axis=1)[:, :top]
     out = {(min(i, j), max(i, j)) for i, row in enumerate(best.tolist()) for j in row if agree[i, j] >= 0}
     centre = int(np.argmax(central))
-    return out | {(min(i, centre), max(i, centre)) for i in range(len(sketch)) if i != centre and agree[i, centre] >= 0}
+    return out | {(min(i, centre), max(i, centre)) for i in range(len(sketch)) if i != centre and agree[i, centre] >= 0}, centre
 
 
 def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Distinct pairs (a, b) of text keys, a < b. ``buckets`` may have a ``class`` column; then only pairs across classes come.
 
     Rows are dealt by ranges of (key, following entries, text), so that a bucket of any size is spread over tasks and texts that agree further
-    stand together; each task reads its rows in chunks of one bucket, and chunks of one bucket are linked by their central texts.
+    stand together; each task reads its rows in chunks of one bucket, and a chunk's central text is also compared in the task's next chunk of that bucket.
+    Partners in chunks further apart or in other tasks don't meet here; ``missed_links`` finds them.
     """
     with_class = "class" in buckets.columns
     following = [F.element_at("sketch", F.pmod(F.array_position("sketch", F.col("key")) + i, F.lit(ENTRIES)).cast("int") + 1).alias(f"o{i}") for i in (0, 1)]
@@ -174,10 +175,6 @@ def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = buckets.select("key", *following, "text_key", "sketch", *(["class"] if with_class else []))
     dealt = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
-    def pairs_of(keys: list[bytes], sketch: np.ndarray, classes: np.ndarray | None) -> Iterator[tuple[bytes, bytes]]:
-        for i, j in chunk_pairs(sketch, classes):
-            yield (keys[i], keys[j]) if keys[i] < keys[j] else (keys[j], keys[i])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.RecordBatch | None = None
 
@@ -191,16 +188,20 @@ def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
             found: set[tuple[bytes, bytes]] = set()
             left = None
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if b == len(key) and not final and b - a < chunk:
-                    left = batch.slice(a)
-                    break
-                before = None
+                centre = None
                 for at in range(a, b, chunk):
-                    end = min(at + chunk, b)
-                    # A row of the chunk before stands in for its texts.
-                    some = ([before] if before is not None else []) + list(range(at, end))
-                    found.update(pairs_of([names[i] for i in some], sketch[some], classes[some] if classes is not None else None) if len(some) > 1 else ())
-                    before = at
+                    # The central row of the chunk before stands in for its texts.
+                    some = ([centre] if centre is not None else []) + list(range(at, min(at + chunk, b)))
+                    if b == len(key) and not final and b - at < chunk:
+                        left = batch.take(pa.array(some))
+                        centre = None
+                        break
+                    if len(some) > 1:
+                        pairs, middle = chunk_pairs(sketch[some], classes[some] if classes is not None else None)
+                        found.update((min(names[some[i]], names[some[j]]), max(names[some[i]], names[some[j]])) for i, j in pairs)
+                        centre = some[middle]
+                if b == len(key) and not final and centre is not None:
+                    left = batch.slice(centre, 1)
             a, b = zip(*found, strict=True) if found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]), left
 

@@ -256,3 +256,23 @@ def test_minhash_finds_links_that_no_sketch_has(spark, monkeypatch, crowd):
     monkeypatch.setattr(minhash, "candidate_pairs", lambda buckets: buckets.select(F.col("text_key").alias("a"), F.col("text_key").alias("b")).limit(0))
     got = {x.doc_id: x.class_id for x in minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == {i: root(i) for i in range(len(of))} and len(set(got.values())) < len(got)
+
+
+def test_central_text_links_chunks_and_batches(spark, monkeypatch):
+    rows = []
+    for i in range(8):
+        sketch = [77, i + 1, i + 1] + [1000 + 10 * i + j for j in range(7)]
+        if i in (0, 1, 3):
+            sketch[3 + i] = 1020 + i  # as text 2 has it there
+        rows.append((77, bytes([i]), sketch))
+    frame = spark.createDataFrame(rows, "key long, text_key binary, sketch array<long>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        for size in ("4", "6", "8"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            pairs = {(r.a[0], r.b[0]) for r in minhash.candidate_pairs(frame, chunk=4).collect()}
+            assert any(a == 2 and b > 3 for a, b in pairs), size
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
