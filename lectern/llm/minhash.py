@@ -226,13 +226,13 @@ def aligned(x: np.ndarray, y: np.ndarray, similarity: float) -> float:
     n = len(x) + len(y)
     if not n:
         return 1.0
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - HAIR:
         return 0.0
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    band = int(n * (1 - similarity) / (1 + similarity))
+    band = int(n * (1 - similarity) / (1 + similarity) + HAIR)
     near = np.abs(i - j) <= band
     i, j = i[near], j[near]
-    if len(i) < similarity * (n - len(i)):
+    if len(i) < similarity * (n - len(i)) - HAIR:
         return 0.0
     j = j[np.argsort(i)]
     length = len(j)

@@ -276,3 +276,9 @@ def test_central_text_links_chunks_and_batches(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("k", [1, 2, 10, 20, 45])
+def test_alignment_of_exactly_the_threshold(k):
+    x = np.arange(5 * k, dtype=np.uint64)
+    assert minhash.aligned(x, x[k:], 0.8) == 0.8 and minhash.aligned(x[k:], x, 0.8) == 0.8
