@@ -184,12 +184,12 @@ def weak_votes(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def fit_quality(df: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> QualityModel:
-    """Votes of all documents give the label model; the scorer is fitted on the posterior labels of at most ``rows`` of them."""
+    """Votes of all documents give the label model; the scorer is fitted on the posterior labels of at most ``rows`` distinct texts, those with the least MD5."""
     patterns = weak_votes(df, text_col).groupBy("votes").count().collect()  # at most 3 to the number of labellers
     to_votes = lambda texts: np.array([["-0+".index(c) - 1 for c in t] for t in texts], np.int64).reshape(len(texts), len(LABELLERS))
     labels = fit_label_model(to_votes([r["votes"] for r in patterns]), np.array([r["count"] for r in patterns], float))
     order = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    chosen = df.select(order.alias("order")).orderBy("order").limit(rows).agg(F.max("order")).first()[0]
+    chosen = df.select(order.alias("order")).distinct().orderBy("order").limit(rows).agg(F.max("order")).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -200,7 +200,7 @@ def fit_quality(df: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -
                 y = labels.posterior(vote(shares, tokens.counts))
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), pa.array(y)], names=["x", "y"])
 
-    # Copies of one text at the limit could be many, so the sample is of distinct texts.
+    # Copies count once, both for the limit and in the sample.
     sample = df.select(text_col).where(order <= F.lit(chosen)).distinct().limit(rows) if chosen is not None else df.select(text_col).limit(0)
     got = sample.mapInArrow(tidy(run), StructType([StructField("x", BinaryType()), StructField("y", DoubleType())])).collect()
     x = np.frombuffer(b"".join(r["x"] for r in got), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)

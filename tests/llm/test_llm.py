@@ -282,3 +282,13 @@ def test_central_text_links_chunks_and_batches(spark, monkeypatch):
 def test_alignment_of_exactly_the_threshold(k):
     x = np.arange(5 * k, dtype=np.uint64)
     assert minhash.aligned(x, x[k:], 0.8) == 0.8 and minhash.aligned(x[k:], x, 0.8) == 0.8
+
+
+def test_quality_fits_on_distinct_texts(spark, monkeypatch):
+    frame = docs_frame(spark, [(30 * i + c, " ".join(prose(i, 30))) for i in range(8) for c in range(30)])
+    sizes = []
+    fit = quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda x, y: sizes.append(len(x)) or fit(x, y))
+    for rows in (5, 40):
+        quality.fit_quality(frame, rows=rows)
+    assert sizes == [5, 8]
