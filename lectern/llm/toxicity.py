@@ -310,7 +310,8 @@ def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     for s in sorted((r["word"] for r in found if r["is_stem"]), key=len):
         if not any(s.startswith(x) for x in stems):
             stems.append(s)
-    words = sorted(r["word"] for r in found if not r["is_stem"] and not any(r["word"].startswith(s) for s in stems))
+    # Words that begin with a stem stay, as their misspellings may miss it.
+    words = sorted(r["word"] for r in found if not r["is_stem"])
     return words, sorted(stems)
 
 

@@ -292,3 +292,12 @@ def test_quality_fits_on_distinct_texts(spark, monkeypatch):
     for rows in (5, 40):
         quality.fit_quality(frame, rows=rows)
     assert sizes == [5, 8]
+
+
+def test_toxicity_keeps_words_beside_stems(spark):
+    forms = ["horridly", "horrider", "horridness"]
+    texts = [(i, " ".join(prose(i, 20) + ([forms[i // 4 % 3]] if i % 4 == 0 else []) + prose(900 + i, 10))) for i in range(400)]
+    train = spark.createDataFrame([(t, int(i % 4 == 0)) for i, t in texts], "text string, label int")
+    words, stems = toxicity.learn_lexicon(train)
+    assert "horr" in stems and set(forms) <= set(words)
+    assert toxicity.term_kinds(toxicity.LexiconAutomaton(words, stems), ["horridly", "hrridly", "hortidness"]).min() > 0
