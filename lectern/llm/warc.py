@@ -75,7 +75,8 @@ def audit_replicas(left: DataFrame, right: DataFrame, leaf_bytes: int = LEAF_BYT
     """Where two replicas differ: file, offset, status and the lengths and digests on either side.
 
     Both sides have file, offset, length and digest. Status is ``corrupt`` (both have a record at the offset, with other
-    bytes), ``missing`` (only the left has it) or ``extra`` (only the right). Null files or offsets can't be
+    bytes), ``missing`` (only the left has it) or ``extra`` (only the right). Where several records claim one offset, those that both sides have
+    are left out, and the others are set against each other in the order of length and digest. Null files or offsets can't be
     addressed and are left out, as are repeated rows after the first. Equal or empty replicas give no rows. Further columns are ignored.
     """
     sides = [checkpoint(x.select("file", "offset", "length", "digest").where("file IS NOT NULL AND offset IS NOT NULL").distinct()) for x in (left, right)]
@@ -93,13 +94,12 @@ def audit_replicas(left: DataFrame, right: DataFrame, leaf_bytes: int = LEAF_BYT
         a, b = (x.withColumnRenamed("hash", f"hash_{i}") for i, x in enumerate(here))
         differing = a.join(b, ["file", "node"], "full").where(~F.col("hash_0").eqNullSafe(F.col("hash_1"))).select("file", "node")
         differing = checkpoint(differing)
-    spots = []
-    for i, x in enumerate(sides):
-        near = x.withColumn("node", F.floor(F.col("offset") / leaf_bytes)).join(differing, ["file", "node"], "left_semi")
-        spots.append(near.groupBy("file", "offset").agg(F.min(F.struct("length", "digest")).alias(f"r{i}")))
+    near = [x.withColumn("node", F.floor(F.col("offset") / leaf_bytes)).join(differing, ["file", "node"], "left_semi").select("file", "offset", F.struct("length", "digest").alias("r")) for x in sides]
+    alike = F.col("a.file").eqNullSafe(F.col("b.file")) & (F.col("a.offset") == F.col("b.offset")) & F.col("a.r.length").eqNullSafe(F.col("b.r.length")) & F.col("a.r.digest").eqNullSafe(F.col("b.r.digest"))
+    turn = F.row_number().over(Window.partitionBy("file", "offset").orderBy("r"))
+    spots = [x.alias("a").join(y.alias("b"), alike, "left_anti").withColumn("turn", turn).withColumnRenamed("r", f"r{i}") for i, (x, y) in enumerate((near, near[::-1]))]
     return (
-        spots[0].join(spots[1], ["file", "offset"], "full")
-        .where(~F.col("r0").eqNullSafe(F.col("r1")))
+        spots[0].join(spots[1], ["file", "offset", "turn"], "full")
         .select(
             "file", "offset",
             F.when(F.col("r1").isNull(), "missing").when(F.col("r0").isNull(), "extra").otherwise("corrupt").alias("status"),
@@ -108,19 +108,28 @@ def audit_replicas(left: DataFrame, right: DataFrame, leaf_bytes: int = LEAF_BYT
     )
 
 
-def damaged_replica(records: DataFrame) -> DataFrame:
-    """A replica with planted faults for drills: by the digest's last byte, one in 64 records is flipped and another one lost; one in 64 is followed by a stray record."""
-    drill = F.pmod(F.conv(F.substring("digest", 63, 2), 16, 10).cast("int"), F.lit(64))
-    flipped = F.when(drill == 0, F.sha2(F.concat(F.lit("flipped:"), "digest"), 256)).otherwise(F.col("digest"))
-    kept = records.where(drill != 1).select("file", "offset", "length", flipped.alias("digest"))
-    stray = records.where(drill == 2).select("file", (F.col("offset") + 1).alias("offset"), F.lit(1).cast("long").alias("length"), F.sha2(F.concat(F.lit("stray:"), "digest"), 256).alias("digest"))
-    return kept.unionByName(stray)
+def damaged_replica(pages: DataFrame, placed: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
+    """A second replica, read and hashed by itself, with faults planted in its bytes for drills: file, offset, length, digest.
+
+    ``placed`` (of ``pack_records``) says where a record lies. By the record's own digest, one in 64 has a bit of its first byte flipped, another one is
+    lost, and another one is followed by a stray record. Null parts count as in ``warc_record``; repeated pages are one record.
+    """
+    record = warc_record(F.col(url_col), F.col(body_col), F.col(id_col))
+    read = pages.select(F.col(id_col).alias("record_id"), F.col(url_col).alias("url"), record.alias("record"), F.sha2(record, 256).alias("key"))
+    drill = F.pmod(F.conv(F.substring("key", 63, 2), 16, 10).cast("int"), F.lit(64))
+    kept = F.struct(F.lit(0).alias("shift"), F.when(drill == 0, F.concat(F.lit(b"w"), F.expr("substring(record, 2)"))).otherwise(F.col("record")).alias("bytes"))
+    stray = F.struct(F.lit(1).alias("shift"), F.concat(F.lit("stray:"), "key").cast("binary").alias("bytes"))
+    stored = read.where(drill != 1).select("record_id", "url", "key", F.explode(F.when(drill == 2, F.array(kept, stray)).otherwise(F.array(kept))).alias("s"))
+    hashed = stored.select("record_id", "url", "key", "s.shift", F.octet_length("s.bytes").cast("long").alias("length"), F.sha2("s.bytes", 256).alias("digest"))
+    same = F.col("h.record_id").eqNullSafe(F.col("p.record_id")) & F.col("h.url").eqNullSafe(F.col("p.url")) & (F.col("h.key") == F.col("p.digest"))
+    return hashed.alias("h").join(placed.alias("p"), same).select("p.file", (F.col("p.offset") + F.col("h.shift")).alias("offset"), "h.length", "h.digest").distinct()
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits the WARC layout of all pages against a replica with planted faults."""
-    records = checkpoint(pack_records(read_table(spark, sf_dir, "pages")))
-    found = audit_replicas(records, damaged_replica(records))
+    pages = read_table(spark, sf_dir, "pages")
+    records = checkpoint(pack_records(pages))
+    found = audit_replicas(records, damaged_replica(pages, records))
     names = records.select("file", "offset", F.col("record_id").alias("page_id"), "copies")
     return found.join(names, ["file", "offset"], "left").select("file", "offset", "status", "page_id", "copies", "length", "other_length", "digest", "other_digest")
 
@@ -132,7 +141,7 @@ WITH rec AS (
          || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
   FROM pages
 ), lean AS (
-  SELECT page_id, url, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest, count(*) AS copies FROM rec GROUP BY ALL
+  SELECT page_id, url, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest, sha256('w' || substr(record, 2)) AS flipped, count(*) AS copies FROM rec GROUP BY ALL
 ), placed AS (
   SELECT *, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % greatest((SELECT CAST(ceil(count(*) / 1024.0) AS BIGINT) FROM pages), 1) AS file,
          CAST('0x' || substr(digest, 63, 2) AS BIGINT) % 64 AS drill
@@ -141,7 +150,7 @@ WITH rec AS (
   SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, url NULLS FIRST, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
   FROM placed
 )
-SELECT file, "offset", 'corrupt' AS status, page_id, copies, length, length AS other_length, digest, sha256('flipped:' || digest) AS other_digest FROM laid WHERE drill = 0
+SELECT file, "offset", 'corrupt' AS status, page_id, copies, length, length AS other_length, digest, flipped AS other_digest FROM laid WHERE drill = 0
 UNION ALL SELECT file, "offset", 'missing', page_id, copies, length, NULL, digest, NULL FROM laid WHERE drill = 1
-UNION ALL SELECT file, "offset" + 1, 'extra', NULL, NULL, NULL, 1, NULL, sha256('stray:' || digest) FROM laid WHERE drill = 2
+UNION ALL SELECT file, "offset" + 1, 'extra', NULL, NULL, NULL, 70, NULL, sha256('stray:' || digest) FROM laid WHERE drill = 2
 """
