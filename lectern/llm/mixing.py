@@ -1,9 +1,10 @@
 """Mixing sources to target weights by hierarchical budgets.
 
 Domains, languages and sources form a tree. A total budget of tokens runs down it: each node's budget is dealt to its children by weight,
-no child gets more than its supply (its tokens times the most epochs), and what a short child leaves goes to its siblings by weight; only what a
-whole family can't use is left to the next family above. That is water-filling at each node, computed
-for all nodes of a level at once with window functions over the small table of nodes.
+no child gets more than its usable supply (its leaves' tokens times the most epochs, without leaves that a weight of 0 shuts off), and what a short child
+leaves goes to its siblings by weight; only what a whole family can't use goes to the families beside it, one level up. Supplies are
+summed from the leaves upwards first, so a parent never gets what its children can't use. That is water-filling at each node,
+computed for all nodes of a level at once with window functions over the small table of nodes.
 
 Each leaf then takes a token prefix of its seeded epochs: epoch 0 is all its documents in a pseudo-random order, epoch 1 in
 another order, and so on. Cumulative sums are taken in two steps, over hash ranges of a leaf and then within
@@ -77,9 +78,11 @@ def water_fill(nodes: DataFrame, parent: Sequence[str], child: str) -> DataFrame
 def leaf_budgets(leaves: DataFrame, budget: Column, domain_weights: Mapping[str, float] = DOMAIN_WEIGHTS, lang_weights: Mapping[str, float] = LANG_WEIGHTS) -> DataFrame:
     """Budgets of the leaves: rows of domain, lang, source and ``supply`` in, the same with ``budget`` out.
 
-    The table has a row for each source, not for each document. Null names are nodes of their own.
+    The table has a row for each source, not for each document. Null names are nodes of their own. A shortage is met by siblings
+    first and by their parents' siblings next, as only supply below positive weights counts on the way up.
     """
-    supply = F.sum("supply").alias("supply")
+    supply = F.sum("usable").cast("long").alias("supply")
+    leaves = leaves.withColumn("usable", F.when(_weight("lang", lang_weights) > 0, F.col("supply")).otherwise(F.lit(0)))
     level = leaves.groupBy("domain").agg(supply).withColumns({"weight": _weight("domain", domain_weights), "root": F.lit(0), "parent_budget": budget})
     level = water_fill(level, ["root"], "domain").select("domain", F.col("budget").alias("parent_budget"))
     for names, weight in ((["domain", "lang"], _weight("lang", lang_weights)), (["domain", "lang", "source"], F.lit(1.0))):
@@ -87,7 +90,14 @@ def leaf_budgets(leaves: DataFrame, budget: Column, domain_weights: Mapping[str,
         nodes = leaves.groupBy(*names).agg(supply).withColumn("weight", weight)
         joined = nodes.alias("n").join(level.alias("u"), up).select("n.*", "u.parent_budget")
         level = water_fill(joined, names[:-1], names[-1]).select(*names, F.col("budget").alias("parent_budget"))
-    return leaves.alias("n").join(level.alias("u"), [F.col(f"n.{c}").eqNullSafe(F.col(f"u.{c}")) for c in LEVELS]).select("n.*", F.col("u.parent_budget").alias("budget"))
+    return leaves.alias("n").join(level.alias("u"), [F.col(f"n.{c}").eqNullSafe(F.col(f"u.{c}")) for c in LEVELS]).select("n.*", F.col("u.parent_budget").alias("budget")).drop("usable")
+
+
+def mixture_report(picked: DataFrame, domain_weights: Mapping[str, float] = DOMAIN_WEIGHTS) -> DataFrame:
+    """Achieved against target shares of tokens: domain, tokens, share and target, of the rows of ``mix``. An empty mixture gives no rows."""
+    tokens = picked.groupBy("domain").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens")).withColumn("weight", _weight("domain", domain_weights))
+    all_of = Window.partitionBy(F.lit(0))  # a row for each domain
+    return tokens.select("domain", "tokens", (F.col("tokens") / F.sum("tokens").over(all_of)).alias("share"), (F.col("weight") / F.sum("weight").over(all_of)).alias("target"))
 
 
 def mix(df: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -164,11 +174,13 @@ lean AS (
   GROUP BY doc_id, lang, source, num, n_tokens, text_md5
 ), leaves AS (
   SELECT domain, lang, source, CAST(sum(tokens) * {max_epochs} AS BIGINT) AS supply FROM lean GROUP BY ALL
+), usable AS (
+  SELECT domain, lang, source, CASE WHEN {weight('lang', LANG_WEIGHTS)} > 0 THEN supply ELSE 0 END AS supply FROM leaves
 ), total AS (
   SELECT CAST(coalesce(floor(sum(supply) / {max_epochs} * {budget_share!r}), 0) AS BIGINT) AS b FROM leaves
-), {fill("d", f"SELECT domain, CAST(sum(supply) AS BIGINT) AS supply, {weight('domain', DOMAIN_WEIGHTS)} AS weight, 0 AS root, (SELECT b FROM total) AS parent_budget FROM leaves GROUP BY domain", "root", "domain")},
-{fill("l", f"SELECT n.*, d.budget AS parent_budget FROM (SELECT domain, lang, CAST(sum(supply) AS BIGINT) AS supply, {weight('lang', LANG_WEIGHTS)} AS weight FROM leaves GROUP BY ALL) n JOIN d USING (domain)", "domain", "lang")},
-{fill("s", "SELECT n.*, l.budget AS parent_budget FROM (SELECT domain, lang, source, supply, 1.0::DOUBLE AS weight FROM leaves) n JOIN l ON n.domain = l.domain AND n.lang IS NOT DISTINCT FROM l.lang", "domain, lang", "source")},
+), {fill("d", f"SELECT domain, CAST(sum(supply) AS BIGINT) AS supply, {weight('domain', DOMAIN_WEIGHTS)} AS weight, 0 AS root, (SELECT b FROM total) AS parent_budget FROM usable GROUP BY domain", "root", "domain")},
+{fill("l", f"SELECT n.*, d.budget AS parent_budget FROM (SELECT domain, lang, CAST(sum(supply) AS BIGINT) AS supply, {weight('lang', LANG_WEIGHTS)} AS weight FROM usable GROUP BY ALL) n JOIN d USING (domain)", "domain", "lang")},
+{fill("s", "SELECT n.*, l.budget AS parent_budget FROM (SELECT domain, lang, source, supply, 1.0::DOUBLE AS weight FROM usable) n JOIN l ON n.domain = l.domain AND n.lang IS NOT DISTINCT FROM l.lang", "domain, lang", "source")},
 keyed AS (
   SELECT e.*, s.budget, md5('{seed}|' || CAST(epoch AS VARCHAR) || '|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_md5) AS key
   FROM (SELECT *, unnest(range({max_epochs}))::INTEGER AS epoch FROM lean) e
@@ -183,7 +195,7 @@ keyed AS (
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all documents: one row for each document and epoch."""
     picked = mix(read_table(spark, sf_dir, "documents"))
-    return picked.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "leaf_tokens")
+    return picked.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "copies", "leaf_tokens")
 
 
-SQL = f"WITH {mixing_sql()} SELECT doc_id, domain, lang, source, n_tokens, epoch, leaf_tokens FROM mixed"
+SQL = f"WITH {mixing_sql()} SELECT doc_id, domain, lang, source, n_tokens, epoch, copies, leaf_tokens FROM mixed"
