@@ -2,7 +2,7 @@
 
 The lexicon (words, and stems that many words share) is learnt from labelled rows, or given. Its trie is intersected
 with the Levenshtein automata of all words at once: a state of the product is a set of (trie node, edits so far),
-made deterministic, so that one table look-up per letter tells whether a word is a term, a misspelt term,
+made deterministic when a word first reaches it, so that one table look-up per letter tells whether a word is a term, a misspelt term,
 or begins with a stem. The table is run over all distinct words of a batch in parallel.
 
 Each hit is weighed by the window of tokens around it: inside quotation marks or near a reporting word it counts as
@@ -13,17 +13,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from lectern.llm.bpe import slices
 from lectern.llm.common import TOKEN_BYTES, bound_batches, checkpoint, read_table, tidy
+from lectern.llm.minhash import sketches
 from lectern.llm.tokens import TokenBatch
 
 #: At most so many labelled rows are fitted on, those with the least MD5 of their id.
@@ -36,6 +37,8 @@ PRECISION = 0.8
 CANDIDATES = 100_000
 #: So many different words must stand before a word in toxic rows.
 CONTEXTS = 3
+#: States of an automaton's table beyond which it is made anew.
+MOST_STATES = 50_000
 #: Tokens on either side of a hit that are its context.
 WINDOW = 6
 #: What counts as address, as reporting and as a quotation mark, in the corpus's languages.
@@ -53,107 +56,111 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
-@dataclass
 class LexiconAutomaton:
-    """The trie of a lexicon intersected with its Levenshtein automata, as a table.
+    """The trie of a lexicon intersected with its Levenshtein automata, as a table whose states are made when a word first reaches them.
 
-    ``table[state, letter]`` is the next state; state 0 is dead, 1 is the start; letter 0 stands for every letter that no term has.
-    ``edits[state]`` is the least number of edits with which a word that ends there is a term (9: it isn't one),
-    ``stem[state]`` whether a stem was completed on the way.
+    ``table[state, letter]`` is the next state, or -1 while it isn't known; state 0 is dead, 1 is the start, 2 has completed a stem; letter 0 stands for every letter
+    that no term has. ``edits[state]`` is the least number of edits with which a word that ends there is a term (9: it isn't one),
+    ``stem[state]`` whether a stem was completed on the way. A set of ``words`` adds at most as many states as it has letters, and the
+    table is emptied before a set if it has more than ``most`` states, so its size is bounded whatever the lexicon is.
     """
 
-    words: list[str]
-    stems: list[str] = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        children: list[dict[str, int]] = [{}]
-        term_edits: dict[int, int] = {}
-        stem_nodes: set[int] = set()
-        reach = [0]  # most edits that any word below a node allows
-        for text, is_stem in [*((w, False) for w in self.words), *((s, True) for s in self.stems)]:
+    def __init__(self, words: Iterable[str], stems: Iterable[str] = (), most: int = MOST_STATES):
+        self.most = most
+        self.children: list[dict[str, int]] = [{}]
+        self.term_edits: dict[int, int] = {}
+        self.stem_nodes: set[int] = set()
+        self.reach = [0]  # most edits that any word below a node allows
+        for text, is_stem in [*((w, False) for w in words), *((s, True) for s in stems)]:
             if not text:
                 continue
             node, k = 0, 0 if is_stem else allowed_edits(text)
-            reach[0] = max(reach[0], k)
+            self.reach[0] = max(self.reach[0], k)
             for c in text:
-                if c not in children[node]:
-                    children[node][c] = len(children)
-                    children.append({})
-                    reach.append(0)
-                node = children[node][c]
-                reach[node] = max(reach[node], k)
+                if c not in self.children[node]:
+                    self.children[node][c] = len(self.children)
+                    self.children.append({})
+                    self.reach.append(0)
+                node = self.children[node][c]
+                self.reach[node] = max(self.reach[node], k)
             if is_stem:
-                stem_nodes.add(node)
+                self.stem_nodes.add(node)
             else:
-                term_edits[node] = k
-        letters = sorted({c for kids in children for c in kids})
-        self.letter = {c: i + 1 for i, c in enumerate(letters)}
-
-        def closed(found: dict[int, int]) -> frozenset[tuple[int, int]]:
-            """With the letters that a word may leave out."""
-            stack = list(found.items())
-            while stack:
-                node, e = stack.pop()
-                if found.get(node, 9) < e:
-                    continue
-                for child in children[node].values():
-                    if e + 1 <= reach[child] and e + 1 < found.get(child, 9):
-                        found[child] = e + 1
-                        stack.append((child, e + 1))
-            return frozenset(found.items())
-
-        def step(state: frozenset[tuple[int, int]], c: str | None) -> frozenset[tuple[int, int]]:
-            found: dict[int, int] = {}
-            for node, e in state:
-                for letter, child in children[node].items():
-                    cost = e + (letter != c)
-                    if cost <= reach[child] or letter == c and cost == 0:
-                        found[child] = min(cost, found.get(child, 9))
-                if e + 1 <= reach[node]:
-                    found[node] = min(e + 1, found.get(node, 9))
-            return closed(found)
-
-        start = closed({0: 0})
-        number = {frozenset(): 0, start: 1}
-        rows, todo = {0: [0] * (len(letters) + 1)}, [start]
-        stem_state = -1
-        while todo:
-            state = todo.pop()
-            row = []
-            for c in [None, *letters]:
-                after = step(state, c)
-                if any(node in stem_nodes and e == 0 for node, e in after):
-                    after = frozenset({(stem_state, 0)})  # nothing that follows matters
-                if after not in number:
-                    number[after] = len(number)
-                    if after != frozenset({(stem_state, 0)}):
-                        todo.append(after)
-                row.append(number[after])
-            rows[number[state]] = row
-        n = len(number)
-        self.table = np.zeros((n, len(letters) + 1), np.int32)
-        self.edits, self.stem = np.full(n, 9, np.int8), np.zeros(n, bool)
-        for state, i in number.items():
-            if state == frozenset({(stem_state, 0)}):
-                self.table[i], self.stem[i] = i, True
+                self.term_edits[node] = k
+        self.letters = [None, *sorted({c for kids in self.children for c in kids})]
+        self.of_point = np.zeros(max([ord(c) for c in self.letters[1:]], default=0) + 2, np.int32)
+        for i, c in enumerate(self.letters[1:], 1):
+            self.of_point[ord(c)] = i
+        self._empty()
+
+    def _empty(self) -> None:
+        self.sets: list[frozenset[tuple[int, int]] | None] = []
+        self.number: dict[frozenset[tuple[int, int]], int] = {}
+        self.table = np.full((64, len(self.letters)), -1, np.int32)
+        self.edits, self.stem = np.full(64, 9, np.int8), np.zeros(64, bool)
+        self._state(frozenset())
+        self._state(self._closed({0: 0}))
+        self.sets.append(None)
+        self.table[0], self.table[2], self.stem[2] = 0, 2, True
+
+    def _closed(self, found: dict[int, int]) -> frozenset[tuple[int, int]]:
+        """With the letters that a word may leave out."""
+        stack = list(found.items())
+        while stack:
+            node, e = stack.pop()
+            if found.get(node, 9) < e:
                 continue
-            self.table[i] = rows[i]
-            self.edits[i] = min([e for node, e in state if node in term_edits and e <= term_edits[node]], default=9)
+            for child in self.children[node].values():
+                if e + 1 <= self.reach[child] and e + 1 < found.get(child, 9):
+                    found[child] = e + 1
+                    stack.append((child, e + 1))
+        return frozenset(found.items())
+
+    def _state(self, state: frozenset[tuple[int, int]]) -> int:
+        """The number of a set of (node, edits so far)."""
+        if state not in self.number:
+            i = self.number[state] = len(self.sets)
+            self.sets.append(state)
+            if i == len(self.table):
+                grown = lambda x, fill: np.concatenate([x, np.full_like(x, fill)])
+                self.table, self.edits, self.stem = grown(self.table, -1), grown(self.edits, 9), grown(self.stem, False)
+            self.edits[i] = min([e for node, e in state if node in self.term_edits and e <= self.term_edits[node]], default=9)
+        return self.number[state]
+
+    def _step(self, state: int, letter: int) -> int:
+        c = self.letters[letter]
+        found: dict[int, int] = {}
+        for node, e in self.sets[state]:
+            for label, child in self.children[node].items():
+                cost = e + (label != c)
+                if cost <= self.reach[child] or cost == 0:
+                    found[child] = min(cost, found.get(child, 9))
+            if e + 1 <= self.reach[node]:
+                found[node] = min(e + 1, found.get(node, 9))
+        after = self._closed(found)
+        # Nothing that follows a stem matters.
+        return 2 if any(e == 0 and node in self.stem_nodes for node, e in after) else self._state(after)
 
     def run(self, words: list[str]) -> np.ndarray:
-        """Final state of each word; all words advance together, one letter a step."""
+        """Final state of each word, valid until the next run; all words advance together, one letter a step."""
+        if len(self.sets) > self.most:
+            self._empty()
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        top = int(max(map(ord, self.letter), default=0)) + 1
-        of_point = np.zeros(top + 1, np.int32)
-        for c, i in self.letter.items():
-            of_point[ord(c)] = i
-        letters = of_point[np.minimum(points, top)]
+        letters = self.of_point[np.minimum(points, len(self.of_point) - 1)]
         starts = np.cumsum(lengths) - lengths
         state = np.ones(len(words), np.int32)
         live, at = np.flatnonzero(lengths > 0), 0
+        width = len(self.letters)
         while len(live):
-            state[live] = self.table[state[live], letters[starts[live] + at]]
+            now, letter = state[live], letters[starts[live] + at]
+            after = self.table[now, letter]
+            if (after < 0).any():
+                for pair in np.unique(now[after < 0].astype(np.int64) * width + letter[after < 0]).tolist():
+                    target = self._step(*divmod(pair, width))  # may replace the table
+                    self.table[divmod(pair, width)] = target
+                after = self.table[now, letter]
+            state[live] = after
             at += 1
             live = live[(lengths[live] > at) & (state[live] > 0)]
         return state
@@ -272,58 +279,68 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label_col: str = "toxic") -> DataFrame:
-    """Distinct texts and labels of at most ``rows`` labelled rows that aren't held out; a text with both labels is toxic. The sample's size bounds the broadcast."""
+    """Different texts and labels (0 or 1) of at most ``rows`` labelled rows that aren't held out. The sample's size bounds the broadcast.
+
+    Labels above 0 are toxic, null ones take no part; a text with both labels is toxic. Copies and near copies (texts that agree in an entry of their
+    sketches) are one example, else all words of a toxic text with copies would look toxic; the one with the least MD5 stands for them.
+    """
     sample = (
         labels.where(~is_held_out(F.col("doc_id")) & F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max(label_col).alias("label"))
+        .groupBy("doc_id").agg((F.max(label_col) > 0).cast("int").alias("label"))
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
     )
-    # Copies of one text are one example, else all words of a toxic text with copies would look toxic.
-    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("label").alias("label"))
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("label").alias("label"))
+    texts = checkpoint(texts)
+    nodes = sketches(texts, "label", "text")
+    entries = nodes.select("text_key", F.explode("sketch").alias("entry")).where("entry <> 0")
+    later = entries.withColumn("first", F.min("text_key").over(Window.partitionBy("entry"))).where("first <> text_key").select("text_key").distinct()
+    return texts.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).join(later, "text_key", "left_anti").select("text", "label")
 
 
 def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     """Words and stems that occur in toxic rows far more often than chance and rarely in others.
 
-    A word must also follow different words in toxic texts, which words of near copies don't.
+    A word must also follow ``CONTEXTS`` different words in toxic texts, which words of a repeated passage don't.
     A candidate's surprise is its number of rows times the divergence of its toxic share from the overall one; it must exceed the log of
     ``CANDIDATES``, so that chance finds are unlikely. What reaches the driver is the lexicon itself.
     """
-    rows = train.select(F.monotonically_increasing_id().alias("row"), "label", F.expr(r"regexp_extract_all(lower(text), '[\\p{L}]+', 0)").alias("words"))
+    rows = train.select("label", F.expr(r"filter(regexp_extract_all(lower(text), '[\\p{L}]+', 0), w -> w IS NOT NULL)").alias("words"))
     total = train.agg(F.count(F.lit(1)), F.sum("label")).first()
     n, toxic = total[0], total[1] or 0
     if not 0 < toxic < n:
         return [], []
     prior = toxic / n
-    placed = rows.select("row", "label", F.explode(F.expr("transform(words, (w, i) -> struct(w AS word, CASE WHEN i > 0 THEN words[i - 1] ELSE '' END AS before))")).alias("w"))
-    word = placed.where(F.length("w.word") >= 3).groupBy("row", "label", "w.word").agg(F.min("w.before").alias("before"))
-    stem = word.select("row", "label", "word", F.explode(F.array(*(F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEM_LENGTHS))).alias("stem")).where("stem IS NOT NULL")
-    varied = F.countDistinct(F.when(F.col("label") == 1, F.col("before")))
-    counts = word.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t"), varied.alias("variety")).where(F.col("variety") >= F.greatest(F.lit(CONTEXTS), F.col("t") / 4)).select("word", F.lit(False).alias("is_stem"), "n", "t").unionByName(
-        stem.groupBy("stem").agg(F.countDistinct("row").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("row"))).alias("t"), F.countDistinct(F.when(F.col("label") == 1, F.col("word"))).alias("variety"))
-        .where(F.col("variety") >= STEM_WORDS).select(F.col("stem").alias("word"), F.lit(True).alias("is_stem"), "n", "t")
-    )
+    # Words and stems are made distinct within their row, so groupings only shuffle one count a task.
+    per_row = F.array_distinct(F.filter("words", lambda w: F.length(w) >= 3))
+    beginnings = lambda w: F.array_compact(F.array(*(F.when(F.length(w) >= k, F.substring(w, 1, k)) for k in STEM_LENGTHS)))
+    counted = lambda of: rows.select("label", F.explode(of).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t"))
     share = F.col("t") / F.col("n")
     surprise = F.col("n") * (share * F.log(share / prior) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - prior))).otherwise(0.0))
-    found = counts.where((F.col("t") >= 3) & (share >= PRECISION) & (surprise > math.log(CANDIDATES))).select("word", "is_stem").collect()
+    telling = (F.col("t") >= 3) & (share >= PRECISION) & (surprise > math.log(CANDIDATES))
+    words = checkpoint(counted(per_row))
+    candidates = checkpoint(words.where(telling).select("word"))
+    placed = rows.where("label = 1").select(F.explode(F.expr("transform(words, (w, i) -> struct(w AS word, CASE WHEN i > 0 THEN words[i - 1] ELSE '' END AS before))")).alias("w")).select("w.*")
+    varied = placed.join(F.broadcast(candidates), "word").groupBy("word").agg(F.count_distinct("before").alias("variety")).where(F.col("variety") >= CONTEXTS)
+    family = words.where("t > 0").select(F.explode(beginnings(F.col("word"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= STEM_WORDS)
+    likely = counted(F.array_distinct(F.flatten(F.transform(per_row, beginnings)))).where(telling).join(family, "word")
+    found = varied.select("word", F.lit(False).alias("is_stem")).unionByName(likely.select("word", F.lit(True).alias("is_stem"))).collect()
     stems: list[str] = []
-    for s in sorted((r["word"] for r in found if r["is_stem"]), key=len):
+    for s in sorted((r["word"] for r in found if r["is_stem"]), key=lambda w: (len(w), w)):
         if not any(s.startswith(x) for x in stems):
             stems.append(s)
     # Words that begin with a stem stay, as their misspellings may miss it.
-    words = sorted(r["word"] for r in found if not r["is_stem"])
-    return words, sorted(stems)
+    return sorted(r["word"] for r in found if not r["is_stem"]), sorted(stems)
 
 
 def with_features(df: DataFrame, words: Iterable[str], stems: Iterable[str], text_col: str = "text", features_col: str = "features") -> DataFrame:
     """Adds the features of each whole text as an array of doubles; null counts as empty."""
     bound_batches(df.sparkSession)
     df = df.drop(features_col)
-    shared = df.sparkSession.sparkContext.broadcast(LexiconAutomaton(list(words), list(stems)))
+    shared = df.sparkSession.sparkContext.broadcast((list(words), list(stems)))
     schema = StructType([*df.schema.fields, StructField(features_col, ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(LexiconAutomaton(*shared.value))
         for whole in batches:
             for batch in slices(whole, text_col, TOKEN_BYTES):
                 x = scorer.features(batch.column(text_col))
@@ -342,15 +359,15 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """Adds ``score`` (0 to 1) and ``predicted`` (1 from 0.5). Only the text is read; null counts as empty. Columns with these names are replaced."""
+    """The rows with ``score`` (0 to 1) and ``predicted`` (1 from 0.5) instead of their text. Only the text is read; null counts as empty. Columns with these names are replaced."""
     bound_batches(df.sparkSession)
     df = df.drop("score", "predicted")
-    shared = df.sparkSession.sparkContext.broadcast((LexiconAutomaton(model.words, model.stems), model))
+    shared = df.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*(f for f in df.schema.fields if f.name != text_col), StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, fitted = shared.value
-        scorer = Scorer(automaton)
+        fitted = shared.value
+        scorer = Scorer(LexiconAutomaton(fitted.words, fitted.stems))
         for whole in batches:
             for batch in slices(whole, text_col, TOKEN_BYTES):
                 score = fitted.score(scorer.features(batch.column(text_col)))
