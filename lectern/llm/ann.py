@@ -6,7 +6,7 @@ reverse neighbours with their vectors, compares them with each other ("neighbour
 beats what either side has to a merge that keeps the best. Vectors travel as one byte a component; only
 scores that are returned are computed from the original vectors, in double precision.
 
-Queries keep a beam of nodes; each round expands the best unexpanded ones along the graph's edges, by joins.
+Queries keep a beam of nodes; each round expands the best unexpanded ones along the graph's edges, by joins, until every node of each beam has been expanded.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ NEIGHBOURS, ROUNDS, ORDERS = 32, 4, 3
 SETTLED = 0.01
 #: Nodes of a block that are compared with each other for the first graph.
 BLOCK = 512
-#: Nodes that a query keeps, that it expands in a round, and rounds of search.
-BEAM, EXPAND, SEARCH_ROUNDS = 160, 56, 4
+#: Nodes that a query keeps, and that it expands in a round.
+BEAM, EXPAND = 160, 56
 #: Nodes that queries which aren't indexed start from; a bounded sample that is broadcast.
 SEEDS = 256
 
@@ -211,11 +211,12 @@ def _cosines(rows: DataFrame, left: str, right: str, vectors: Callable[[pa.Array
     return rows.select("query_id", "node", left, right).mapInArrow(tidy(run), "query_id long, node long, score double")
 
 
-def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """Greedy search for each query (query_id, q): the beam's nodes with their scores, from the original vectors in double precision.
 
     A query starts from the sampled seeds that are nearest to it; if its id is given in ``home`` as an indexed node, from that node too.
-    A query's packed vector travels to the nodes that it is compared with, not theirs to it.
+    A query's packed vector travels to the nodes that it is compared with, not theirs to it. Beams only get better and hold each node
+    once, so the rounds come to an end.
     """
     seed_ids, seed_vectors = seed_nodes(nodes)
     shared = queries.sparkSession.sparkContext.broadcast((seed_ids, seed_vectors))
@@ -251,7 +252,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
         return checkpoint(rows.join(asked.select("query_id", "packed_q"), "query_id").select("query_id", "node", "score", "done", F.when(next_ones, F.col("packed_q")).alias("packed_q")))
 
     state = merged(start, None)
-    for _ in range(rounds):
+    while not state.where("packed_q IS NOT NULL").isEmpty():
         reached = state.where("packed_q IS NOT NULL").select("query_id", "packed_q", "node").join(links, "node").select("query_id", "packed_q", F.explode("links").alias("node"))
         state = merged(reached, state)
     pairs = state.select("query_id", "node").join(nodes.select("node", "vector"), "node").join(queries.select("query_id", "q"), "query_id")
@@ -261,18 +262,26 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
 def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 5) -> DataFrame:
     """The ``top`` nearest other rows found for each row that is a query: query_id, rank, id and score.
 
-    Largest cosine first, ties to the smaller id. Vectors that aren't ``usable`` take no part, on either side; all others are taken to have one length.
-    With fewer other rows than ``top``, all of them come. An empty table gives no rows; further columns are ignored.
+    Largest cosine first, ties to the smaller id. Vectors that aren't ``usable`` take no part, on either side, nor do those of another length than most
+    usable ones have (the longer on a tie). Equal query vectors are searched for once. With fewer other rows than ``top``, all of them come. An empty
+    table gives no rows; further columns are ignored.
     """
-    rows = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"), is_query.alias("is_query"))
+    rows = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"), is_query.alias("is_query")).where(usable(F.col("vector")))
+    usual = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("length")).first()
+    rows = rows.where(F.size("vector") == (usual["length"] if usual else 0))
     nodes = checkpoint(with_codes(nodes_of(rows, "vec_id", "vector", top + 1)))
     edges = build_graph(nodes)
-    asked = rows.where("is_query AND vec_id IS NOT NULL").where(usable(F.col("vector"))).groupBy(F.col("vec_id").cast("long").alias("query_id")).agg(F.min("vector").alias("q"))
-    queries = checkpoint(asked.join(nodes.select(F.col("vector").alias("q"), F.col("node").alias("home")), "q", "left"))
+    asked = checkpoint(rows.where("is_query AND vec_id IS NOT NULL").groupBy(F.col("vec_id").cast("long").alias("asked_id")).agg(F.min("vector").alias("q")))
+    distinct = checkpoint(asked.groupBy("q").agg(F.min("asked_id").alias("query_id")))
+    queries = checkpoint(distinct.join(nodes.select(F.col("vector").alias("q"), F.col("node").alias("home")), "q", "left"))
     found = search(queries, nodes, edges)
-    expanded = found.join(nodes.select("node", "members"), "node").select("query_id", "score", F.explode("members").alias("vec_id")).where("vec_id <> query_id")
+    # One more than wanted, as the asking row is among them.
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return expanded.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
+    expanded = found.join(nodes.select("node", "members"), "node").select("query_id", "score", F.explode("members").alias("vec_id"))
+    best = expanded.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top + 1).drop("place")
+    of_asked = best.join(asked.join(distinct, "q").select("query_id", "asked_id"), "query_id").where("vec_id <> asked_id")
+    ranked = of_asked.withColumn("rank", F.row_number().over(Window.partitionBy("asked_id").orderBy(F.col("score").desc(), "vec_id")))
+    return ranked.where(F.col("rank") <= top).select(F.col("asked_id").alias("query_id"), "rank", F.col("vec_id").alias(id_col), "score")
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
