@@ -185,6 +185,27 @@ def test_water_filling_gives_shortage_to_siblings(spark):
     assert taken.columns == frame.columns and mixing.mix(frame.limit(0)).count() == 0
 
 
+def test_shortage_goes_to_siblings_and_then_to_ancestors(spark):
+    leaves = lambda rows: spark.createDataFrame(rows, "domain string, lang string, source string, supply long")
+    # The first domain's only language has weight 0: its share goes to the other domain.
+    shut = mixing.leaf_budgets(leaves([("a", "x", "s", 100), ("b", "y", "t", 100)]), F.lit(150), {"a": 1.0, "b": 1.0}, {"x": 0.0, "y": 1.0})
+    assert {r.domain: r.budget for r in shut.collect()} == {"a": 0, "b": 100}
+    # Language x of domain a is short by 40: its sibling z takes all it can, and only then domain b.
+    rows = [("a", "x", "s", 10), ("a", "z", "s", 60), ("b", "y", "t", 60), ("b", "y", "u", 200)]
+    got = {(r.domain, r.lang, r.source): r.budget for r in mixing.leaf_budgets(leaves(rows), F.lit(200), {"a": 1.0, "b": 1.0}, {"x": 1.0, "y": 1.0, "z": 1.0}).collect()}
+    assert got == {("a", "x", "s"): 10, ("a", "z", "s"): 60, ("b", "y", "t"): 60, ("b", "y", "u"): 70}
+
+
+def test_token_prefixes_of_seeded_epochs(spark):
+    frame = docs_frame(spark, [(i, "x" * (4 * (i % 7 + 1))) for i in range(60)] + [(5, "x" * 24)] * 3 + [(None, None)]).withColumn("domain", F.lit("clash"))
+    picked = mixing.mix(frame, 0.9, 2).collect()
+    for leaf in {(r.domain, r.lang, r.source) for r in picked}:
+        mine = sorted((r.epoch, r.key, r.n_tokens * r.copies, r.leaf_tokens) for r in picked if (r.domain, r.lang, r.source) == leaf)
+        assert [m[3] for m in mine] == np.cumsum([m[2] for m in mine]).tolist()
+    assert mixing.mixed_rows(frame, 0.9, 2).columns == frame.columns
+    assert sum(r.share for r in mixing.mixture_report(mixing.mix(frame, 0.9, 2)).collect()) == pytest.approx(1.0)
+
+
 def test_warc_audit(spark):
     pages = spark.createDataFrame([(i, f"http://h/{i}", "b" * i) for i in range(300)] + [(None, None, None)] * 2, "page_id long, url string, html string")
     records = warc.pack_records(pages, file_records=64).cache()
@@ -193,20 +214,103 @@ def test_warc_audit(spark):
     found = warc.audit_replicas(records, hurt, leaf_bytes=512).join(records.select("file", "offset", "record_id"), ["file", "offset"])
     assert sorted((r.record_id, r.status) for r in found.collect()) == [(7, "corrupt"), (9, "missing")]
     assert warc.audit_replicas(records.limit(0), records.limit(0)).count() == 0
+    # Several records at one place: what both sides have is no difference.
+    spots = lambda rows: spark.createDataFrame(rows, "file long, offset long, length long, digest string")
+    left, right = spots([(0, 0, 5, "a"), (0, 0, 5, "b"), (0, 0, 5, "b"), (0, 20, 5, "c")]), spots([(0, 0, 5, "a"), (0, 20, 5, "c"), (None, 3, 1, "d")])
+    assert [(r.offset, r.status, r.digest) for r in warc.audit_replicas(left, right).collect()] == [(0, "missing", "b")]
+    assert [(r.offset, r.status, r.other_digest) for r in warc.audit_replicas(right, left).collect()] == [(0, "extra", "b")]
+    # The damaged replica is hashed from its own bytes.
+    got = warc.audit_replicas(records, warc.damaged_replica(pages, records), leaf_bytes=512).collect()
+    digests = {(r.file, r.offset): r for r in records.collect()}
+    want = {}
+    for place, r in digests.items():
+        drill = int(r.digest[-2:], 16) % 64
+        if drill < 3:
+            want[(place[0], place[1] + (drill == 2))] = ("corrupt", "missing", "extra")[drill]
+    assert {(r.file, r.offset): r.status for r in got} == want
+    for r in got:
+        if r.status == "corrupt":
+            i = digests[(r.file, r.offset)].record_id
+            raw = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Target-URI: http://h/{i}\r\nContent-Type: text/html\r\nContent-Length: {i}\r\n\r\n{'b' * i}\r\n\r\n".encode()
+            assert r.digest == hashlib.sha256(raw).hexdigest() and r.other_digest == hashlib.sha256(b"w" + raw[1:]).hexdigest()
 
 
 def test_toxicity(spark):
     automaton = toxicity.LexiconAutomaton(["idiot", "worthless"], ["lose"])
     assert toxicity.term_kinds(automaton, ["idiot", "idiiot", "idot", "worthles", "wrthlss", "loser", "the", ""]).tolist() == [1, 2, 2, 2, 3, 4, 0, 0]
-    texts = [(i, " ".join(prose(i, 20) + (["you", "horrid"] if i % 4 == 0 else []) + prose(900 + i, 10))) for i in range(400)]
-    frame = spark.createDataFrame([*texts, (9000, None), (9001, "")], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    texts = [(i, " ".join(prose(i, 20) + (["horrid"] if i % 4 == 0 else ["you"] if i % 4 == 1 else []) + prose(900 + i, 10))) for i in range(400)]
+    quoted = [(1000 + i, " ".join(prose(2000 + i, 20)) + ' he said the word "horrid" was written there ' + " ".join(prose(5000 + i, 10))) for i in range(30)]
+    abuse = [(1100 + i, " ".join(prose(3000 + i, 20)) + " you horrd horrid fool " + " ".join(prose(6000 + i, 10))) for i in range(60)]
+    frame = spark.createDataFrame([*texts, *quoted, *abuse, (9000, None), (9001, ""), (9001, "")], "doc_id long, text string")
+    # Quoting rows are clean, abusive ones toxic; a label of another value above 0 is toxic too, a null one is none.
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in texts] + [(i, 0) for i, _ in quoted] + [(i, 2) for i, _ in abuse] + [(3, None)], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(frame, labels)
+    assert "horrid" in model.words
     scored = {r.doc_id: (r.predicted, r.score) for r in toxicity.score_toxicity(frame.withColumn("score", F.lit("clash")), model).collect()}
-    assert len(scored) == 402 and all(0 <= s <= 1 for _, s in scored.values())
+    assert len(scored) == 492 and all(0 <= s <= 1 for _, s in scored.values())
+    held_out = {r.doc_id for r in frame.where(toxicity.is_held_out(F.col("doc_id"))).collect()}
+    right = [(scored[i][0] == want, i) for rows, want in ((quoted, 0), (abuse, 1)) for i, _ in rows if i in held_out]
+    assert len(right) > 8 and all(ok for ok, _ in right)
+    plain = [i for i, _ in texts if i in held_out and i % 4]
+    assert not any(scored[i][0] for i in plain) and scored[9000][0] == scored[9001][0] == 0
+    # Misspelt in a text of its own.
+    odd = spark.createDataFrame([(1, " ".join(prose(77, 20) + ["you", "horrrid", "thing"]))], "doc_id long, text string")
+    assert toxicity.score_toxicity(odd, model).first().score > scored[9001][1]
     assert toxicity.fit_toxicity(frame.limit(0), labels.limit(0)).words == []
 
 
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [10, 50_000])
+def test_automaton_equals_edit_distance(most):
+    r = random.Random(most)
+    terms = sorted({"".join(r.choice("abc") for _ in range(r.randint(2, 11))) for _ in range(40)})
+    automaton = toxicity.LexiconAutomaton(terms, [], most)
+    for _ in range(4):
+        words = ["".join(r.choice("abcd") for _ in range(r.randint(0, 12))) for _ in range(300)] + [t[1:] for t in terms] + [t + "a" for t in terms]
+        want = [min([d for t in terms if (d := edit_distance(w, t)) <= toxicity.allowed_edits(t)], default=9) for w in words]
+        state = automaton.run(words)
+        assert automaton.edits[state].tolist() == want
+
+
+def test_automaton_of_many_long_terms_stays_small():
+    r = random.Random(5)
+    terms = sorted({"".join(r.choice("abcdefghijklmnop") for _ in range(10)) for _ in range(1000)})
+    automaton = toxicity.LexiconAutomaton(terms)
+    words = [" ".join(prose(i, 1)).strip() for i in range(2000)] + terms[:50]
+    assert toxicity.term_kinds(automaton, words)[-50:].tolist() == [1] * 50
+    assert len(automaton.sets) < 20_000
+
+
+def test_near_copies_are_one_example(spark):
+    base = prose(50, 80)
+    texts = [(i, " ".join([*base[: i % 70], "x" + str(i), *base[i % 70 :], "rareword"])) for i in range(40)] + [(100 + i, " ".join(prose(700 + i, 30))) for i in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    train = toxicity.training_rows(frame, spark.createDataFrame([(i, int(i < 100)) for i, _ in texts], "doc_id long, toxic int"))
+    assert train.where("label = 1").count() <= 2 and train.where("label = 0").count() > 20
+    assert toxicity.learn_lexicon(train) == ([], [])
+
+
+def test_queries_of_equal_and_odd_vectors(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, r.standard_normal(8).tolist()) for i in range(200)] + [(300 + i, [1.0] * 8) for i in range(30)] + [(500, [1.0] * 5), (501, [0.0] * 8), (502, None)]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0).collect()
+    usable = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v and len(v) == 8 and any(v)}
+    for q in [i for i in usable if i % 10 == 0]:
+        force = sorted(((-float(np.dot(usable[q], v)), i) for i, v in usable.items() if i != q))[:5]
+        mine = sorted((x.rank, x.vec_id, x.score) for x in found if x.query_id == q)
+        assert [x[2] for x in mine] == pytest.approx([-f[0] for f in force], abs=1e-9), q
+        assert q < 300 or [x[1] for x in mine] == [i for i in range(300, 330) if i != q][:5]
+    assert {x.query_id for x in found} == {i for i in usable if i % 10 == 0}
+
+
 def test_quality(spark):
     good = [(i, " ".join(w.capitalize() + "." if j % 9 == 8 else w for j, w in enumerate(prose(i, 80)))) for i in range(150)]
     bad = [(1000 + i, " ".join(w.upper() + "!!" for w in prose(i, 80))) for i in range(40)]
