@@ -46,8 +46,12 @@ ROUNDS = 2
 ORDER_TEXTS, FREQUENT = 5_000, 1 << 16
 #: A shingle that begins more texts than this has them compared in blocks, of about so many texts and shingles.
 LIGHT, BLOCK_TEXTS, BLOCK_SHINGLES = 64, 1024, 1 << 18
+#: Blocks whose parity maps are compared in one task.
+MAP_BLOCKS = 16
 #: Keys of at most so many texts are broadcast to where the texts are read, so that texts aren't shuffled.
 FEW_KEYS = 100_000
+#: Least number of 64-bit words of a text's parity map; a long text's has as many bits as it has shingles, or up to twice as many.
+MAP_WORDS = 8
 #: Keeps thresholds that floats miss by a hair.
 HAIR = 1e-9
 SEED = 11
@@ -121,8 +125,42 @@ def order_min_hash(shingles: np.ndarray, starts: np.ndarray, entries: int = ENTR
     return out
 
 
+def parity_maps(shingles: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    """For each text, which hash values an odd number of its shingles have, as bits of a list of int64 whose length is a power of two.
+
+    Two maps of one length differ in at most as many bits as there are shingles that only one of the texts has;
+    a map of half the length is the exclusive or of the two halves.
+    """
+    n = np.diff(starts)
+    words = MAP_WORDS << np.maximum(np.ceil(np.log2(np.maximum(n, 1) / (64 * MAP_WORDS))), 0).astype(np.int64)
+    begin = np.append(0, np.cumsum(words))
+    out = np.zeros(begin[-1], np.uint64)
+    hashed = mix(shingles)
+    word = (hashed >> np.uint64(6)).astype(np.uint64) % np.repeat(words, n).astype(np.uint64)
+    np.bitwise_xor.at(out, np.repeat(begin[:-1], n) + word.astype(np.int64), np.uint64(1) << (hashed & np.uint64(63)))
+    return pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(out.view(np.int64)))
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
+def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_key, text) of each row; null ids are ``NO_ID``, null texts empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
+
+
+def one_copy(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(text_key, text, ...) once for each row of ``wanted`` (id, text_key, ...), which names a distinct text by its least id, so that copies stay where they are read."""
+    wanted = checkpoint(wanted.withColumn("id", F.coalesce("id", F.lit(NO_ID))))
+    few = wanted.count() <= FEW_KEYS
+    found = keyed_texts(df, id_col, text_col).join(F.broadcast(wanted) if few else wanted, ["id", "text_key"]).drop("id")
+    return found.dropDuplicates(["text_key"])
+
+
 def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each distinct text: text_key (its MD5), the least id that has it, and its sketch. Nulls count as empty, null ids come last."""
+    """One row for each distinct text: text_key (its MD5), the least id that has it, its number of shingles ``n``, sketch and parity map. Nulls count as empty, null ids come last."""
     bound_batches(df.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
@@ -130,11 +168,23 @@ def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", TOKEN_BYTES):
-                sketch = order_min_hash(*labelled_shingles(batch.column("text")))
-                column = pa.ListArray.from_arrays(pa.array(np.arange(len(sketch) + 1, dtype=np.int32) * ENTRIES), pa.array(sketch.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), column], names=["id", "text_key", "sketch"])
+                shingles, starts = labelled_shingles(batch.column("text"))
+                columns = [pa.array(np.diff(starts).astype(np.int32)), _lists(order_min_hash(shingles, starts)), parity_maps(shingles, starts)]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), *columns], names=["id", "text_key", "n", "sketch", "parity"])
 
-    return rows.mapInArrow(tidy(run), "id long, text_key binary, sketch array<long>").groupBy("text_key").agg(F.min("id").alias("id"), F.min("sketch").alias("sketch"))
+    found = rows.mapInArrow(tidy(run), "id long, text_key binary, n int, sketch array<long>, parity array<long>")
+    return found.groupBy("text_key").agg(F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", "sketch", "parity")))
+
+
+def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of ``num`` whose parity maps don't rule out that they are similar enough, as text keys (a, b)."""
+    side = lambda c: nodes.select(F.col("num").alias(c), F.col("text_key").alias(f"key_{c}"), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"parity_{c}"))
+    half = lambda c: (F.size(c) / 2).cast("int")
+    folded = lambda c, other: F.when(F.size(c) > F.size(other), F.zip_with(F.slice(c, 1, half(c)), F.slice(c, half(c) + 1, half(c)), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(c))
+    # Texts of like lengths have maps of one length, or one of half the other's.
+    differ = F.aggregate(F.zip_with(folded("parity_a", "parity_b"), folded("parity_b", "parity_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    most = (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + HAIR
+    return pairs.join(side("a"), "a").join(side("b"), "b").where((F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - HAIR) & (differ <= most)).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -357,54 +407,100 @@ def block_links(num: np.ndarray, side: np.ndarray, classes: np.ndarray, shingles
     return out
 
 
-def crowded_links(df: DataFrame, rows: DataFrame, numbers: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """Links (u, v) by number among texts of crowded shingles: ``rows`` has token, num, class and n, ``numbers`` num and text_key.
-
-    Texts that crowded shingles connect are one group; its texts are dealt to blocks by hash, and each two blocks are compared in a task of their own.
+def map_partners(side: np.ndarray, classes: np.ndarray, n: np.ndarray, block: np.ndarray, maps: pa.ListArray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of two groups of blocks (sides 0 and 1), or of one (all 0), and the blocks where each has a text of another class and the other side that parity maps don't rule out."""
+    starts, words = maps.offsets.to_numpy() - maps.offsets[0].as_py(), maps.flatten().to_numpy().view(np.uint64)
+    length = np.diff(starts)
+    names, block = np.unique(block, return_inverse=True)
+    reach = np.zeros((len(n), len(names)), bool)
+    both = side.any()
+    rows_of = lambda at: words[starts[at][:, None] + np.arange(length[at[0]])]
+    for w in np.unique(length).tolist():
+        same, twice = np.flatnonzero(length == w), np.flatnonzero(length == 2 * w)
+        folded = rows_of(same)
+        others = [(same, folded)]
+        if len(twice):
+            double = rows_of(twice)
+            others.append((twice, double[:, :w] ^ double[:, w:]))
+        for other, of_other in others:
+            for at in range(0, len(same), 256):
+                a = same[at : at + 256]
+                differ = np.zeros((len(a), len(other)), np.int32)
+                for k in range(w):
+                    differ += np.bitwise_count(folded[at : at + 256, k, None] ^ of_other[None, :, k])
+                near = differ <= (n[a][:, None] + n[other][None, :]) * ((1 - similarity) / (1 + similarity)) + HAIR
+                near &= classes[a][:, None] != classes[other][None, :]
+                if both:
+                    near &= side[a][:, None] != side[other][None, :]
+                i, j = np.nonzero(near)
+                reach[a[i], block[other[j]]] = True
+                reach[other[j], block[a[i]]] = True
+    text, partner = np.nonzero(reach)
+    return text, names[partner]
+
+
+def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    """Links (u, v) by number among texts of crowded shingles: ``rows`` has token, num, class and n, ``nodes`` num, id and text_key.
+
+    Texts that crowded shingles connect are one group; its texts are dealt to blocks by hash, and each two blocks are compared in a task of their own:
+    first by parity maps, which leave the texts that may have a partner there, and then those texts by their shingles.
     """
     bound_batches(df.sparkSession)
     # A shingle's least text stands for it, so that only texts are nodes.
     least = F.min("num").over(Window.partitionBy("token"))
     groups = connected_components(rows.select(F.col("num").alias("u"), least.alias("v")))
-    members = rows.select("num", "class", "n").distinct().join(groups.select(F.col("node").alias("num"), F.col("component").alias("cluster")), "num").join(numbers, "num")
+    members = rows.select("num", "class", "n").distinct().join(groups.select(F.col("node").alias("num"), F.col("component").alias("cluster")), "num").join(nodes.select("num", "id", "text_key", "parity"), "num")
     members = checkpoint(members)
     sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = members.join(F.broadcast(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
-    if members.count() <= FEW_KEYS:
-        members = F.broadcast(members)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    source = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(members, "text_key").select("text_key", "text", "num", "class", "cluster", "block", "blocks")
+    members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    members = checkpoint(members)
+    # Maps are small, so many blocks' maps meet in one task.
+    mine, groups_of = F.floor(F.col("block") / MAP_BLOCKS), F.floor((F.col("blocks") - 1) / MAP_BLOCKS)
+    dealt = members.select("num", "class", "n", "parity", "cluster", "block", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), groups_of)).alias("other")).select(
+        "num", "class", "n", "parity", "cluster", "block", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"),
+    )
+
+    def alone(table: pa.Table) -> bool:
+        side = table.column("side").to_numpy()
+        return table.column("i")[0].as_py() < table.column("j")[0].as_py() and bool((side == side[0]).all())
+
+    def flag(table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).combine_chunks()
+        block = column("block").to_numpy()
+        none = np.zeros(0, np.int64)
+        text, partner = (none, none.astype(np.int32)) if alone(table) else map_partners(column("side").to_numpy(), column("class").to_numpy(), column("n").to_numpy(), block, column("parity"), similarity)
+        rows = table.select(["cluster", "num"]).take(pa.array(text))
+        own = block[text]
+        return rows.append_column("i", pa.array(np.minimum(own, partner))).append_column("j", pa.array(np.maximum(own, partner))).append_column("side", pa.array((own > partner).astype(np.int32)))
+
+    flagged = checkpoint(dealt.groupBy("cluster", "i", "j").applyInArrow(flag, "cluster long, num long, i int, j int, side int"))
+    source = one_copy(df, members.join(flagged.select("num").distinct(), "num", "left_semi").select("id", "text_key", "num", "class"), id_col, text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", TOKEN_BYTES):
                 shingles, starts = labelled_shingles(batch.column("text"))
                 column = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(shingles.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("num", "class", "cluster", "block", "blocks")), column], names=["num", "class", "cluster", "block", "blocks", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column("num"), batch.column("class"), column], names=["num", "class", "shingles"])
 
-    read_rows = source.mapInArrow(tidy(read), "num long, class long, cluster long, block int, blocks int, shingles array<long>").dropDuplicates(["num"])
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = read_rows.select("*", other).select(
-        "num", "class", "shingles", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"),
-    )
+    pairs = source.mapInArrow(tidy(read), "num long, class long, shingles array<long>").join(flagged, "num").select("num", "class", "shingles", "cluster", "i", "j", "side")
 
     def compare(table: pa.Table) -> pa.Table:
         column = lambda c: table.column(c).combine_chunks()
         lists = column("shingles")
         starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         side = column("side").to_numpy()
-        alone = table.column("i")[0].as_py() < table.column("j")[0].as_py() and (side == side[0]).all()
-        found = [] if alone else block_links(column("num").to_numpy(), side, column("class").to_numpy(), lists.flatten().to_numpy().view(np.uint64), starts, similarity)
+        found = [] if alone(table) else block_links(column("num").to_numpy(), side, column("class").to_numpy(), lists.flatten().to_numpy().view(np.uint64), starts, similarity)
         u, v = zip(*found, strict=True) if found else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "u long, v long")
+    return pairs.groupBy("cluster", "i", "j").applyInArrow(compare, "u long, v long")
 
 
-def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, text_col: str, similarity: float) -> DataFrame:
+def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     """Links (u, v) by text key that join all classes between which any pair of texts is similar enough.
 
-    ``nodes`` has text_key and num, ``classes`` node and component by text key; texts without a row there are classes of their own.
+    ``nodes`` has the columns of ``sketches`` and num, ``classes`` node and component by text key; texts without a row there are classes of their own.
     """
     order = shingle_order(df, nodes.count(), text_col)
     numbers = nodes.select("text_key", "num")
@@ -424,15 +520,12 @@ def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, text_col:
         .select(F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
     )
     keyed = lambda p, x, y: p.join(numbers.select(F.col("num").alias(x), F.col("text_key").alias("u")), x).join(numbers.select(F.col("num").alias(y), F.col("text_key").alias("v")), y).select("u", "v")
-    pairs = checkpoint(keyed(pairs, "a", "b").select(F.col("u").alias("a"), F.col("v").alias("b")))
-    wanted = checkpoint(pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct())
-    if wanted.count() <= FEW_KEYS:
-        wanted = F.broadcast(wanted)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    of = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(wanted, "text_key").dropDuplicates(["text_key"])
-    found = verify(with_texts(pairs, checkpoint(of)), similarity).select("u", "v")
+    pairs = checkpoint(may_be_similar(pairs, nodes, similarity))
+    ends = pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct()
+    texts_of = checkpoint(one_copy(df, ends.join(nodes.select("id", "text_key"), "text_key"), id_col, text_col))
+    found = verify(with_texts(pairs, texts_of), similarity).select("u", "v")
     if not crowded.isEmpty():
-        found = found.unionByName(keyed(crowded_links(df, crowded, numbers, text_col, similarity).toDF("a", "b"), "a", "b"))
+        found = found.unionByName(keyed(crowded_links(df, crowded, nodes, id_col, text_col, similarity).toDF("a", "b"), "a", "b"))
     return checkpoint(found)
 
 
@@ -451,12 +544,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     nodes = checkpoint(sketches(df, id_col, text_col).withColumn("num", F.monotonically_increasing_id()))
     buckets = checkpoint(bucket_rows(nodes))
-    ends = buckets.select("text_key").distinct().join(nodes.select("text_key", "id"), "text_key")
-    source = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # Ids narrow the rows to one copy of each text before its bytes are compared.
-    wanted = ends.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "text_key")
-    texts = source.join(wanted, "id").where(F.unhex(F.md5("text")) == F.col("text_key")).select("text_key", "text")
-    texts = checkpoint(texts.dropDuplicates(["text_key"]))
+    texts = checkpoint(one_copy(df, buckets.select("text_key").distinct().join(nodes.select("text_key", "id"), "text_key"), id_col, text_col))
     links: DataFrame | None = None
     classes: DataFrame | None = None
     tried: DataFrame | None = None
@@ -472,7 +560,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = checkpoint(verify(with_texts(pairs, texts), similarity).select("u", "v"))
         links = found if links is None else links.unionByName(found)
         classes = checkpoint(connected_components(links))
-    found = missed_links(df, nodes, classes, text_col, similarity)
+    found = missed_links(df, nodes, classes, id_col, text_col, similarity)
     if not found.isEmpty():
         classes = checkpoint(connected_components(links.unionByName(found)))
     named = nodes.join(classes.withColumnRenamed("node", "text_key"), "text_key", "left").select("text_key", "id", F.coalesce("component", "text_key").alias("component"))
