@@ -39,9 +39,11 @@ def letters_jaccard(a: Column, b: Column) -> Column:
 
 
 def first_difference(a: Column, b: Column) -> Column:
-    """Offset of the first code point in which two texts differ; null where they are equal."""
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.length(b))), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
-    return F.when(a != b, F.element_at(at, 1) - 1)
+    """Offset of the first code point in which two texts differ; null where they are equal or one is null. A text that the other begins with differs at its end."""
+    x, y = F.split(a, ""), F.split(b, "")
+    differ = F.zip_with(x, y, lambda p, q: ~p.eqNullSafe(q))
+    at = F.array_position(differ, F.lit(True))
+    return F.when(a != b, F.when((a == "") | (b == ""), F.lit(0)).otherwise((at - 1).cast("int")))
 
 
 def padded_id(prefix: str, number: Column, width: int = 4) -> Column:

@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; without one, lineage can't be cut safely."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, undirected: bool = False) -> DataFrame:
     """(node, depth) of all nodes that seeds (node) reach over edges (src, dst); seeds have depth 0. Cycles are fine.
 
-    Each round joins only the newest nodes; the loop ends when there are none.
+    Each round joins only the newest nodes and writes only what it found; the loop ends when there is nothing new.
     """
     edges = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
-    edges = _checkpoint((edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if undirected else edges).distinct())
-    seen = _checkpoint(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("depth", F.lit(0)))
-    frontier, depth = seen, 0
+    edges = _checkpoint((edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if undirected else edges).distinct().repartition("src"))
+    frontier = _checkpoint(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("depth", F.lit(0)))
+    seen, depth = frontier, 0
     while not frontier.isEmpty():
         depth += 1
         found = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = _checkpoint(found.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
-        seen = _checkpoint(seen.unionByName(frontier))
+        frontier = _checkpoint(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
+        seen = seen.unionByName(frontier)
     return seen
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) of undirected edges (src, dst); a component is named by its least node. Names spread to neighbours, and to what those are named by, until none changes."""
+    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    both = _checkpoint(both)
+    named = _checkpoint(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
+    while True:
+        of = named.select(F.col("node").alias("dst"), F.col("component").alias("_near"))
+        near = both.join(of, "dst").groupBy(F.col("src").alias("node")).agg(F.min("_near").alias("_near"))
+        jump = named.select(F.col("node").alias("component"), F.col("component").alias("_far"))
+        moved = named.join(near, "node").join(jump, "component", "left").select("node", F.least("component", "_near", "_far").alias("component"), (F.least("component", "_near", "_far") < F.col("component")).alias("_moved"))
+        named = _checkpoint(moved)
+        if named.where("_moved").isEmpty():
+            return named.drop("_moved")
+        named = named.drop("_moved")
+
+
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges (src, kind, dst) of which an end is no node (node_id)."""
     ends = edges.select("src", "kind", "dst", F.explode(F.array("src", "dst")).alias("node_id"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,14 +38,27 @@ def locate(index: DataFrame, query: str, id_col: str, text_col: str) -> DataFram
 
 
 def character_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """How often each text has each character that isn't white space."""
-    chars = df.select(id_col, F.explode(F.split(text_col, "")).alias("char")).where(~F.col("char").rlike(r"^\s*$"))
-    return chars.groupBy(id_col, "char").agg(F.count(F.lit(1)).alias("n"))
+    """How often each text has each character that isn't white space. Characters are counted within their text, so only distinct ones are made rows."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                found = [Counter(t or "") for t in batch.column("text").to_pylist()]
+                flat = [(i, c, n) for i, counts in enumerate(found) for c, n in counts.items() if c not in " \t\n\x0b\f\r"]
+                ids = batch.column("id").take(pa.array([f[0] for f in flat], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array([f[1] for f in flat], pa.string()), pa.array([f[2] for f in flat], pa.int64())], names=["id", "char", "n"])
+
+    counted = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, char string, n long").withColumnRenamed("id", id_col)
+    return counted.groupBy(id_col, "char").agg(F.sum("n").alias("n"))
 
 
 def rare_characters(index: DataFrame, id_col: str = "doc_id", at_most: int = 20) -> DataFrame:
-    """Characters with few occurrences in all, and the texts that have them in order."""
-    return index.groupBy("char").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_docs"), F.array_join(F.sort_array(F.collect_list(id_col)), ",").alias("doc_ids")).where(F.col("total") <= at_most)
+    """Characters with few occurrences in all, and the texts that have them in order. Totals come first, so that common characters gather nothing."""
+    rare = index.groupBy("char").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_docs")).where(F.col("total") <= at_most)
+    places = index.join(rare.select("char"), "char", "left_semi").groupBy("char").agg(F.array_join(F.sort_array(F.collect_list(id_col)), ",").alias("doc_ids"))
+    return rare.join(places, "char")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lectern.functions.text import occurrences, padded_id, slice_between
 
@@ -14,14 +21,26 @@ SEGMENT_PATTERN = r"[^.!?;。！？；\n]*(?:[.!?;。！？；]+|\n)|[^.!?;。
 def segment_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = SEGMENT_PATTERN) -> DataFrame:
     """id, seq (from 0), start_offset, end_offset, segment: the pieces of each text, which concatenate to it. Null and empty texts have none.
 
-    Offsets are running sums within the row's own array, so there is no shuffle.
+    Offsets are found while the text is read, in time in proportion to it; there is no shuffle.
     """
-    parts = F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0))
-    ends = F.aggregate("parts", F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))))
-    found = df.select(F.col(id_col), parts.alias("parts")).where(F.size("parts") > 0).withColumn("ends", ends)
-    return found.select(id_col, "ends", F.posexplode("parts").alias("seq", "segment")).select(
-        id_col, "seq", F.col("ends")[F.col("seq")].alias("start_offset"), F.col("ends")[F.col("seq") + 1].alias("end_offset"), "segment"
-    )
+    cut = re.compile(pattern)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    names = ["id", "seq", "start_offset", "end_offset", "segment"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
+                found = [list(cut.finditer(t or "")) for t in batch.column("text").to_pylist()]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                seq = np.arange(counts.sum()) - np.repeat(np.append(0, np.cumsum(counts))[:-1], counts)
+                flat = [m for ms in found for m in ms]
+                ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(found)), counts)))
+                numbers = [pa.array(x, pa.int32()) for x in (seq, [m.start() for m in flat], [m.end() for m in flat])]
+                yield pa.RecordBatch.from_arrays([ids, *numbers, pa.array([m[0] for m in flat], pa.string())], names=names)
+
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, seq int, start_offset int, end_offset int, segment string"
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def with_span_ids(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -107,23 +126,141 @@ def apply_patches(df: DataFrame, patches: DataFrame, id_col: str = "doc_id", tex
     """Each text with its disjoint patches applied (``cleaned``)."""
     folded = patches.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("raw_start", "raw_end", "replacement"))).alias("patches"))
     joined = df.select(id_col, F.coalesce(text_col, F.lit("")).alias("_raw")).join(folded, id_col, "left")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, p: F.struct(p["raw_end"].cast("int").alias("at"), F.concat(acc["out"], F.substring("_raw", acc["at"] + 1, p["raw_start"] - acc["at"]), p["replacement"]).alias("out"))
-    done = F.aggregate(F.coalesce("patches", F.array().cast("array<struct<raw_start:int,raw_end:int,replacement:string>>")), start, step)
-    return joined.withColumn("_d", done).select(id_col, F.concat("_d.out", F.substring("_raw", F.col("_d.at") + 1, F.length("_raw"))).alias("cleaned"))
+    return joined.select(id_col, _spliced("_raw", F.coalesce("patches", F.array().cast("array<struct<raw_start:int,raw_end:int,replacement:string>>"))).alias("cleaned"))
+
+
+@F.pandas_udf(StringType())
+def _spliced(raw: pd.Series, patches: pd.Series) -> pd.Series:
+    """Each text with its sorted patches put in, piece by piece."""
+
+    def one(text: str, ps: np.ndarray) -> str:
+        parts, at = [], 0
+        for p in ps:
+            parts += [text[at : p["raw_start"]], p["replacement"]]
+            at = max(at, p["raw_end"])
+        return "".join([*parts, text[at:]])
+
+    return pd.Series([one(t, ps) for t, ps in zip(raw, patches, strict=True)], dtype=object)
+
+
+def _moved(position: Column, patches: Column, near: str, far: str, to_end: bool) -> Column:
+    begin, end = f"{near}_start", f"{near}_end"
+    hit = F.get(F.filter(patches, lambda p: (p[begin] <= position) & (position <= p[end])), F.lit(0))
+    past = F.try_element_at(F.filter(patches, lambda p: p[end] < position), F.lit(-1))
+    part = (position - hit[begin]) * (hit[f"{far}_end"] - hit[f"{far}_start"]) / (hit[end] - hit[begin])
+    inside = (
+        F.when(hit[begin] == hit[end], hit[f"{far}_start"] if to_end else hit[f"{far}_end"])
+        .when(position == hit[begin], hit[f"{far}_start"])
+        .when(position == hit[end], hit[f"{far}_end"])
+        .otherwise(hit[f"{far}_start"] + F.bround(part, 0))
+    )
+    return F.when(hit.isNotNull(), inside).when(past.isNotNull(), past[f"{far}_end"] + position - past[end]).otherwise(position).cast("int")
 
 
 def map_position(position: Column, patches: Column, to_end: bool = False) -> Column:
     """A raw position in cleaned text, given the text's sorted array of patches (raw_start, raw_end, cleaned_start, cleaned_end).
 
-    Inside a patch it is interpolated, with halves rounded to even. Where something was inserted, the start side stays before and the end side (``to_end``) behind it.
+    Inside a patch it is interpolated, with halves rounded to even. Where something was inserted, the start of an interval goes behind it, and its end (``to_end``) before it.
+    """
+    return _moved(position, patches, "raw", "cleaned", to_end)
+
+
+def map_position_back(position: Column, patches: Column, to_end: bool = False) -> Column:
+    """A cleaned position in raw text, by the same rules; where something was deleted, a start goes behind it and an end before it."""
+    return _moved(position, patches, "cleaned", "raw", to_end)
+
+
+def map_interval(start: Column, end: Column, patches: Column, back: bool = False) -> Column:
+    """An interval moved from raw to cleaned text (or ``back``), as a struct of start and end; null for intervals that can't be. An empty one stays empty."""
+    near, far = ("cleaned", "raw") if back else ("raw", "cleaned")
+    first = _moved(start, patches, near, far, False)
+    last = F.when(start == end, first).otherwise(_moved(end, patches, near, far, True))
+    return F.when((start >= 0) & (start <= end), F.struct(first.alias("start"), last.alias("end")))
+
+
+def anchor_of(span: DataFrame, raw_revision: Column, cleaned_revision: Column, text_col: str = "segment", patches_col: str = "patches") -> DataFrame:
+    """Adds ``anchor`` to spans of cleaned text (start_offset, end_offset, text and the document's patches): both revisions and intervals, and the quote's hash.
+
+    Null where the span is empty, its text has another length than its interval, or no raw text lies below it.
     """
-    past = F.filter(patches, lambda p: (p["raw_end"] < position) | ((p["raw_end"] == position) & (F.lit(to_end) | (p["raw_start"] < position))))
-    last = F.element_at(past, -1)
-    inside = F.element_at(F.filter(patches, lambda p: (p["raw_start"] < position) & (position < p["raw_end"])), 1)
-    part = (position - inside["raw_start"]) * (inside["cleaned_end"] - inside["cleaned_start"]) / (inside["raw_end"] - inside["raw_start"])
-    moved = F.when(F.size(past) > 0, position - last["raw_end"] + last["cleaned_end"]).otherwise(position)
-    return F.when(F.size(F.filter(patches, lambda p: (p["raw_start"] < position) & (position < p["raw_end"]))) > 0, (inside["cleaned_start"] + F.bround(part, 0)).cast("int")).otherwise(moved.cast("int"))
+    raw = map_interval(F.col("start_offset"), F.col("end_offset"), F.col(patches_col), back=True)
+    fine = (F.col("start_offset") >= 0) & (F.col("end_offset") > F.col("start_offset")) & (F.length(text_col) == F.col("end_offset") - F.col("start_offset")) & (raw["end"] > raw["start"]) & (raw_revision != "") & (cleaned_revision != "")
+    parts = F.struct(
+        raw_revision.alias("raw_text_revision_id"), raw["start"].alias("raw_start"), raw["end"].alias("raw_end"), cleaned_revision.alias("cleaned_text_revision_id"),
+        F.col("start_offset").alias("start_offset"), F.col("end_offset").alias("end_offset"), F.sha2(F.col(text_col), 256).alias("quote_sha256"),
+    )
+    return span.withColumn("anchor", F.when(fine, parts))
+
+
+def anchor_problem(anchor: Column, cleaned: Column, patches: Column) -> Column:
+    """Why an anchor doesn't hold (null if it does): ``no_anchor``, ``out_of_range``, ``quote_differs``, ``forward_differs`` or ``backward_differs``. Everything is computed anew."""
+    a, b = anchor["start_offset"], anchor["end_offset"]
+    forward, backward = map_interval(anchor["raw_start"], anchor["raw_end"], patches), map_interval(a, b, patches, back=True)
+    return (
+        F.when(anchor.isNull(), "no_anchor")
+        .when((a < 0) | (b > F.length(cleaned)) | (a >= b), "out_of_range")
+        .when(F.sha2(slice_between(cleaned, a, b), 256) != anchor["quote_sha256"], "quote_differs")
+        .when(~F.coalesce((forward["start"] == a) & (forward["end"] == b), F.lit(False)), "forward_differs")
+        .when(~F.coalesce((backward["start"] == anchor["raw_start"]) & (backward["end"] == anchor["raw_end"]), F.lit(False)), "backward_differs")
+    )
+
+
+def local_offsets(start: Column, stop: Column, span_start: Column, span_end: Column) -> Column:
+    """Absolute offsets of evidence in its span's own coordinates, as a struct of start and stop; null if they leave the span."""
+    return F.when((start >= span_start) & (stop <= span_end) & (start < stop), F.struct((start - span_start).alias("start"), (stop - span_start).alias("stop")))
+
+
+def parsed_proposal(response: Column, length: Column) -> Column:
+    """A proposed segmentation of a window of ``length`` code points, from JSON: a struct of ``segments`` (start, stop) and ``error``.
+
+    Only offsets are taken; text that comes along is ignored. Errors, the first that applies: ``json``, ``shape`` (no list of segments, or a segment without both offsets), ``empty``, ``type``
+    (no integer), ``range``, ``coverage`` (the window's head or tail is left out), ``gap`` and ``overlap``.
+    """
+    doc = F.try_parse_json(response)
+    items = F.try_variant_get(doc, "$.segments", "array<variant>")
+
+    def read(item: Column) -> Column:
+        start, stop = F.try_variant_get(item, "$.start_offset", "variant"), F.try_variant_get(item, "$.end_offset", "variant")
+        a, b = F.try_variant_get(item, "$.start_offset", "long"), F.try_variant_get(item, "$.end_offset", "long")
+        whole = (F.schema_of_variant(start) == "BIGINT") & (F.schema_of_variant(stop) == "BIGINT")
+        wrong = F.when(start.isNull() | stop.isNull(), "shape").when(~whole, "type").when((a < 0) | (b > length) | (a >= b), "range")
+        return F.struct(a.alias("start"), b.alias("stop"), wrong.alias("wrong"))
+
+    read_items = F.transform(items, read)
+    first_wrong = F.get(F.filter(F.transform(read_items, lambda x: x["wrong"]), lambda w: w.isNotNull()), F.lit(0))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit(None).cast("string").alias("wrong"))
+    step = lambda acc, x: F.struct(x["stop"].alias("at"), F.coalesce(acc["wrong"], F.when(x["start"] > acc["at"], F.when(acc["at"] == 0, "coverage").otherwise("gap")).when(x["start"] < acc["at"], "overlap")).alias("wrong"))
+    walked = F.aggregate(read_items, begin, step)
+    error = (
+        F.when(doc.isNull(), "json").when(items.isNull(), "shape").when(F.size(items) == 0, "empty")
+        .when(first_wrong.isNotNull(), first_wrong).when(walked["wrong"].isNotNull(), walked["wrong"]).when(walked["at"] != length, "coverage")
+    )
+    return F.struct(F.when(error.isNull(), F.transform(read_items, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))).alias("segments"), error.alias("error"))
+
+
+def compared_proposals(a: Column, b: Column) -> Column:
+    """Two parsed proposals: ``status`` (agreed only if both are valid with the same boundaries), ``reason`` and ``segments``."""
+    valid = a["error"].isNull() & b["error"].isNull()
+    agreed = valid & (a["segments"] == b["segments"])
+    return F.struct(F.when(agreed, "agreed").otherwise("disputed").alias("status"), F.when(~valid, "proposal_invalid").when(~agreed, "boundary_mismatch").alias("reason"), F.when(agreed, a["segments"]).alias("segments"))
+
+
+def assembled_spans(windows: DataFrame, rulings: DataFrame, id_col: str = "window_id", text_col: str = "text", start_col: str = "start_offset") -> DataFrame:
+    """Semantic spans of windows (id, text, start_offset, outcome of ``compared_proposals``): id, seq, start_offset, end_offset, segment and ``origin``.
+
+    Agreed windows are cut by the agreement, disputed ones by their ruling (id, segments), and a window with neither stays one span. Null texts give none.
+    """
+    joined = windows.where(F.length(text_col) > 0).join(rulings.select(id_col, F.col("segments").alias("_ruled")), id_col, "left")
+    chosen = F.coalesce("outcome.segments", "_ruled", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length(text_col).cast("long").alias("stop"))))
+    origin = F.when(F.col("outcome.segments").isNotNull(), "agreed").when(F.col("_ruled").isNotNull(), "ruled").otherwise("untouched")
+    cut = joined.select(id_col, F.col(start_col).alias("_base"), F.col(text_col).alias("_text"), origin.alias("origin"), F.posexplode(chosen).alias("seq", "_s"))
+    return cut.select(id_col, "seq", (F.col("_base") + F.col("_s.start")).alias("start_offset"), (F.col("_base") + F.col("_s.stop")).alias("end_offset"), slice_between(F.col("_text"), F.col("_s.start").cast("int"), F.col("_s.stop").cast("int")).alias("segment"), "origin")
+
+
+def page_blocks(lines: DataFrame, group: str, order: str, text_col: str, separator: str = "\n") -> DataFrame:
+    """Each group's lines joined in order. Null texts count as empty. A group is one page, whose lines stand together."""
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(order), F.coalesce(text_col, F.lit("")).alias("t"))))
+    return lines.groupBy(group).agg(F.array_join(F.transform(ordered, lambda x: x["t"]), separator).alias("block"))
 
 
 def running_offsets(df: DataFrame, group: str, order: str, text_col: str) -> DataFrame:

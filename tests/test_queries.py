@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from lectern.plans import catalog
+from lectern.plans import catalog, catalog_records, catalog_texts  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -43,6 +43,17 @@ def test_runs(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 
 
+def test_cases_are_met(spark):
+    """Queries over planted cases must show them, or they would prove nothing."""
+    values = lambda name, column: {r[0] for r in catalog.QUERIES[name](spark, SF).select(column).distinct().collect()}
+    assert values("hit_matrix", "rule") == {"R01", "R01b", "R02", "R03a", "R03b", "R03c", "R03d", "R03e", "R03f", "R03g"}
+    assert {"addition", "omission", "conflict", "alignment", "variant_reading", None} <= values("collation", "relation")
+    assert values("anchor_check", "problem") == {None, "quote_differs", "forward_differs", "out_of_range", "no_anchor"}
+    assert {"json", "shape", "empty", "type", "range", "coverage", "gap", "overlap", None} == values("proposal_parse", "error")
+    assert values("offset_gate", "check") >= {"contiguous", "strict_offset", "quote_hash"}
+    assert values("merge_refusals", "refusal") == {None, "missing", "other_kind", "referenced"} and values("split_refusals", "refusal") == {None, "missing", "allocation_differs", "referenced"}
+
+
 def test_entry_has_unique_names():
     import __spark_entry__ as entry
 
