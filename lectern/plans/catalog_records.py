@@ -252,7 +252,7 @@ def concept_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 _UNITS = "SELECT 'w' || (o_orderkey % 40) AS work_key, o_orderkey // 40 AS ck, 's' || ((o_orderkey // 40 + {0}) % 5) AS source_id, o_orderkey % {1} <> 0 AS present, CASE WHEN o_orderkey % {2} <> 0 THEN '{3}' || o_orderkey END AS aid, CASE WHEN o_orderkey % {4} <> 0 THEN 'e' || (o_custkey % {5}) END AS subj, md5(CAST(o_custkey % {6} AS VARCHAR)) AS sha FROM orders"
 
 
-@query(f"""WITH n AS ({_UNITS.format(0, 5, 7, 'a', 11, 10, 3)}), o AS ({_UNITS.format(1, 6, 13, 'b', 17, 5, 3)}), j AS (
+@query(f"""WITH n AS ({_UNITS.format(0, 5, 7, 'a', 11, 10, 3)}), o AS ({_UNITS.format(1, 6, 13, 'b', 17, 5, 2)}), j AS (
 SELECT n.work_key, n.ck, n.aid AS from_id, o.aid AS to_id, CASE WHEN (n.present AND n.aid IS NULL) OR (o.present AND o.aid IS NULL) THEN NULL WHEN n.present AND NOT o.present THEN 'addition' WHEN NOT n.present AND o.present THEN 'omission' WHEN NOT n.present THEN NULL WHEN NOT coalesce(n.subj = o.subj, false) THEN 'conflict' WHEN n.sha = o.sha THEN 'alignment' ELSE 'variant_reading' END AS relation,
 CASE WHEN (n.present AND n.aid IS NULL) OR (o.present AND o.aid IS NULL) THEN 'declared_without_assertion' END AS reason FROM n JOIN o ON n.work_key = o.work_key AND n.ck = o.ck AND n.source_id <> o.source_id)
 SELECT * FROM j WHERE relation IS NOT NULL OR reason IS NOT NULL""")
@@ -266,7 +266,7 @@ def collation(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % assertion != 0, F.concat(F.lit(prefix), k)).alias("assertion_id"), F.when(k % subject != 0, F.concat(F.lit("e"), F.col("o_custkey") % m)).alias("subject_id"), F.md5((F.col("o_custkey") % sha).cast("string")).alias("text_sha256"),
         )
 
-    found = resolution.collation(units(0, 5, 7, "a", 11, 10, 3), units(1, 6, 13, "b", 17, 5, 3))
+    found = resolution.collation(units(0, 5, 7, "a", 11, 10, 3), units(1, 6, 13, "b", 17, 5, 2))
     return found.select("work_key", _c("collation_key", "ck"), "from_id", "to_id", "relation", "reason")
 
 
