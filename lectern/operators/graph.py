@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; without one, lineage can't be cut safely."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of its own; on a cluster that would be no shared one, and is refused."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
+        if folder is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt-"))
     return sc.getCheckpointDir()
 
 
