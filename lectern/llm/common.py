@@ -59,10 +59,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which driver and executors share."""
+    """The session's checkpoint folder, which driver and executors share. Where none is set, a local session gets one of its own; on a cluster that is refused."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt-"))
     return sc.getCheckpointDir()
 
 
