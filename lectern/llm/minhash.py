@@ -42,8 +42,8 @@ ENTRIES, PER_ENTRY = 10, 3
 CHUNK, PARTNERS = 512, 3
 #: Rounds of pairing and verifying.
 ROUNDS = 2
-#: Texts that bring the frequencies by which shingles are ordered, and shingles that are known as frequent. They change the cost of the exact pass, not what it finds.
-ORDER_TEXTS, FREQUENT = 5_000, 1 << 16
+#: One of so many texts brings the frequencies by which shingles are ordered, and most shingles that are known as frequent (16 bytes each). They change the cost of the exact pass, not what it finds.
+ORDER_SHARE, FREQUENT = 8, 1 << 20
 #: A shingle that begins more texts than this has them compared in blocks, of about so many texts and shingles.
 LIGHT, BLOCK_TEXTS, BLOCK_SHINGLES = 64, 1024, 1 << 18
 #: Blocks whose parity maps are compared in one task.
@@ -319,22 +319,31 @@ def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "u binary, v binary, similarity double")
 
 
-def shingle_order(df: DataFrame, n_texts: int, text_col: str) -> np.ndarray:
-    """Frequent shingles, sorted by hash, as rows of (hash, count) in a sample of texts. Any such table gives a right order; a good one makes prefixes rare."""
+def shingle_order(df: DataFrame, text_col: str, share: int = ORDER_SHARE) -> np.ndarray:
+    """Frequent shingles, sorted by hash, as rows of (hash, count) in one of ``share`` texts. Any such table gives a right order; a good one makes prefixes rare.
+
+    The share is of all texts, so that a shingle of a given frequency is known or not alike at every size. A task counts a text's copies once.
+    """
     bound_batches(df.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    some = df.select(text.alias("text")).where(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 20)) < int(min(1.0, ORDER_TEXTS / max(n_texts, 1)) * (1 << 20))).distinct()
+    some = df.select(text.alias("text")).withColumn("code", F.xxhash64("text", F.lit(SEED))).where(F.pmod("code", F.lit(share)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
             for batch in slices(whole, "text", TOKEN_BYTES):
-                yield pa.RecordBatch.from_arrays([pa.array(labelled_shingles(batch.column("text"))[0].view(np.int64))], names=["token"])
+                code = batch.column("code").to_pylist()
+                new = [i for i, c in enumerate(code) if c not in seen and not seen.add(c)]
+                texts = batch.column("text").take(pa.array(new, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(labelled_shingles(texts)[0].view(np.int64))], names=["token"])
 
-    counts = some.mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()  # at most FREQUENT rows
-    table = np.array([(r["token"], r["n"]) for r in top], np.int64).reshape(-1, 2)
-    table = table[np.argsort(table[:, 0].view(np.uint64))]
-    return table
+    counts = checkpoint(some.mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2"))
+    # The least power of two whose shingles are few enough; there are at most 64 of them.
+    sizes = {r["power"]: r["shingles"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("shingles")).collect()}
+    least = next(k for k in range(65) if sum(v for p, v in sizes.items() if p >= k) <= FREQUENT)
+    top = counts.where(F.col("n") >= 1 << min(least, 62)).toArrow()  # at most FREQUENT rows
+    table = np.column_stack([top.column("token").to_numpy(), top.column("n").to_numpy()]).astype(np.int64)
+    return table[np.argsort(table[:, 0].view(np.uint64))]
 
 
 def prefix_sizes(n: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -502,7 +511,7 @@ def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: st
 
     ``nodes`` has the columns of ``sketches`` and num, ``classes`` node and component by text key; texts without a row there are classes of their own.
     """
-    order = shingle_order(df, nodes.count(), text_col)
+    order = shingle_order(df, text_col)
     numbers = nodes.select("text_key", "num")
     of_class = classes.select(F.col("node").alias("text_key"), "component").join(numbers.select(F.col("text_key").alias("component"), F.col("num").alias("class")), "component").select("text_key", "class")
     known = numbers.join(of_class, "text_key", "left").select("text_key", "num", F.coalesce("class", "num").alias("class"))
