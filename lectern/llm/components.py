@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from lectern.llm.common import checkpoint
 
+#: Edges that a task writes, and least number of tasks; fewer tasks write fewer shuffle files where edges are few.
+TASK_EDGES, LEAST_TASKS = 50_000, 8
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One large-star or small-star step over edges (u, v); both keep the components."""
+
+def _stars(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
+    """One large-star or small-star step over edges (u, v), written by at most so many tasks; both steps keep the components."""
     if large:
         near = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
@@ -20,7 +23,12 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v").coalesce(tasks).distinct().coalesce(tasks)
+
+
+def _state(edges: DataFrame) -> Row:
+    """The number of edges and a hash of their set."""
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -31,11 +39,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     their minimum, and the join back can be split by Spark where a node has very many.
     """
     edges = checkpoint(edges.select("u", "v").where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
-    state = None
-    while True:
-        edges = checkpoint(_stars(_stars(edges, large=True), large=False))
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+    state, now = None, _state(edges)
+    while now != state:
+        tasks = max(LEAST_TASKS, -(-now[0] // TASK_EDGES))
+        edges = checkpoint(_stars(_stars(edges.coalesce(tasks), True, tasks), False, tasks))
+        state, now = now, _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
