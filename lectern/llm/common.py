@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 4 << 20
 #: Bytes of text whose tokens are looked at together; their arrays take some sixty times as much.
 TOKEN_BYTES = 1 << 20
+#: Texts for which a task of their own is worth its files, and least number of tasks.
+TASK_TEXTS, LEAST_TASKS = 2_000, 8
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_for(spark: SparkSession, texts: int) -> int | None:
+    """The number of tasks for steps over the keys of so many texts, or None where shuffles are left as they are.
+
+    Only where partitions hold less than half of ``TASK_TEXTS`` are they merged: many more tasks than texts need
+    write many small files. The number follows the texts, and merging moves no rows.
+    """
+    tasks = max(LEAST_TASKS, -(-texts // TASK_TEXTS))
+    return tasks if 2 * tasks < shuffle_partitions(spark) else None
+
+
+def narrow(df: DataFrame, tasks: int | None) -> DataFrame:
+    """The rows in at most so many tasks."""
+    return df if tasks is None else df.coalesce(tasks)
+
+
 def hex_fraction(key: Column) -> Column:
     """A seeded order key that any SQL engine can compute: 48 leading bits of the MD5 digest."""
     return F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("long")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.bpe import slices
-from lectern.llm.common import TOKEN_BYTES, bound_batches, checkpoint, read_table, tidy
+from lectern.llm.common import TOKEN_BYTES, bound_batches, checkpoint, narrow, read_table, tasks_for, tidy
 from lectern.llm.components import connected_components
 from lectern.llm.tokens import TokenBatch
 
@@ -151,12 +151,12 @@ def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
 
 
-def one_copy(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def one_copy(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, tasks: int | None = None) -> DataFrame:
     """(text_key, text, ...) once for each row of ``wanted`` (id, text_key, ...), which names a distinct text by its least id, so that copies stay where they are read."""
-    wanted = checkpoint(wanted.withColumn("id", F.coalesce("id", F.lit(NO_ID))))
+    wanted = narrow(checkpoint(narrow(wanted.withColumn("id", F.coalesce("id", F.lit(NO_ID))), tasks)), tasks)
     few = wanted.count() <= FEW_KEYS
     found = keyed_texts(df, id_col, text_col).join(F.broadcast(wanted) if few else wanted, ["id", "text_key"]).drop("id")
-    return found.dropDuplicates(["text_key"])
+    return narrow(narrow(found, tasks).dropDuplicates(["text_key"]), tasks)
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -176,7 +176,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return found.groupBy("text_key").agg(F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", "sketch", "parity")))
 
 
-def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float, tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) of ``num`` whose parity maps don't rule out that they are similar enough, as text keys (a, b)."""
     side = lambda c: nodes.select(F.col("num").alias(c), F.col("text_key").alias(f"key_{c}"), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"parity_{c}"))
     half = lambda c: (F.size(c) / 2).cast("int")
@@ -184,14 +184,14 @@ def may_be_similar(pairs: DataFrame, nodes: DataFrame, similarity: float) -> Dat
     # Texts of like lengths have maps of one length, or one of half the other's.
     differ = F.aggregate(F.zip_with(folded("parity_a", "parity_b"), folded("parity_b", "parity_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     most = (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + HAIR
-    return pairs.join(side("a"), "a").join(side("b"), "b").where((F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - HAIR) & (differ <= most)).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    return narrow(narrow(pairs.join(side("a"), "a"), tasks).join(side("b"), "b"), tasks).where((F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - HAIR) & (differ <= most)).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
-def bucket_rows(nodes: DataFrame) -> DataFrame:
+def bucket_rows(nodes: DataFrame, tasks: int | None = None) -> DataFrame:
     """(key, text_key, sketch) for each sketch entry that several texts have."""
     keyed = nodes.where(F.exists("sketch", lambda x: x != 0)).select("text_key", F.explode("sketch").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return keyed.join(shared, "key").join(nodes.select("text_key", "sketch"), "text_key").select("key", "text_key", "sketch")
+    return narrow(narrow(keyed.join(shared, "key"), tasks).join(nodes.select("text_key", "sketch"), "text_key"), tasks).select("key", "text_key", "sketch")
 
 
 def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int = PARTNERS) -> tuple[set[tuple[int, int]], int]:
@@ -212,7 +212,7 @@ def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int =
     return out | {(min(i, centre), max(i, centre)) for i in range(len(sketch)) if i != centre and agree[i, centre] >= 0}, centre
 
 
-def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK, tasks: int | None = None) -> DataFrame:
     """Distinct pairs (a, b) of text keys, a < b. ``buckets`` may have a ``class`` column; then only pairs across classes come.
 
     Rows are dealt by ranges of (key, following entries, text), so that a bucket of any size is spread over tasks and texts that agree further
@@ -265,7 +265,7 @@ def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
         if rest is not None:
             yield take(rest, True)[0]
 
-    return dealt.mapInArrow(tidy(run), "a binary, b binary").distinct()
+    return narrow(narrow(dealt.mapInArrow(tidy(run), "a binary, b binary"), tasks).distinct(), tasks)
 
 
 def aligned(x: np.ndarray, y: np.ndarray, similarity: float) -> float:
@@ -319,7 +319,7 @@ def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "u binary, v binary, similarity double")
 
 
-def shingle_order(df: DataFrame, text_col: str, share: int = ORDER_SHARE) -> np.ndarray:
+def shingle_order(df: DataFrame, text_col: str, share: int = ORDER_SHARE, tasks: int | None = None) -> np.ndarray:
     """Frequent shingles, sorted by hash, as rows of (hash, count) in one of ``share`` texts. Any such table gives a right order; a good one makes prefixes rare.
 
     The share is of all texts, so that a shingle of a given frequency is known or not alike at every size. A task counts a text's copies once.
@@ -337,7 +337,8 @@ def shingle_order(df: DataFrame, text_col: str, share: int = ORDER_SHARE) -> np.
                 texts = batch.column("text").take(pa.array(new, pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(labelled_shingles(texts)[0].view(np.int64))], names=["token"])
 
-    counts = checkpoint(some.mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2"))
+    found = narrow(some.mapInArrow(tidy(run), "token long"), tasks).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    counts = narrow(checkpoint(narrow(found, tasks)), tasks)
     # The least power of two whose shingles are few enough; there are at most 64 of them.
     sizes = {r["power"]: r["shingles"] for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("shingles")).collect()}
     least = next(k for k in range(65) if sum(v for p, v in sizes.items() if p >= k) <= FREQUENT)
@@ -351,7 +352,7 @@ def prefix_sizes(n: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarr
     return tuple(np.minimum(n, n - np.ceil(share * n - HAIR).astype(np.int64) + 1) for share in (similarity, 2 * similarity / (1 + similarity)))
 
 
-def prefix_rows(df: DataFrame, order: np.ndarray, text_col: str, similarity: float) -> DataFrame:
+def prefix_rows(df: DataFrame, order: np.ndarray, text_col: str, similarity: float, tasks: int | None = None) -> DataFrame:
     """For each distinct text with shingles: text_key, n (its shingles), n_index and ``tokens``, its first shingles in the common order."""
     bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(order)
@@ -373,7 +374,7 @@ def prefix_rows(df: DataFrame, order: np.ndarray, text_col: str, similarity: flo
                 yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(n.astype(np.int32)), pa.array(index.astype(np.int32)), tokens], names=["text_key", "n", "n_index", "tokens"])
 
     rows = df.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
-    return rows.mapInArrow(tidy(run), "text_key binary, n int, n_index int, tokens array<long>").where("n > 0").dropDuplicates(["text_key"])
+    return narrow(rows.mapInArrow(tidy(run), "text_key binary, n int, n_index int, tokens array<long>").where("n > 0"), tasks).dropDuplicates(["text_key"])
 
 
 def block_links(num: np.ndarray, side: np.ndarray, classes: np.ndarray, shingles: np.ndarray, starts: np.ndarray, similarity: float) -> list[tuple[int, int]]:
@@ -448,7 +449,7 @@ def map_partners(side: np.ndarray, classes: np.ndarray, n: np.ndarray, block: np
     return text, names[partner]
 
 
-def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: float, tasks: int | None = None) -> DataFrame:
     """Links (u, v) by number among texts of crowded shingles: ``rows`` has token, num, class and n, ``nodes`` num, id and text_key.
 
     Texts that crowded shingles connect are one group; its texts are dealt to blocks by hash, and each two blocks are compared in a task of their own:
@@ -457,12 +458,12 @@ def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str,
     bound_batches(df.sparkSession)
     # A shingle's least text stands for it, so that only texts are nodes.
     least = F.min("num").over(Window.partitionBy("token"))
-    groups = connected_components(rows.select(F.col("num").alias("u"), least.alias("v")))
+    groups = connected_components(rows.select(F.col("num").alias("u"), least.alias("v")), tasks)
     members = rows.select("num", "class", "n").distinct().join(groups.select(F.col("node").alias("num"), F.col("component").alias("cluster")), "num").join(nodes.select("num", "id", "text_key", "parity"), "num")
-    members = checkpoint(members)
+    members = narrow(checkpoint(narrow(members, tasks)), tasks)
     sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
-    members = checkpoint(members)
+    members = narrow(checkpoint(narrow(members, tasks)), tasks)
     # Maps are small, so many blocks' maps meet in one task.
     mine, groups_of = F.floor(F.col("block") / MAP_BLOCKS), F.floor((F.col("blocks") - 1) / MAP_BLOCKS)
     dealt = members.select("num", "class", "n", "parity", "cluster", "block", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), groups_of)).alias("other")).select(
@@ -482,8 +483,8 @@ def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str,
         own = block[text]
         return rows.append_column("i", pa.array(np.minimum(own, partner))).append_column("j", pa.array(np.maximum(own, partner))).append_column("side", pa.array((own > partner).astype(np.int32)))
 
-    flagged = checkpoint(dealt.groupBy("cluster", "i", "j").applyInArrow(flag, "cluster long, num long, i int, j int, side int"))
-    source = one_copy(df, members.join(flagged.select("num").distinct(), "num", "left_semi").select("id", "text_key", "num", "class"), id_col, text_col)
+    flagged = narrow(checkpoint(dealt.groupBy("cluster", "i", "j").applyInArrow(flag, "cluster long, num long, i int, j int, side int")), tasks)
+    source = one_copy(df, members.join(flagged.select("num").distinct(), "num", "left_semi").select("id", "text_key", "num", "class"), id_col, text_col, tasks)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -493,6 +494,7 @@ def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str,
                 yield pa.RecordBatch.from_arrays([batch.column("num"), batch.column("class"), column], names=["num", "class", "shingles"])
 
     pairs = source.mapInArrow(tidy(read), "num long, class long, shingles array<long>").join(flagged, "num").select("num", "class", "shingles", "cluster", "i", "j", "side")
+    pairs = narrow(pairs, tasks)
 
     def compare(table: pa.Table) -> pa.Table:
         column = lambda c: table.column(c).combine_chunks()
@@ -506,21 +508,21 @@ def crowded_links(df: DataFrame, rows: DataFrame, nodes: DataFrame, id_col: str,
     return pairs.groupBy("cluster", "i", "j").applyInArrow(compare, "u long, v long")
 
 
-def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: str, text_col: str, similarity: float, tasks: int | None = None) -> DataFrame:
     """Links (u, v) by text key that join all classes between which any pair of texts is similar enough.
 
     ``nodes`` has the columns of ``sketches`` and num, ``classes`` node and component by text key; texts without a row there are classes of their own.
     """
-    order = shingle_order(df, text_col)
+    order = shingle_order(df, text_col, tasks=tasks)
     numbers = nodes.select("text_key", "num")
-    of_class = classes.select(F.col("node").alias("text_key"), "component").join(numbers.select(F.col("text_key").alias("component"), F.col("num").alias("class")), "component").select("text_key", "class")
+    of_class = narrow(classes.select(F.col("node").alias("text_key"), "component").join(numbers.select(F.col("text_key").alias("component"), F.col("num").alias("class")), "component"), tasks).select("text_key", "class")
     known = numbers.join(of_class, "text_key", "left").select("text_key", "num", F.coalesce("class", "num").alias("class"))
-    texts = prefix_rows(df, order, text_col, similarity).join(known, "text_key")
+    texts = narrow(prefix_rows(df, order, text_col, similarity, tasks).join(known, "text_key"), tasks)
     rows = texts.select("num", "class", "n", "n_index", F.posexplode("tokens").alias("at", "token")).select("token", "num", "class", "n", (F.col("at") < F.col("n_index")).alias("index"))
     # A window needs one shuffle of the rows, a grouping and a join two.
     alike = Window.partitionBy("token")
     rows = rows.withColumns({"texts": F.count(F.lit(1)).over(alike), "lo": F.min("class").over(alike), "hi": F.max("class").over(alike)})
-    rows = checkpoint(rows.where("texts > 1 AND lo <> hi").drop("lo", "hi"))
+    rows = narrow(checkpoint(narrow(rows.where("texts > 1 AND lo <> hi").drop("lo", "hi"), tasks)), tasks)
     light, crowded = rows.where(F.col("texts") <= LIGHT), rows.where(F.col("texts") > LIGHT)
     longer = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.num") > F.col("x.num")))
     pairs = (
@@ -529,18 +531,19 @@ def missed_links(df: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: st
         .select(F.col("x.num").alias("a"), F.col("y.num").alias("b")).distinct()
     )
     keyed = lambda p, x, y: p.join(numbers.select(F.col("num").alias(x), F.col("text_key").alias("u")), x).join(numbers.select(F.col("num").alias(y), F.col("text_key").alias("v")), y).select("u", "v")
-    pairs = checkpoint(may_be_similar(pairs, nodes, similarity))
+    pairs = narrow(checkpoint(may_be_similar(narrow(pairs, tasks), nodes, similarity, tasks)), tasks)
     ends = pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct()
-    texts_of = checkpoint(one_copy(df, ends.join(nodes.select("id", "text_key"), "text_key"), id_col, text_col))
-    found = verify(with_texts(pairs, texts_of), similarity).select("u", "v")
+    texts_of = narrow(checkpoint(one_copy(df, ends.join(nodes.select("id", "text_key"), "text_key"), id_col, text_col, tasks)), tasks)
+    found = verify(with_texts(pairs, texts_of, tasks), similarity).select("u", "v")
     if not crowded.isEmpty():
-        found = found.unionByName(keyed(crowded_links(df, crowded, nodes, id_col, text_col, similarity).toDF("a", "b"), "a", "b"))
-    return checkpoint(found)
+        found = found.unionByName(narrow(keyed(narrow(crowded_links(df, crowded, nodes, id_col, text_col, similarity, tasks), tasks).toDF("a", "b"), "a", "b"), tasks))
+    return narrow(checkpoint(found), tasks)
 
 
-def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def with_texts(pairs: DataFrame, texts: DataFrame, tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) with text_a and text_b."""
-    return pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
+    first = narrow(pairs.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a"), tasks)
+    return narrow(first.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b"), tasks)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
@@ -552,28 +555,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A null id counts as larger than all others. Empty tables give no rows; other columns are ignored.
     """
     nodes = checkpoint(sketches(df, id_col, text_col).withColumn("num", F.monotonically_increasing_id()))
-    buckets = checkpoint(bucket_rows(nodes))
-    texts = checkpoint(one_copy(df, buckets.select("text_key").distinct().join(nodes.select("text_key", "id"), "text_key"), id_col, text_col))
+    tasks = tasks_for(df.sparkSession, nodes.count())
+    nodes = narrow(nodes, tasks)
+    buckets = narrow(checkpoint(bucket_rows(nodes, tasks)), tasks)
+    texts = narrow(checkpoint(one_copy(df, buckets.select("text_key").distinct().join(nodes.select("text_key", "id"), "text_key"), id_col, text_col, tasks)), tasks)
     links: DataFrame | None = None
     classes: DataFrame | None = None
     tried: DataFrame | None = None
     for _ in range(rounds):
         rows = buckets
         if classes is not None:
-            rows = buckets.join(classes.select(F.col("node").alias("text_key"), "component"), "text_key", "left").select("key", "text_key", "sketch", F.coalesce("component", "text_key").alias("class"))
+            rows = narrow(buckets.join(classes.select(F.col("node").alias("text_key"), "component"), "text_key", "left"), tasks).select("key", "text_key", "sketch", F.coalesce("component", "text_key").alias("class"))
             mixed = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
-            rows = rows.join(mixed, "key")
-        pairs = candidate_pairs(rows)
-        pairs = checkpoint(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+            rows = narrow(rows.join(mixed, "key"), tasks)
+        pairs = candidate_pairs(rows, tasks=tasks)
+        pairs = narrow(checkpoint(pairs if tried is None else narrow(pairs.join(tried, ["a", "b"], "left_anti"), tasks)), tasks)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = checkpoint(verify(with_texts(pairs, texts), similarity).select("u", "v"))
-        links = found if links is None else links.unionByName(found)
-        classes = checkpoint(connected_components(links))
-    found = missed_links(df, nodes, classes, id_col, text_col, similarity)
+        found = narrow(checkpoint(verify(with_texts(pairs, texts, tasks), similarity).select("u", "v")), tasks)
+        links = found if links is None else narrow(links.unionByName(found), tasks)
+        classes = narrow(checkpoint(narrow(connected_components(links, tasks), tasks)), tasks)
+    found = missed_links(df, nodes, classes, id_col, text_col, similarity, tasks)
     if not found.isEmpty():
-        classes = checkpoint(connected_components(links.unionByName(found)))
+        classes = narrow(checkpoint(narrow(connected_components(links.unionByName(found), tasks), tasks)), tasks)
     named = nodes.join(classes.withColumnRenamed("node", "text_key"), "text_key", "left").select("text_key", "id", F.coalesce("component", "text_key").alias("component"))
-    named = checkpoint(named)
+    named = narrow(checkpoint(narrow(named, tasks)), tasks)
     # A null id stands behind all others.
     first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("first"))
     of_text = named.join(first, "component").select("text_key", F.col("first.id").alias("class_id"), F.col("first.text_key").alias("first_key"))
