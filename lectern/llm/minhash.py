@@ -212,7 +212,7 @@ def chunk_pairs(sketch: np.ndarray, classes: np.ndarray | None, partners: int =
     return out | {(min(i, centre), max(i, centre)) for i in range(len(sketch)) if i != centre and agree[i, centre] >= 0}, centre
 
 
-def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK, tasks: int | None = None) -> DataFrame:
+def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Distinct pairs (a, b) of text keys, a < b. ``buckets`` may have a ``class`` column; then only pairs across classes come.
 
     Rows are dealt by ranges of (key, following entries, text), so that a bucket of any size is spread over tasks and texts that agree further
@@ -265,7 +265,7 @@ def candidate_pairs(buckets: DataFrame, chunk: int = CHUNK, tasks: int | None =
         if rest is not None:
             yield take(rest, True)[0]
 
-    return narrow(narrow(dealt.mapInArrow(tidy(run), "a binary, b binary"), tasks).distinct(), tasks)
+    return dealt.mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 def aligned(x: np.ndarray, y: np.ndarray, similarity: float) -> float:
@@ -568,7 +568,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             rows = narrow(buckets.join(classes.select(F.col("node").alias("text_key"), "component"), "text_key", "left"), tasks).select("key", "text_key", "sketch", F.coalesce("component", "text_key").alias("class"))
             mixed = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
             rows = narrow(rows.join(mixed, "key"), tasks)
-        pairs = candidate_pairs(rows, tasks=tasks)
+        pairs = narrow(candidate_pairs(rows), tasks)
         pairs = narrow(checkpoint(pairs if tried is None else narrow(pairs.join(tried, ["a", "b"], "left_anti"), tasks)), tasks)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = narrow(checkpoint(verify(with_texts(pairs, texts, tasks), similarity).select("u", "v")), tasks)
