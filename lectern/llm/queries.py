@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import ann, bpe, media, minhash, mixing, quality, suffixes, toxicity, url_rules, warc
+from lectern.llm import ann, bpe, chat, media, minhash, mixing, phrases, quality, suffixes, toxicity, url_rules, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": ann.op1_ann,
@@ -19,10 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_quality": quality.op9_quality,
     "op10_minhash": minhash.op10_minhash,
+    "op11_chat": chat.op11_chat,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     "op5_warc_fixity": warc.SQL,
     "op8_url_rules": url_rules.SQL,
+    "op11_chat": chat.SQL,
 }
