@@ -311,3 +311,42 @@ def ranked(found: DataFrame, totals: DataFrame, top: int) -> DataFrame:
 
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read_table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), spoken AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+), placed AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM spoken WHERE len(ws) > 0
+), grams AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3 FROM placed
+), n AS (
+  SELECT lang, count(*) AS n FROM grams GROUP BY lang
+), f1 AS (
+  SELECT lang, w1, count(*) AS f FROM grams GROUP BY lang, w1
+), f2 AS (
+  SELECT lang, w1, w2, count(*) AS f FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10
+), f3 AS (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM grams WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10
+), longer AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY lang, w1, w2
+), two AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * p.f * p.f) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f1 y ON y.lang = p.lang AND y.w1 = p.w2
+  LEFT JOIN longer g ON g.lang = p.lang AND g.w1 = p.w1 AND g.w2 = p.w2
+  WHERE g.f IS NULL OR 100 * g.f < 50 * p.f
+), cuts AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3 AS phrase, p.f AS a, x.f AS x, yz.f AS yz, xy.f AS xy, z.f AS z,
+         CAST((1000000::HUGEINT * p.f * p.f) // (x.f::HUGEINT * yz.f) AS BIGINT) AS s1, CAST((1000000::HUGEINT * p.f * p.f) // (xy.f::HUGEINT * z.f) AS BIGINT) AS s2
+  FROM f3 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f2 yz ON yz.lang = p.lang AND yz.w1 = p.w2 AND yz.w2 = p.w3
+  JOIN f2 xy ON xy.lang = p.lang AND xy.w1 = p.w1 AND xy.w2 = p.w2 JOIN f1 z ON z.lang = p.lang AND z.w1 = p.w3
+), every AS (
+  SELECT lang, phrase, a, l, r, score FROM two
+  UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN x ELSE xy END, CASE WHEN s1 <= s2 THEN yz ELSE z END, least(s1, s2) FROM cuts
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM every
+)
+SELECT o.lang, o.rank, o.phrase, o.a, o.l, o.r, n.n, o.score FROM ordered o JOIN n ON n.lang = o.lang WHERE o.rank <= 2000
+"""

@@ -29,4 +29,5 @@ SQL: dict[str, str] = {
     "op5_warc_fixity": warc.SQL,
     "op8_url_rules": url_rules.SQL,
     "op11_chat": chat.SQL,
+    "op12_phrases": phrases.SQL,
 }
