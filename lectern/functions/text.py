@@ -47,7 +47,9 @@ def first_difference(a: Column, b: Column) -> Column:
 
 
 def padded_id(prefix: str, number: Column, width: int = 4) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """The prefix and the number with zeros up to a width; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def stable_key(kind: str, *parts: Column) -> Column:

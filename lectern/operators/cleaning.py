@@ -8,6 +8,7 @@ follows is DataFrame work on findings.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from typing import NamedTuple
@@ -60,6 +61,30 @@ class Finding(NamedTuple):
     terminal_state: str
 
 
+class Cover:
+    """Intervals sorted once. ``holds``: their union has a whole interval; ``within``: a single one has it."""
+
+    def __init__(self, intervals: Iterable[tuple[int, int]]):
+        self.begins, self.furthest = [], []
+        self.blocks, self.ends = [], []
+        for a, b in sorted(intervals):
+            self.begins.append(a)
+            self.furthest.append(max(b, self.furthest[-1]) if self.furthest else b)
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.blocks.append(a)
+                self.ends.append(b)
+
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect_right(self.blocks, start) - 1
+        return start >= end or (at >= 0 and end <= self.ends[at])
+
+    def within(self, start: int, end: int) -> bool:
+        at = bisect_right(self.begins, start) - 1
+        return at >= 0 and end <= self.furthest[at]
+
+
 class Sight:
     """One text with its findings so far. Front matter is hidden from every rule but its own."""
 
@@ -77,19 +102,12 @@ class Sight:
     def note(self, kind: str, start: int, end: int) -> None:
         self.found[kind].setdefault((start, end), True)
 
-    def within(self, kind: str, start: int, end: int) -> bool:
-        return any(a <= start and end <= b for a, b in self.found[kind])
+    def cover(self, *kinds: str) -> Cover:
+        """What the findings of some kinds hold so far."""
+        return Cover(place for k in kinds for place in self.found[k])
 
-    def starts(self, kind: str, start: int) -> bool:
-        return any(a == start for a, _ in self.found[kind])
-
-    def covered(self, start: int, end: int) -> bool:
-        """Whether escapes and diagrams together hold the whole interval."""
-        at = start
-        for a, b in sorted([*self.found["escape_residue"], *self.found["textualized_diagram"]]):
-            if a <= at < b:
-                at = b
-        return at >= end
+    def starts(self, kind: str) -> set[int]:
+        return {a for a, _ in self.found[kind]}
 
     def findings(self) -> list[Finding]:
         out = []
@@ -118,8 +136,9 @@ def _running_heads(sight: Sight) -> None:
     for start, end, line in sight.lines:
         if often.get(line.strip(), 0) >= 3:
             sight.note("header_footer", start, end)
+    begun = sight.starts("header_footer")
     for m in _RULE["header_footer"].finditer(sight.text):
-        if not sight.starts("header_footer", m.start()):
+        if m.start() not in begun:
             sight.note("header_footer", *m.span())
 
 
@@ -127,18 +146,21 @@ def _diagrams(sight: Sight) -> None:
     """Marked diagrams, blocks of framed lines, and two or more lines with three drawing marks each."""
     for m in _RULE["textualized_diagram"].finditer(sight.text):
         sight.note("textualized_diagram", *m.span())
-    blocks = [m.span() for m in _BLOCK.finditer(sight.text)]
-    run: list[tuple[int, int]] = []
+    framed = [m.span() for m in _BLOCK.finditer(sight.text)]
+    drawn, run = [], []
     for start, end, line in [*sight.lines, (0, 0, "")]:
         if sum(c in _MARKS for c in line) >= MARKS_IN_LINE:
             run.append((start, end))
         else:
             if len(run) >= LINES_IN_BLOCK:
-                blocks.append((run[0][0], run[-1][1]))
+                drawn.append((run[0][0], run[-1][1]))
             run = []
-    for start, end in blocks:
-        if not sight.within("textualized_diagram", start, end):
-            sight.note("textualized_diagram", start, end)
+    # What lies inside an earlier finding is none of its own; blocks of either sort don't meet among themselves.
+    for blocks in (framed, drawn):
+        marked = sight.cover("textualized_diagram")
+        for start, end in blocks:
+            if not marked.within(start, end):
+                sight.note("textualized_diagram", start, end)
 
 
 def _repeats(sight: Sight) -> None:
@@ -149,33 +171,62 @@ def _repeats(sight: Sight) -> None:
         if len(part) >= 8:
             start = m.start() + m[0].index(part)
             places[part].append((start, start + len(part)))
+    other = sight.cover("escape_residue", "textualized_diagram")
     for spots in places.values():
         if len(spots) > 1:
             for start, end in spots:
-                if not sight.covered(start, end):
+                if not other.holds(start, end):
                     sight.note("duplicate", start, end)
+    whole = sight.cover("duplicate")
     for m in _RULE["duplicate"].finditer(sight.text):
-        if _LETTER.search(m[1]) and not sight.covered(*m.span()) and not sight.within("duplicate", *m.span()):
+        if _LETTER.search(m[1]) and not other.holds(*m.span()) and not whole.within(*m.span()):
             sight.note("duplicate", *m.span())
 
 
+#: A line of the body is longer than a title, a sentence longer than a few words, or says that the body begins; a title of that many characters is known again inside a line.
+LONG_TITLE, LONG_SENTENCE, BODY_HEAD, TELLING_TITLE = 40, 15, "正文", 4
+
+
+def _reads_like_body(line: str) -> bool:
+    return line == BODY_HEAD or len(line) > (LONG_SENTENCE if "。" in line else LONG_TITLE)
+
+
+class _Titles:
+    """Titles seen so far: whether a line repeats one, or has a telling one in it."""
+
+    def __init__(self) -> None:
+        self.all, self.telling = set(), []
+
+    def add(self, title: str) -> None:
+        if title not in self.all:
+            self.all.add(title)
+            self.telling += [title] if len(title) >= TELLING_TITLE else []
+
+    def known_in(self, line: str) -> bool:
+        return line in self.all or any(t in line for t in self.telling)
+
+
 def contents_entries(text: str) -> tuple[list[tuple[str, int, int]], int]:
-    """Titles of a text's table of contents with their places, and where the body begins behind it."""
+    """Titles of a text's table of contents with their places, and where the body begins behind it.
+
+    The table ends with an empty line, or before the first line that belongs to the body: one that reads like it, or repeats a title.
+    """
     head = _CONTENTS.search(text)
-    entries: list[tuple[str, int, int]] = []
     if not head:
-        return entries, len(text)
-    at = head.end()
+        return [], len(text)
+    entries, titles, at = [], _Titles(), head.end()
     for line in text[at:].splitlines(keepends=True):
-        title = line.strip()
-        if entries and not title:
-            return entries, at + len(line)
-        if entries and (len(title) > 40 or ("。" in title and len(title) > 15) or title == "正文" or any(title == e or (len(e) >= 4 and e in title) for e, _, _ in entries)):
+        title, upto = line.strip(), at + len(line)
+        if not title:
+            if entries:
+                return entries, upto
+        elif entries and (_reads_like_body(title) or titles.known_in(title)):
             return entries, at
-        if title:
+        else:
             start = at + line.index(title)
             entries.append((title, start, start + len(title)))
-        at += len(line)
+            titles.add(title)
+        at = upto
     return entries, at
 
 
@@ -187,8 +238,9 @@ def _gaps(sight: Sight) -> None:
         bare = _NUMBER.sub("", title).strip()
         if title not in body and (bare if len(bare) >= 2 else title) not in body:
             sight.note("missing", start, end)
+    begun = sight.starts("missing")
     for m in _RULE["missing"].finditer(sight.text):
-        if not sight.starts("missing", m.start()):
+        if m.start() not in begun:
             sight.note("missing", *m.span())
 
 

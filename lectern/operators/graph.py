@@ -19,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
+    """The rows in a reliable checkpoint: lineage ends here, and every later use sees the same rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -30,13 +31,13 @@ def reachable(edges: DataFrame, seeds: DataFrame, undirected: bool = False) -> D
     Each round joins only the newest nodes and writes only what it found; the loop ends when there is nothing new.
     """
     edges = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
-    edges = _checkpoint((edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if undirected else edges).distinct().repartition("src"))
-    frontier = _checkpoint(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("depth", F.lit(0)))
+    edges = kept((edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if undirected else edges).distinct().repartition("src"))
+    frontier = kept(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("depth", F.lit(0)))
     seen, depth = frontier, 0
     while not frontier.isEmpty():
         depth += 1
         found = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = _checkpoint(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
+        frontier = kept(found.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
     return seen
 
@@ -44,14 +45,14 @@ def reachable(edges: DataFrame, seeds: DataFrame, undirected: bool = False) -> D
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of undirected edges (src, dst); a component is named by its least node. Names spread to neighbours, and to what those are named by, until none changes."""
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
-    both = _checkpoint(both)
-    named = _checkpoint(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
+    both = kept(both)
+    named = kept(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
     while True:
         of = named.select(F.col("node").alias("dst"), F.col("component").alias("_near"))
         near = both.join(of, "dst").groupBy(F.col("src").alias("node")).agg(F.min("_near").alias("_near"))
         jump = named.select(F.col("node").alias("component"), F.col("component").alias("_far"))
         moved = named.join(near, "node").join(jump, "component", "left").select("node", F.least("component", "_near", "_far").alias("component"), (F.least("component", "_near", "_far") < F.col("component")).alias("_moved"))
-        named = _checkpoint(moved)
+        named = kept(moved)
         if named.where("_moved").isEmpty():
             return named.drop("_moved")
         named = named.drop("_moved")

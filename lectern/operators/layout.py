@@ -94,8 +94,8 @@ def circle_fit(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
 
 def rare_glyphs(glyphs: DataFrame, common: DataFrame, simplified: DataFrame, least: float = 0.5) -> DataFrame:
-    """Glyphs that need a look: low confidence, or a character that isn't common, neither by itself nor by its simplified form. Adds ``rare_reason``. The tables of characters are small and fixed."""
-    c, s = F.broadcast(common.select("char", F.lit(True).alias("_common"))), F.broadcast(simplified.select("char", "simple"))
+    """Glyphs that need a look: low confidence, or a character that isn't common, neither by itself nor by its simplified form. Adds ``rare_reason``."""
+    c, s = common.select("char", F.lit(True).alias("_common")), simplified.select("char", "simple")
     joined = glyphs.join(c, "char", "left").join(s, "char", "left").join(c.select(F.col("char").alias("simple"), F.col("_common").alias("_simple")), "simple", "left")
     reason = F.when(F.col("conf") < least, "low_conf").when(F.coalesce("_common", "_simple", F.lit(False)), None).otherwise("not_common")
     return joined.withColumn("rare_reason", reason).where("rare_reason IS NOT NULL").select(*glyphs.columns, "rare_reason")

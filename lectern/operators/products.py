@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from zlib import crc32
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
 def concept_hits(mentions: DataFrame, spans: DataFrame, concept: str | None = None) -> DataFrame:
@@ -36,11 +40,48 @@ def glossary_spans(glossary: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def first_holder(terms: DataFrame, spans: DataFrame, term: str, span: str, order: str, text_col: str) -> DataFrame:
-    """Each term's first span that holds it, by order. Terms of a word or more meet spans at their first word, so no span is tried against all terms."""
-    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    heads = terms.select(term, F.get(words(F.col(term)), F.lit(0)).alias("_head")).where("_head IS NOT NULL").distinct()
-    held = spans.select(span, order, text_col, F.explode(F.array_distinct(words(F.col(text_col)))).alias("_head")).join(heads, "_head").where(F.contains(F.lower(text_col), F.lower(term)))
-    return held.groupBy(term).agg(F.min(F.struct(order, span)).alias("_f")).select(term, F.col(f"_f.{span}").alias(span))
+    """Each term's first span that holds it anywhere, also within a word, by order and span; case doesn't count. Empty and null terms have none.
+
+    Terms and spans meet at runs of characters, so no span is tried against all terms: a term is looked up by its rarest run of
+    ``GRAM`` characters (or by itself, if it is shorter). Spans send their different runs with their ids, but for runs that a table of
+    ``MARKS`` bits shows to be in no term, however many terms there are; a text travels once for each term that it may hold.
+    """
+    wanted = terms.select(F.col(term).alias("_term"), F.lower(term).alias("_low")).where("_low <> ''").distinct()
+    parts = wanted.select("_term", F.explode(_grams("_low")).alias("_gram"))
+    marks = np.zeros(MARKS, bool)
+    marks[[r[0] for r in parts.select(F.pmod(F.crc32(F.encode("_gram", "utf-8")), F.lit(MARKS)).cast("int")).distinct().collect()]] = True
+    runs = spans.where(F.length(text_col) > 0).select(F.col(span).alias("_span"), F.explode(_held_grams(marks)(F.lower(text_col))).alias("_gram"))
+    runs = runs.join(parts.select("_gram").distinct(), "_gram", "left_semi")
+    # Of a term's runs the one in fewest spans decides; one that no span has leaves it without a holder.
+    spread = parts.join(runs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n")), "_gram", "left")
+    rarest = spread.groupBy("_term").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r")).where("_r.n > 0").select("_term", F.col("_r.gram").alias("_gram"))
+    maybe = runs.join(rarest, "_gram").select("_term", "_span")
+    held = maybe.join(spans.select(F.col(span).alias("_span"), F.col(order).alias("_order"), F.lower(text_col).alias("_text")), "_span").where(F.contains("_text", F.lower("_term")))
+    return held.groupBy("_term").agg(F.min(F.struct("_order", "_span")).alias("_f")).select(F.col("_term").alias(term), F.col("_f._span").alias(span))
+
+
+#: Characters in a run by which terms and texts meet; bits that tell runs apart.
+GRAM, MARKS = 4, 1 << 20
+
+
+def _runs(text: str, lengths: range) -> list[str]:
+    return list({text[i : i + k] for k in lengths for i in range(len(text) - k + 1)})
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _grams(text: pd.Series) -> pd.Series:
+    """The runs of a term; a short one is its own."""
+    return text.map(lambda t: _runs(t, range(min(GRAM, len(t)), min(GRAM, len(t)) + 1)))
+
+
+def _held_grams(marks: np.ndarray) -> Callable[[Column], Column]:
+    """The runs of a text up to ``GRAM`` characters that some term may have."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def held(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: [g for g in _runs(t, range(1, GRAM + 1)) if marks[crc32(g.encode()) % MARKS]])
+
+    return held
 
 
 def evidence_chain(assertions: DataFrame, spans: DataFrame, documents: DataFrame, assets: DataFrame, policy: Column) -> DataFrame:
@@ -72,9 +113,13 @@ def evidence_bundle(hits: DataFrame, rank: Sequence[str], per_concept: int) -> D
     return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_concept).drop("_p", "_one")
 
 
+#: A sentence with the citations behind it. A Latin mark only ends one before white space, a citation or the text's end: not in a number or a name.
+SENTENCE = r"(?s).+?(?:[.!?]+(?=\s|\[|$)|[。！？]+)(?:\s*\[[^\]]+\])*|.+$"
+
+
 def answer_check(answers: DataFrame, bundle: DataFrame, key: str, text_col: str) -> DataFrame:
     """Sentences of answers that don't hold: no citation like ``[span]``, or one that isn't in the bundle. Rows of key, place, problem and citation."""
-    sentences = answers.select(key, F.posexplode(F.filter(F.regexp_extract_all(text_col, F.lit(r"[^.!?。！？]*[.!?。！？]+(?:\s*\[[^\]]+\])*|[^.!?。！？]+$"), F.lit(0)), lambda s: F.trim(s) != "")).alias("place", "sentence"))
+    sentences = answers.select(key, F.posexplode(F.filter(F.regexp_extract_all(text_col, F.lit(SENTENCE), F.lit(0)), lambda s: F.trim(s) != "")).alias("place", "sentence"))
     cited = sentences.withColumn("cites", F.regexp_extract_all("sentence", F.lit(r"\[([^\]]+)\]"), F.lit(1)))
     none = cited.where(F.size("cites") == 0).select(key, "place", F.lit("no_citation").alias("problem"), F.lit(None).cast("string").alias("citation"))
     each = cited.select(key, "place", F.explode("cites").alias("citation"))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.graph import kept
+
 
 def described_revisions(revisions: DataFrame, artifacts: DataFrame, packages: DataFrame) -> DataFrame:
     """Revisions with their artifact's type, and the stage and id of their package where they have one."""
@@ -198,9 +200,13 @@ def stage_states(stages: DataFrame, run: str, order: str, started: str, passed:
 
 
 def numbered(rows: DataFrame, categories: Sequence[str], category: str, order: Sequence[str]) -> DataFrame:
-    """Adds ``number`` across all rows: categories in the given order, then keys. One pass numbers the parts, so no task holds all rows."""
+    """Adds ``number`` across all rows: categories in the given order, then keys.
+
+    Rows are dealt out by range once and kept with their part, as a second sampling of the ranges may deal them otherwise. The
+    sizes of the parts give where each part begins, so no task holds all rows.
+    """
     place = F.array_position(F.array(*(F.lit(c) for c in categories)), F.col(category))
-    dealt = rows.withColumn("_place", place).repartitionByRange(F.col("_place"), *(F.col(c) for c in order)).sortWithinPartitions("_place", *order).withColumn("_part", F.spark_partition_id())
+    dealt = kept(rows.withColumn("_place", place).repartitionByRange(F.col("_place"), *(F.col(c) for c in order)).withColumn("_part", F.spark_partition_id()))
     sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
     within = F.row_number().over(Window.partitionBy("_part").orderBy("_place", *order))

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.functions.text import padded_id
+
 
 def view_modes(views: DataFrame, base: DataFrame, source: str = "source_id", parts: str = "parts") -> DataFrame:
     """How each view (source, parts) meets the base: ``new``, ``replacement`` (equal parts), ``extension`` (none in common) or ``refused`` (some)."""
@@ -119,8 +121,8 @@ def split_items(items: DataFrame, splits: DataFrame, references: DataFrame, key:
     fine = split_checks(items, splits, references, key, spans).where("refusal IS NULL").select(key)
     due = splits.join(fine, key, "left_semi")
     # Splits are decisions of people; their number is small, whatever the items are.
-    fresh = due.withColumn("_n", F.row_number().over(Window.orderBy(key, "placeholder"))).select(F.col(key).alias("_old"), F.concat(F.lit(prefix), F.lpad((last + F.col("_n")).cast("string"), 6, "0")).alias("_new"), F.col(spans).alias("_spans"))
-    cloned = items.join(F.broadcast(fresh), F.col(key) == F.col("_old")).withColumns({key: F.col("_new"), spans: F.array_sort("_spans")}).select(*items.columns)
+    fresh = due.withColumn("_n", F.row_number().over(Window.orderBy(key, "placeholder"))).select(F.col(key).alias("_old"), padded_id(prefix, last + F.col("_n"), 6).alias("_new"), F.col(spans).alias("_spans"))
+    cloned = items.join(fresh, F.col(key) == F.col("_old")).withColumns({key: F.col("_new"), spans: F.array_sort("_spans")}).select(*items.columns)
     return items.join(fine, key, "left_anti").unionByName(cloned), fresh.select(F.col("_old").alias("from_id"), F.col("_new").alias("to_id"), F.lit("split").alias("change"))
 
 
@@ -137,10 +139,11 @@ def merge_checks(items: DataFrame, merges: DataFrame, references: DataFrame, rel
 
 
 def without_retired(items: DataFrame, relations: DataFrame, retired: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Items and relations after retirement (rows of ``key``), and the relations that went with it."""
+    """Items and relations after retirement (rows of ``key``), and the relations that went with it: each is in one of the two, as often as it came. A null end is no retired one."""
     gone = retired.select(key).distinct()
-    dropped = relations.join(gone, relations["from_id"] == gone[key], "left_semi").unionByName(relations.join(gone, relations["to_id"] == gone[key], "left_semi")).distinct()
-    return items.join(gone, key, "left_anti"), relations.join(dropped, relations.columns, "left_anti"), dropped
+    end = lambda c: gone.select(F.col(key).alias(c), F.lit(True).alias(f"_gone_{c}"))
+    told = relations.join(end("from_id"), "from_id", "left").join(end("to_id"), "to_id", "left").withColumn("_out", F.coalesce("_gone_from_id", "_gone_to_id", F.lit(False)))
+    return items.join(gone, key, "left_anti"), told.where("NOT _out").select(*relations.columns), told.where("_out").select(*relations.columns)
 
 
 def with_aliases(items: DataFrame, accepted: DataFrame, key: str, name: str, aliases: str) -> DataFrame:

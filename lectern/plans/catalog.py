@@ -55,7 +55,7 @@ def segment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(rf"""WITH {_SEGMENTS}
-SELECT doc_id, CAST(seq AS INTEGER) AS seq, start_offset, end_offset, 'd' || lpad(CAST(doc_id AS VARCHAR), 7, '0') || '_s' || lpad(CAST(seq + 1 AS VARCHAR), 4, '0') AS span_id, sha256(segment) AS quote_sha256 FROM span""")
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, start_offset, end_offset, 'd' || printf('%07d', doc_id) || '_s' || printf('%04d', seq + 1) AS span_id, sha256(segment) AS quote_sha256 FROM span""")
 def span_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.with_span_ids(spans.segment_spans(table(spark, sf_dir, "documents"))).drop("segment")
 

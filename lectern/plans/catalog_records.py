@@ -440,7 +440,7 @@ def evidence_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'no_citation' WHEN 1 THEN 'not_in_bundle' END AS problem FROM orders WHERE o_orderkey % 3 < 2")
 def answer_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.col("o_orderkey") % 3
-    answers = table(spark, sf_dir, "orders").select("o_orderkey", F.when(rest == 0, "It is so.").when(rest == 1, "It is so. [9999999999]").otherwise(F.concat(F.lit("It is so. ["), "o_custkey", F.lit("]"))).alias("text"))
+    answers = table(spark, sf_dir, "orders").select("o_orderkey", F.when(rest == 0, "It is 3.5 m long.").when(rest == 1, "It is so. [9999999999]").otherwise(F.concat(F.lit("It is 3.5 m long. ["), "o_custkey", F.lit("]"))).alias("text"))
     bundle = table(spark, sf_dir, "orders").select(_c("o_custkey", "span_id"))
     return products.answer_check(answers, bundle, "o_orderkey", "text").select("o_orderkey", "problem")
 
@@ -463,9 +463,10 @@ def subjects_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.subjects_both_ways(rows, "o_orderkey", "subject_id", "refs").select("subject", "track", F.size("items").cast("long").alias("n"))
 
 
-@query("WITH w AS (SELECT DISTINCT string_split(trim(lower(text)), ' ')[1] AS term FROM conversations WHERE turn = 0 AND regexp_matches(lower(text), '^[a-z]+ ')) SELECT term, (SELECT min(doc_id) FROM documents WHERE contains(lower(text), term) AND regexp_matches(lower(text), '(^|[^\\pL\\pN])' || term || '([^\\pL\\pN]|$)')) AS doc_id FROM w WHERE doc_id IS NOT NULL")
+@query("WITH w AS (SELECT DISTINCT string_split(trim(lower(text)), ' ')[1] AS term FROM conversations WHERE length(trim(text)) > 0), d AS (SELECT doc_id, lower(text) AS low FROM documents) SELECT term, min(doc_id) AS doc_id FROM w JOIN d ON contains(low, term) GROUP BY term")
 def first_holder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = table(spark, sf_dir, "conversations").where("turn = 0").where(F.lower("text").rlike("^[a-z]+ ")).select(F.split(F.trim(F.lower("text")), " ")[0].alias("term")).distinct()
+    """The first words of all turns, wherever documents hold them."""
+    terms = table(spark, sf_dir, "conversations").where(F.length(F.trim("text")) > 0).select(F.split(F.trim(F.lower("text")), " ")[0].alias("term")).distinct()
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").alias("order"), "text")
     return products.first_holder(terms, docs, "term", "doc_id", "order", "text")
 
