@@ -56,7 +56,10 @@ def first_holder(terms: DataFrame, spans: DataFrame, term: str, span: str, order
     spread = parts.join(runs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n")), "_gram", "left")
     rarest = spread.groupBy("_term").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r")).where("_r.n > 0").select("_term", F.col("_r.gram").alias("_gram"))
     maybe = runs.join(rarest, "_gram").select("_term", "_span")
-    held = maybe.join(spans.select(F.col(span).alias("_span"), F.col(order).alias("_order"), F.lower(text_col).alias("_text")), "_span").where(F.contains("_text", F.lower("_term")))
+    # A term that is a run itself is held for sure; only longer ones have to see the text.
+    known = spans.select(F.col(span).alias("_span"), F.col(order).alias("_order"), F.lower(text_col).alias("_text"))
+    whole = F.length(F.lower("_term")) <= GRAM
+    held = maybe.where(whole).join(known.drop("_text"), "_span").unionByName(maybe.where(~whole).join(known, "_span").where(F.contains("_text", F.lower("_term"))).drop("_text"))
     return held.groupBy("_term").agg(F.min(F.struct("_order", "_span")).alias("_f")).select(F.col("_term").alias(term), F.col("_f._span").alias(span))
 
 
