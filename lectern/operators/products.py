@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from lectern.operators.graph import kept
+
 
 def concept_hits(mentions: DataFrame, spans: DataFrame, concept: str | None = None) -> DataFrame:
     """Mentions (of one concept, or all) with the quote and location of their span; mentions of unknown spans stay, without."""
@@ -51,7 +53,7 @@ def first_holder(terms: DataFrame, spans: DataFrame, term: str, span: str, order
     marks = np.zeros(MARKS, bool)
     marks[[r[0] for r in parts.select(F.pmod(F.crc32(F.encode("_gram", "utf-8")), F.lit(MARKS)).cast("int")).distinct().collect()]] = True
     runs = spans.where(F.length(text_col) > 0).select(F.col(span).alias("_span"), F.explode(_held_grams(marks)(F.lower(text_col))).alias("_gram"))
-    runs = runs.join(parts.select("_gram").distinct(), "_gram", "left_semi")
+    runs = kept(runs.join(parts.select("_gram").distinct(), "_gram", "left_semi"))
     # Of a term's runs the one in fewest spans decides; one that no span has leaves it without a holder.
     spread = parts.join(runs.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n")), "_gram", "left")
     rarest = spread.groupBy("_term").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r")).where("_r.n > 0").select("_term", F.col("_r.gram").alias("_gram"))
