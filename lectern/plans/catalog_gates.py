@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, cover, spans
+from lectern.operators import cleaning, cover, spans, suites
 from lectern.plans.catalog import query, table
 
 # Cover: goods under way of a supplier, by day, against some days behind each shipment.
@@ -63,3 +63,133 @@ def forbidden_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found.withColumn("terminal_state", F.when(F.col("doc_id") % 11 == 0, "processed").otherwise(F.col("terminal_state")))
     found = found.select("doc_id", "kind", "terminal_state", "raw_start", "raw_end", F.explode(F.sequence(F.lit(1), F.when(F.col("doc_id") % 7 == 0, 2).otherwise(1))).alias("copy"))
     return cover.forbidden_chars(parts, patches, found).select("doc_id", "position", "raw_position", "n", "verdict")
+
+
+# Suites: documents as pages of assets (source), lines of conversations as spans of pages, line items as references and glyphs. Faults are planted by key, each check's at its own modulus.
+
+def _expected(gates: tuple[str, ...], counts: dict[str, str]) -> str:
+    """The report's lines in their order with a count for each check that SQL takes from the base tables."""
+    lines = [(v, c, code) for v in suites.VALIDATORS if v.gate in gates for c, code in v.checks]
+    rows = ", ".join(f"({i}, '{v.gate}', '{v.name}', '{c}', {repr(code) if code else 'NULL'}, ({counts[c]}))" for i, (v, c, code) in enumerate(lines))
+    told = ", ".join(repr(w) for w in suites.WARNINGS)
+    return f"SELECT CAST(place AS INTEGER) AS place, gate, validator, \"check\", CAST(code AS VARCHAR) AS code, CAST(n AS BIGINT) AS n, CASE WHEN n = 0 THEN 'passed' WHEN \"check\" IN ({told}) THEN 'told' ELSE 'failed' END AS state FROM (VALUES {rows}) t(place, gate, validator, \"check\", code, n)"
+
+
+def _every(n: int, key: str = "doc_id"):
+    return F.col(key) % n == 0
+
+
+_DOCS = "SELECT count(*) FROM documents WHERE text IS NOT NULL AND doc_id % {} = 0"
+_G1 = {
+    "object_missing": _DOCS.format(31), "hash_mismatch": _DOCS.format(37) + " AND doc_id % 31 <> 0", "page_set_mismatch": _DOCS.format(41) + " OR text IS NOT NULL AND doc_id % 43 = 0 AND doc_id % 41 <> 0",
+    "page_hash_mismatch": _DOCS.format(47) + " AND doc_id % 41 <> 0 AND doc_id % 43 <> 0", "terminal_state_mismatch": _DOCS.format(53) + " AND doc_id % 41 <> 0 AND doc_id % 43 <> 0", "content_sha256_mismatch": _DOCS.format(29),
+    "spans_revision_mismatch": _DOCS.format(23), "source_asset_mismatch": _DOCS.format(19), "forbidden_char_in_text": "SELECT count(*) FROM conversations WHERE conv_id % 3 = 0", "known_unresolvable_char_disclosed": "SELECT count(*) FROM conversations WHERE conv_id % 3 <> 0",
+    "unresolved_glyph": "SELECT count(*) FROM lineitem WHERE l_returnflag = 'R'", "unproofread_glyphs": "SELECT count(*) FROM lineitem WHERE l_linenumber = 5", "replay_tool_mismatch": _DOCS.format(13), "replay_bytes_mismatch": _DOCS.format(17),
+}
+
+
+@query(_expected(("G1",), _G1))
+def suite_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of sources over whole tables, with faults of each kind."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text", F.sha2("text", 256).alias("h"))
+    bad = lambda n, c="h": F.when(_every(n), F.lit("other")).otherwise(F.col(c))
+    objects = docs.select(F.col("doc_id").alias("object_key"), bad(37).alias("sha256"))
+    store = docs.where("doc_id % 31 <> 0").select(F.col("doc_id").alias("object_key"), F.col("text").alias("content"))
+    manifest = docs.where("doc_id % 41 <> 0").select(F.col("doc_id").alias("page_id"), F.col("h").alias("sha256"), F.lit("covered").alias("state"))
+    registry = docs.where("doc_id % 43 <> 0 OR doc_id % 41 = 0").select(F.col("doc_id").alias("page_id"), bad(47).alias("sha256"), F.when(_every(53), "deferred").otherwise("covered").alias("state"))
+    revisions = docs.select(F.col("doc_id").alias("revision_id"), F.col("text").alias("content"), bad(29).alias("content_sha256"), bad(23).alias("spans_revision"), F.col("h").alias("pinned_spans_revision"), bad(19).alias("asset_sha256"), F.col("h").alias("pinned_asset_sha256"))
+    chars = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("subject"), F.when(F.col("conv_id") % 3 == 0, "forbidden").otherwise("disclosed").alias("verdict"))
+    glyphs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("glyph_id"), F.when(F.col("l_returnflag") == "R", "□").otherwise("x").alias("char"), (F.col("l_linenumber") != 5).alias("proofread"))
+    replays = docs.select(F.col("doc_id").alias("asset_id"), bad(13).alias("tool"), F.col("h").alias("pinned_tool"), F.col("text").alias("content"), bad(17).alias("sha256"))
+    return suites.suite_report(suites.source_checks(objects, store, manifest, registry, revisions, chars, glyphs, replays), gates=("G1",))
+
+
+_TURN = "turn_ AS (SELECT conv_id, turn, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)"
+_CONV = "SELECT count(DISTINCT conv_id) FROM conversations WHERE "
+_TURNS = f"WITH {_TURN} SELECT count(*) FROM turn_ WHERE "
+_G2 = {
+    "page_missing": _CONV + "conv_id % 11 = 3", "page_unregistered": _CONV + "conv_id % 13 = 5 AND conv_id % 11 <> 3", "page_without_span": _CONV + "conv_id % 17 = 4 AND conv_id % 7 <> 1 AND conv_id % 5 <> 2 AND conv_id % 11 <> 3 AND conv_id % 13 <> 5",
+    "page_deferred": _CONV + "conv_id % 7 = 1 AND conv_id % 11 <> 3", "excluded_page_no_evidence": _CONV + "conv_id % 5 = 2 AND conv_id % 7 <> 1 AND conv_id % 11 <> 3", "coverage_gap": _TURNS + "conv_id % 17 <> 4 AND conv_id % 19 = 6 AND i = 1", "coverage_overlap": _TURNS + "conv_id % 17 <> 4 AND conv_id % 23 = 7 AND conv_id % 19 <> 6 AND i = 2",
+    "span_text_mismatch": _TURNS + "conv_id % 17 <> 4 AND (conv_id % 11 = 3 OR conv_id % 29 = 8 OR conv_id % 19 = 6 AND i = 1 OR conv_id % 23 = 7 AND conv_id % 19 <> 6 AND i = 2)",
+    "span_boundary_mismatch": _TURNS + "conv_id % 17 <> 4 AND (conv_id % 11 = 3 OR conv_id % 31 = 9 AND i = n)", "batch_span_leak": _TURNS + "conv_id % 17 <> 4 AND conv_id % 37 = 10", "batch_span_duplicate": _TURNS + "conv_id % 17 <> 4 AND conv_id % 37 <> 10 AND conv_id % 41 = 11",
+    "batch_cross_page": f"WITH {_TURN} SELECT count(*) FROM (SELECT turn % 4 AS b, conv_id % 43 AS g FROM turn_ WHERE conv_id % 17 <> 4 AND conv_id % 37 <> 10 AND conv_id % 43 = 12 GROUP BY 1, 2 HAVING count(DISTINCT conv_id) > 1)",
+    "batch_oversize": f"WITH {_TURN}, b AS (SELECT CASE WHEN conv_id % 43 = 12 THEN 'x' || turn % 4 ELSE 'c' || conv_id || '_' || turn // 4 END AS b, CASE WHEN conv_id % 41 = 11 THEN 2 ELSE 1 END AS k FROM turn_ WHERE conv_id % 17 <> 4 AND conv_id % 37 <> 10) SELECT count(*) FROM (SELECT b FROM b GROUP BY b HAVING sum(k) > 6)",
+    "count_mismatch": _CONV + "conv_id % 17 <> 4 AND (conv_id % 47 = 13)",
+}
+
+
+@query(_expected(("G2",), _G2))
+def suite_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of coverage: conversations are pages, their turns spans."""
+    rest = lambda n, r: F.col("conv_id") % n == r
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    placed = spans.running_offsets(turns, "conv_id", "turn", "text").withColumns({"i": F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")), "n": F.count(F.lit(1)).over(Window.partitionBy("conv_id"))})
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n")
+    whole = turns.groupBy("conv_id").agg(text.alias("text"))
+    manifest = whole.where("conv_id % 13 <> 5 OR conv_id % 11 = 3").select(F.col("conv_id").alias("page_id"))
+    state = F.when(rest(7, 1), "deferred").when(rest(5, 2), "excluded").otherwise("covered")
+    pages = whole.where("conv_id % 11 <> 3").select(F.col("conv_id").alias("page_id"), state.alias("state"), F.lit(None).cast("string").alias("reason"), F.col("text"))
+    moved = F.when(rest(19, 6) & (F.col("i") == 1), 1).when(rest(23, 7) & ~rest(19, 6) & (F.col("i") == 2), -1).otherwise(0)
+    parts = placed.where("conv_id % 17 <> 4").select(
+        F.concat(F.lit("c"), "conv_id", F.lit("_"), "turn").alias("span_id"), F.col("conv_id").alias("page_id"), (F.col("start_offset") + moved).cast("int").alias("start_offset"),
+        (F.col("end_offset") + F.when(rest(31, 9) & (F.col("i") == F.col("n")), 1).otherwise(0)).cast("int").alias("end_offset"), F.when(rest(29, 8), F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), "conv_id", "turn",
+    )
+    batch = F.when(rest(43, 12), F.concat(F.lit("x"), F.col("turn") % 4)).otherwise(F.concat(F.lit("c"), "conv_id", F.lit("_"), F.floor(F.col("turn") / 4)))
+    batches = parts.where("conv_id % 37 <> 10").select(batch.alias("batch_id"), "span_id", F.explode(F.sequence(F.lit(1), F.when(rest(41, 11), 2).otherwise(1))).alias("copy")).drop("copy")
+    counts = parts.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).select("page_id", (F.col("n") + F.when(F.col("page_id") % 47 == 13, 1).otherwise(0)).alias("n_spans"))
+    return suites.suite_report(suites.coverage_suite(manifest, pages, parts.drop("conv_id", "turn"), batches, counts, 6), gates=("G2",))
+
+
+_LINE = "SELECT count(*) FROM lineitem WHERE "
+# Spans with an id that comes twice are judged twice.
+_SPANS = "WITH s AS (SELECT conv_id FROM conversations UNION ALL SELECT conv_id FROM conversations WHERE conv_id % 11 = 3) SELECT count(*) FROM s WHERE "
+_ORD = "SELECT count(*) FROM orders WHERE "
+_G3 = {
+    "span_id_format": _SPANS + "conv_id % 7 = 1", "span_id_duplicate": "SELECT count(*) FROM conversations WHERE conv_id % 11 = 3", "page_line_mismatch": _SPANS + "conv_id % 13 = 5 OR conv_id % 17 = 4 AND conv_id % 7 <> 1",
+    "anchor_offset_mismatch": _SPANS + "conv_id % 13 <> 5 AND conv_id % 19 = 6", "source_id_mismatch": _SPANS + "conv_id % 13 <> 5 AND conv_id % 23 = 7", "content_status_invalid": _SPANS + "conv_id % 29 = 8",
+    "dangling_ref": _LINE + "l_orderkey % 31 = 0", "not_consumable": _LINE + "l_orderkey % 31 <> 0 AND l_orderkey % 37 = 0", "ref_type_mismatch": _LINE + "l_orderkey % 31 <> 0 AND l_linenumber = 3",
+    "offset_out_of_range": _TURNS + "conv_id % 13 = 5 OR conv_id % 31 = 9", "offset_mismatch": _TURNS + "conv_id % 13 <> 5 AND conv_id % 31 <> 9 AND conv_id % 37 = 10", "quote_hash_mismatch": _TURNS + "conv_id % 43 <> 12 AND (conv_id % 41 = 11)",
+    "quote_hash_not_stored": _TURNS + "conv_id % 43 = 12", "anchor_revision_mismatch": _TURNS + "conv_id % 13 = 5 OR conv_id % 47 = 13", "raw_anchor_mismatch": _TURNS + "conv_id % 37 <> 10 AND conv_id % 53 = 14",
+    "page_image_hash_mismatch": _LINE + "l_orderkey % 11 <> 3 AND l_linenumber = 1", "line_box_mismatch": _LINE + "l_orderkey % 11 <> 3 AND l_orderkey % 13 = 5", "glyph_box_mismatch": _LINE + "l_orderkey % 11 <> 3 AND (l_linenumber = 4 OR l_orderkey % 13 = 5 OR l_orderkey % 17 = 6)",
+    "anchor_out_of_page": _LINE + "l_orderkey % 11 <> 3 AND l_orderkey % 17 = 6", "anchor_field_missing": _LINE + "l_orderkey % 11 = 3", "glyph_text_misaligned": _LINE + "l_orderkey % 11 <> 3 AND l_linenumber = 2",
+    "evidence_level_insufficient": _ORD + "o_orderkey % 3 = 1 AND o_orderkey % 7 <> 0", "glyphbox_incomplete": _ORD + "o_orderkey % 3 = 2 AND o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0", "evidence_level_invalid": _ORD + "o_orderkey % 7 = 0",
+}
+
+
+@query(_expected(("G3",), _G3))
+def suite_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of evidence: turns are spans and quotes of conversations, line items references and glyphs, orders assertions."""
+    rest = lambda n, r, k="conv_id": F.col(k) % n == r
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    placed = spans.running_offsets(turns, "conv_id", "turn", "text").withColumn("i", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n")
+    pages = turns.groupBy("conv_id").agg(text.alias("text"), F.count(F.lit(1)).alias("n_lines")).where("conv_id % 13 <> 5").select(
+        F.col("conv_id").alias("page_id"), "text", "n_lines", F.concat(F.lit("r"), "conv_id").alias("revision"), F.lit("src").alias("source_id"), F.lit("img").alias("image_sha256"), F.lit(100).alias("width"), F.lit(100).alias("height")
+    )
+    twice = F.explode(F.sequence(F.lit(1), F.when(rest(11, 3), 2).otherwise(1)))
+    name = F.concat(F.when(rest(7, 1), "x").otherwise("p"), "conv_id", F.lit("_"), "turn")
+    parts = placed.select(
+        name.alias("span_id"), F.col("conv_id").alias("page_id"), F.when(rest(17, 4) & ~rest(7, 1), -1).otherwise(F.col("i") - 1).alias("line"), F.when(rest(19, 6), -1).otherwise(F.col("start_offset")).alias("start_offset"),
+        F.when(rest(23, 7), "other").otherwise("src").alias("source_id"), F.when(rest(29, 8), "odd").otherwise("final").alias("status"),
+    )
+    again = placed.select(name.alias("span_id"), "conv_id", twice.alias("copy")).where("copy = 2")
+    extra = again.select("span_id", F.col("conv_id").alias("page_id")).join(parts, ["span_id", "page_id"]).select(*parts.columns)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.monotonically_increasing_id().alias("id"))
+    refs = lines.select(F.col("id").alias("ref_id"), F.concat(F.when(rest(31, 0, "l_orderkey"), "none").otherwise("o"), "l_orderkey").alias("target_id"), F.when(F.col("l_linenumber") == 3, "page").otherwise("span").alias("kind"))
+    targets = lines.select("l_orderkey").distinct().select(F.concat(F.lit("o"), "l_orderkey").alias("target_id"), F.lit("span").alias("kind"), (F.col("l_orderkey") % 37 != 0).alias("consumable"))
+    said = F.when(rest(37, 10), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    quotes = placed.select(
+        name.alias("quote_id"), F.col("conv_id").alias("page_id"), F.when(rest(31, 9), -1).otherwise(F.col("start_offset")).cast("int").alias("start"), F.col("end_offset").cast("int").alias("stop"), said.alias("quote"),
+        F.when(rest(43, 12), None).when(rest(41, 11), "0").otherwise(F.sha2(said, 256)).alias("quote_sha256"), F.concat(F.when(rest(47, 13), "old").otherwise("r"), "conv_id").alias("revision"), F.when(rest(53, 14), "raw").when(rest(37, 10), None).otherwise(F.col("text")).alias("raw_text"),
+    )
+    page = turns.select(F.min("conv_id").alias("page_id"))
+    flat = rest(13, 5, "l_orderkey")
+    far = F.when(rest(17, 6, "l_orderkey"), 200).otherwise(0)
+    glyph_lines = lines.crossJoin(F.broadcast(page)).select(F.col("id").alias("line_id"), "page_id", F.lit("ab").alias("text"), F.lit(10).alias("x0"), F.lit(10).alias("y0"), F.when(flat, 10).otherwise(50).alias("x1"), F.lit(50).alias("y1"))  # one row
+    glyphs = lines.select(
+        F.col("id").alias("glyph_id"), F.col("id").alias("line_id"), F.when(F.col("l_linenumber") == 2, "b").otherwise("a").alias("char"), F.lit(0).alias("place"), (20 + far).alias("x0"), F.when(rest(11, 3, "l_orderkey"), None).otherwise(20).alias("y0"),
+        (F.when(F.col("l_linenumber") == 4, 15).otherwise(30) + far).alias("x1"), F.lit(30).alias("y1"), F.when(F.col("l_linenumber") == 1, "other").otherwise("img").alias("page_image_sha256"),
+    )
+    level = F.when(rest(7, 0, "o_orderkey"), "hearsay").otherwise(F.element_at(F.array(F.lit("line"), F.lit("offset"), F.lit("glyph")), (F.col("o_orderkey") % 3 + 1).cast("int")))
+    assertions = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("assertion_id"), level.alias("level"), F.lit(3).alias("n_glyphs"), F.when(rest(5, 0, "o_orderkey"), 2).otherwise(3).alias("n_boxes"))
+    return suites.suite_report(suites.evidence_suite(parts.unionByName(extra), pages, refs, targets, quotes, glyphs, glyph_lines, assertions, r"^p([0-9]+)_[0-9]+$", "line"), gates=("G3",))
