@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, cover, spans, suites
+from lectern.operators import cleaning, cover, objects, spans, suites
 from lectern.plans.catalog import query, table
 
 # Cover: goods under way of a supplier, by day, against some days behind each shipment.
@@ -193,3 +195,106 @@ def suite_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = F.when(rest(7, 0, "o_orderkey"), "hearsay").otherwise(F.element_at(F.array(F.lit("line"), F.lit("offset"), F.lit("glyph")), (F.col("o_orderkey") % 3 + 1).cast("int")))
     assertions = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("assertion_id"), level.alias("level"), F.lit(3).alias("n_glyphs"), F.when(rest(5, 0, "o_orderkey"), 2).otherwise(3).alias("n_boxes"))
     return suites.suite_report(suites.evidence_suite(parts.unionByName(extra), pages, refs, targets, quotes, glyphs, glyph_lines, assertions, r"^p([0-9]+)_[0-9]+$", "line"), gates=("G3",))
+
+
+# Objects: orders and concepts kept as bytes.
+
+_BYTES = """'{"o_orderstatus": "' || o_orderstatus || '", "o_orderkey": ' || o_orderkey || '}'"""
+_CANONICAL = """'{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","revised":true}'"""
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A base whose bodies are spelled in a way that nothing rebuilds, what a round rebuilt, and what it affected and touched."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    body = F.concat(F.lit('{"o_orderstatus": "'), "o_orderstatus", F.lit('", "o_orderkey": '), "o_orderkey", F.lit("}"))
+    base = orders.where("o_orderkey % 5 <> 0").select(F.lit("orders").alias("collection"), F.col("o_orderkey").cast("string").alias("object_id"), body.alias("body")).withColumn("sha256", F.sha2("body", 256))
+    rebuilt = objects.as_objects(orders.where("o_orderkey % 7 <> 0").withColumn("revised", F.lit(True)), "orders", "o_orderkey")
+    every = lambda n: orders.where(f"o_orderkey % {n} = 0").select(F.col("o_orderkey").cast("string").alias("object_id"))
+    return base, rebuilt, every(3), every(2)
+
+
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS object_id, CASE WHEN o_orderkey % 5 = 0 THEN 'new' WHEN o_orderkey % 6 = 0 THEN 'built' ELSE 'base' END AS origin,
+       sha256(CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 6 = 0 THEN {_CANONICAL} ELSE {_BYTES} END) AS sha256
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 6 <> 0 OR o_orderkey % 7 <> 0""")
+def restored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot's next version: bytes of what wasn't both affected and touched are those of the base."""
+    return objects.restored_objects(*_snapshot(spark, sf_dir)).select("object_id", "origin", F.sha2("body", 256).alias("sha256"))
+
+
+@query("SELECT 'untouched' AS \"check\", 'orders/' || o_orderkey AS subject, CASE WHEN o_orderkey % 11 = 0 THEN 'gone' ELSE 'differs' END AS detail FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AND (o_orderkey % 11 = 0 OR o_orderkey % 13 = 0) UNION ALL SELECT 'hash', 'orders/' || o_orderkey, 'x' FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 17 = 0")
+def altered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshot carried on with objects left out, respelled, and given another hash."""
+    base, _, affected, _ = _snapshot(spark, sf_dir)
+    every = lambda n: F.col("object_id").cast("long") % n == 0
+    result = base.where(~every(11)).withColumn("body", F.when(every(13), F.replace("body", F.lit(" "), F.lit(""))).otherwise(F.col("body")))
+    result = result.withColumn("sha256", F.when(every(17), "x").otherwise(F.sha2("body", 256)))
+    return objects.altered_objects(base, result, affected)
+
+
+_LIST = """CASE WHEN len({0}) = 0 THEN '[]' ELSE '["' || array_to_string({0}, '","') || '"]' END"""
+
+
+@query(f"""WITH m AS (SELECT DISTINCT 's' || l_linenumber AS source, 'co_x_' || (l_partkey % 500) AS ref, l_returnflag || '-' || (l_suppkey % 7) AS surface FROM lineitem),
+per AS (SELECT source, ref, list_sort(list(surface)) AS ss FROM m GROUP BY source, ref),
+own AS (SELECT source, ref, ss[1] AS head, ss[2:] AS rest FROM per),
+entry AS (SELECT ref, source, '{{"content_sha256":"' || sha256('{{"aliases":' || {_LIST.format('rest')} || ',"name":"' || head || '"}}') || '","content_status":"machine_extracted","source_id":"' || source || '"}}' AS e FROM own),
+said AS (SELECT ref, string_agg(e, ',' ORDER BY source) AS provenance FROM entry GROUP BY ref),
+named AS (SELECT ref, arg_min(head, source) AS name FROM own GROUP BY ref),
+others AS (SELECT ref, list_sort(list(DISTINCT a)) AS aliases FROM (SELECT ref, unnest(rest) AS a FROM own UNION ALL SELECT own.ref, head FROM own JOIN named ON named.ref = own.ref WHERE head <> name) GROUP BY ref),
+built AS (SELECT n.ref, n.name, coalesce(a.aliases, []) AS aliases, s.provenance FROM named n JOIN said s ON s.ref = n.ref LEFT JOIN others a ON a.ref = n.ref)
+SELECT ref AS object_id, sha256('{{"aliases":' || {_LIST.format('aliases')} || ',"concept_id":"' || ref || '","name":"' || name || '","provenance":[' || provenance || ']}}') AS sha256, true AS equal FROM built""")
+def genesis_equals_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concepts built from nothing, and in two rounds, are the same bytes."""
+    mentions = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), "l_linenumber").alias("source_id"), F.concat(F.lit("co_x_"), F.col("l_partkey") % 500).alias("concept_ref"), F.concat_ws("-", "l_returnflag", F.col("l_suppkey") % 7).alias("surface"), F.lit(None).cast("string").alias("content_status")
+    )
+    empty = spark.createDataFrame([], f"concept_id string, name string, aliases array<string>, provenance {objects.PROVENANCE}")
+    whole = objects.built_concepts(empty, mentions, "x")[0]
+    early = objects.built_concepts(empty, mentions.where("source_id <= 's3'"), "x")[0]
+    grown = objects.built_concepts(early, mentions.where("source_id > 's3'"), "x")[0]
+    one, two = objects.as_objects(whole, "concepts", "concept_id"), objects.as_objects(grown, "concepts", "concept_id")
+    return one.select("object_id", "sha256").join(two.select("object_id", F.col("sha256").alias("_grown")), "object_id", "full").select("object_id", "sha256", F.col("sha256").eqNullSafe(F.col("_grown")).alias("equal"))
+
+
+@query("""WITH asked AS (SELECT c_nationkey AS g, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),
+used AS (SELECT DISTINCT s_nationkey AS g, s_suppkey % 97 AS n FROM supplier),
+every AS (SELECT g, unnest(range(1, m + 100)) AS n FROM (SELECT g, max(r) AS m FROM asked GROUP BY g)),
+free AS (SELECT e.g, e.n, row_number() OVER (PARTITION BY e.g ORDER BY e.n) AS r FROM every e LEFT JOIN used u ON u.g = e.g AND u.n = e.n WHERE u.n IS NULL)
+SELECT a.c_custkey, CAST(f.n AS BIGINT) AS number FROM asked a JOIN free f ON f.g = a.g AND f.r = a.r""")
+def free_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers numbered within their nation, around the numbers that its suppliers hold."""
+    asked = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("g"), "c_custkey")
+    used = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("g"), (F.col("s_suppkey") % 97).alias("number"))
+    return objects.free_numbers(asked, used, "g", ["c_custkey"], 1).select("c_custkey", "number")
+
+
+@query("SELECT l_orderkey || '/' || l_linenumber AS proposal_key, l_orderkey % 2 = 0 AND l_orderkey % 3 = 0 AND l_linenumber < 3 OR l_orderkey % 2 = 1 AND l_orderkey % 5 = 0 AND l_linenumber = 1 AS dropped FROM lineitem GROUP BY l_orderkey, l_linenumber")
+def dropped_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposals about orders: even ones have provenance, which every third still says; odd ones are declared, every fifth still."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("object_id"), F.col("o_orderkey").alias("k"), F.lit("s").alias("source_id"))
+    provenance = o.where("k % 2 = 0").select("object_id", "source_id", F.lit("h").alias("content_sha256"))
+    now = o.select("object_id", "source_id", F.when(F.col("k") % 3 == 0, "h").otherwise("other").alias("content_sha256"))
+    modes = o.limit(1).select("source_id", F.lit("replacement").alias("mode"))
+    head = F.element_at(F.array(F.lit("pattern"), F.lit("concept"), F.lit("collation")), F.least(F.col("l_linenumber"), F.lit(3)).cast("int"))
+    proposals = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct().select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("proposal_key"), head.alias("head"), F.col("l_orderkey").cast("string").alias("object_id"), F.when((F.col("l_orderkey") % 2 == 1) & (F.col("l_linenumber") == 2), "admit").otherwise("merge").alias("kind"))
+    return objects.dropped_proposals(proposals, objects.inherited(provenance, now, modes), o.where("k % 2 = 1 AND k % 5 = 0").select("object_id")).select("proposal_key", "dropped")
+
+
+@query("""WITH p AS (SELECT o_orderkey, o_orderkey % 3 AS d FROM orders), r AS (SELECT unnest(range(1, 11)) AS round), n AS (SELECT count(*) AS n, count(*) FILTER (d >= 1) AS one, count(*) FILTER (d >= 2) AS two FROM p)
+SELECT 'settles' AS process, CAST(round AS INTEGER) AS round, CASE round WHEN 1 THEN n WHEN 2 THEN n + 1 ELSE n + 2 END AS n, CASE round WHEN 1 THEN one WHEN 2 THEN two ELSE 0 END AS pending, CASE round WHEN 1 THEN one WHEN 2 THEN two ELSE 0 END AS ready, CASE WHEN round = 3 THEN 'converged' END AS status FROM n, r WHERE round <= 3
+UNION ALL SELECT 'grows', CAST(round AS INTEGER), n + round, n + round, n + round, CASE WHEN round = 10 THEN 'too_many' END FROM n, r
+UNION ALL SELECT 'stands', CAST(round AS INTEGER), n, n, n, CASE WHEN round = 2 THEN 'unchanged' END FROM n, r WHERE round <= 2
+UNION ALL SELECT 'asks', 1, n, one, 0, 'awaiting_human' FROM n""")
+def proposal_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of proposals about all orders: one that settles in three rounds, one that grows until it is refused, one that repeats itself, and one that needs a person."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("proposal_key"), (F.col("o_orderkey") % 3).alias("d"))
+    decided = orders.limit(0).select("proposal_key")
+    none = F.array().cast("array<string>")
+    plain = orders.withColumn("depends_on", none)
+    extra = lambda n: spark.range(n).select(F.concat(F.lit("extra"), "id").alias("proposal_key"), F.lit("blocked").alias("resolution"), none.alias("depends_on"))
+    blocked = plain.select("proposal_key", F.lit("blocked").alias("resolution"), "depends_on")
+    settles = lambda r: plain.select("proposal_key", F.when(F.col("d") >= r, "blocked").otherwise("auto").alias("resolution"), "depends_on").unionByName(extra(r - 1).withColumn("resolution", F.lit("auto")))
+    asks = lambda r: plain.select("proposal_key", F.when(F.col("d") >= 1, "blocked").otherwise("auto").alias("resolution"), F.array(F.lit("open")).alias("depends_on"))
+    runs = {"settles": settles, "grows": lambda r: blocked.unionByName(extra(r)), "stands": lambda r: blocked, "asks": asks}
+    logs = [objects.rounds_frame(spark, name, objects.proposal_rounds(run, decided)) for name, run in runs.items()]
+    return reduce(DataFrame.unionByName, logs)

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import cover, intervals, suites
+from lectern.operators import cover, intervals, objects, suites
 from lectern.plans import catalog, catalog_gates  # noqa: F401
 
 
@@ -81,3 +81,84 @@ def test_every_check_fails_somewhere(spark, name):
     got = catalog.QUERIES[name](spark, "/root/testdata/sf0.01").collect()
     assert all(r.n > 0 for r in got) and {r.state for r in got} <= {"failed", "told"}
     assert len(got) == sum(len(v.checks) for v in suites.VALIDATORS if v.gate == got[0].gate)
+
+
+# Objects.
+
+
+def concepts_by_force(base, mentions, technique):
+    """Concepts one source after another, as a plain loop."""
+    import unicodedata
+
+    known = {c: [n, list(a or []), [p[0] for p in prov or []]] for c, n, a, prov in base}
+    refused = set()
+    for source in sorted({m[0] for m in mentions}):
+        for ref in sorted({m[1] for m in mentions if m[0] == source and m[1]}):
+            surfaces = sorted({unicodedata.normalize("NFC", m[2]).strip() for m in mentions if m[0] == source and m[1] == ref and m[2] and m[2].strip()})
+            if not surfaces:
+                continue
+            if not ref.startswith("co_"):
+                refused.add((source, ref, "family"))
+            elif ref.split("_")[1] != technique:
+                refused.add((source, ref, "technique"))
+            elif ref not in known:
+                known[ref] = [surfaces[0], surfaces[1:], [source]]
+            else:
+                name, aliases, told = known[ref]
+                if source in told and not {name, *aliases} & set(surfaces):
+                    refused.add((source, ref, "collision"))
+                    continue
+                known[ref][1] = sorted(set(aliases) | set(surfaces[1:]) | ({surfaces[0]} - {name}))
+                told += [source] if source not in told else []
+    return sorted((c, n, a, p) for c, (n, a, p) in known.items()), refused
+
+
+def test_concepts_equal_a_loop(spark):
+    r = random.Random(11)
+    base = [("co_x_1", "a", ["b"], [("s1", "h", "machine_extracted")]), ("co_x_2", "é", None, None), ("co_x_9", "z", ["y", "x"], [("s0", "h", "m")])]
+    mentions = [(f"s{r.randrange(4)}", r.choice(["co_x_1", "co_x_2", "co_x_3", "co_x_4", "co_y_1", "pat_x_1", None]), r.choice(["a", "b", "c", "é", "é", " d ", "", None])) for _ in range(60)]
+    frame = spark.createDataFrame([(*m, None) for m in mentions], "source_id string, concept_ref string, surface string, content_status string")
+    got, refused, touched = objects.built_concepts(spark.createDataFrame(base, f"concept_id string, name string, aliases array<string>, provenance {objects.PROVENANCE}"), frame, "x")
+    want, no = concepts_by_force(base, mentions, "x")
+    assert sorted((c.concept_id, c.name, list(c.aliases or []), [p.source_id for p in c.provenance]) for c in got.collect()) == want
+    assert {tuple(x) for x in refused.collect()} == no
+    assert {x.object_id for x in touched.collect()} <= {"co_x_1", "co_x_2"}
+    assert objects.built_concepts(spark.createDataFrame([], f"concept_id string, name string, aliases array<string>, provenance {objects.PROVENANCE}"), frame.limit(0), "x")[0].count() == 0
+
+
+def test_patterns_are_attached_numbered_and_refused(spark):
+    base = spark.createDataFrame([("pat_x_000001", ["a1"], [("s1", "h", "m")]), ("pat_x_000003", None, None)], f"pattern_id string, assertion_ids array<string>, provenance {objects.PROVENANCE}")
+    rows_ = [
+        ("s2", None, "pat_x_000001", True, ["a2", "a1"], "t", None, None), ("s1", None, "pat_x_000001", True, ["a3"], "u", None, None), ("s2", None, "pat_x_000003", True, ["a4"], "v", None, "admit_new"),
+        ("s2", None, "pat_x_000007", True, ["a5"], "w", None, "admit_new"), ("s2", None, "pat_x_000009", True, ["a6"], "w", None, None), ("s2", "k2", None, True, ["b2"], "w", None, None), ("s1", "k9", None, True, ["b1"], "w", None, None),
+        ("s2", "k1", None, True, ["b3"], "w", None, None), ("s2", "k0", None, False, ["b4"], "w", None, None), ("s2", "k3", None, None, ["b5"], "w", None, None), ("s3", "k3", None, True, ["b6"], "w", None, None),
+    ]
+    candidates = spark.createDataFrame(rows_, "source_id string, candidate_key string, pattern_id string, approved boolean, assertion_ids array<string>, content string, content_status string, choice string")
+    got, refused, new, touched = objects.built_patterns(base, candidates, spark.createDataFrame([("pat_x_000009",), ("pat_x_000005",)], "pattern_id string"), "x", 2)
+    assert rows(new, "pattern_id") == [("s1", "k9", "pat_x_000004"), ("s2", "k1", "pat_x_000006"), ("s2", "k2", "pat_x_000008"), ("s3", "k3", "pat_x_000010")]
+    assert {(p.pattern_id, tuple(p.assertion_ids or ()), tuple(e.source_id for e in p.provenance)) for p in got.collect()} == {
+        ("pat_x_000001", ("a1", "a2", "a3"), ("s1", "s2")), ("pat_x_000003", (), ()), ("pat_x_000004", ("b1",), ("s1",)), ("pat_x_000006", ("b3",), ("s2",)), ("pat_x_000007", ("a5",), ("s2",)), ("pat_x_000008", ("b2",), ("s2",)), ("pat_x_000010", ("b6",), ("s3",)),
+    }
+    assert rows(refused, "pattern_id") == [("s2", "pat_x_000003", "occupied"), ("s2", "pat_x_000009", "retired")] and rows(touched) == [("pat_x_000001",)]
+
+
+def test_free_numbers_skip_used_ones(spark):
+    r = random.Random(3)
+    used = [(g, n) for g in "ab" for n in r.sample(range(-3, 40), 20)] + [("c", 1)]
+    asked = spark.createDataFrame([(g, i) for g in "abd" for i in range(30)], "g string, i int")
+    got = objects.free_numbers(asked, spark.createDataFrame(used, "g string, number long"), "g", ["i"], 2).collect()
+    for g in "abd":
+        free = [n for n in range(2, 100) if (g, n) not in used]
+        assert [x.number for x in sorted((x for x in got if x.g == g), key=lambda x: x.i)] == free[:30]
+
+
+def test_rounds_wait_for_people_and_dependencies(spark):
+    schema = "proposal_key string, resolution string, depends_on array<string>"
+    frame = lambda *xs: spark.createDataFrame(list(xs), schema)
+    done = spark.createDataFrame([("d",)], "proposal_key string")
+    assert objects.proposal_rounds(lambda r: frame(("a", "auto", None), ("d", "human", [])), done).status == "converged"
+    assert objects.proposal_rounds(lambda r: frame(("a", "human", []), ("b", "blocked", ["d"])), done).status == "awaiting_human"
+    assert objects.proposal_rounds(lambda r: frame(("b", "blocked", ["x", "d"])), done).status == "awaiting_human"
+    ended = objects.proposal_rounds(lambda r: frame(("b", "blocked", ["d"])), done)
+    assert (ended.status, ended.log) == ("unchanged", [(1, 1, 1, 1), (2, 1, 1, 1)])
+    assert objects.proposal_rounds(lambda r: frame((f"b{r}", "blocked", ["d"])), done, 4).log[-1] == (4, 1, 1, 1)
