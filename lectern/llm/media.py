@@ -151,6 +151,10 @@ def npy(tile: np.ndarray) -> bytes:
     return out.getvalue()
 
 
+#: What decoding raises on pictures that aren't whole, or hold samples out of their range.
+BROKEN = (ValueError, IndexError, OverflowError, struct.error)
+
+
 def media_tiles(df: DataFrame, media_col: str = "media") -> DataFrame:
     """Adds width, height, the tile as NPY bytes and the difference hash of each picture.
 
@@ -169,7 +173,7 @@ def media_tiles(df: DataFrame, media_col: str = "media") -> DataFrame:
             picture = decode(data)
             if not picture.size:
                 raise ValueError("no pixels")
-        except (ValueError, IndexError, struct.error) as e:
+        except BROKEN as e:
             return None, None, None, None, str(e)
         tile = np.rint(area_resize(picture, *TILE)).astype(np.uint16 if picture.dtype.itemsize > 1 else np.uint8)
         return picture.shape[1], picture.shape[0], npy(tile), difference_hash(tile), None
@@ -187,9 +191,10 @@ def media_tiles(df: DataFrame, media_col: str = "media") -> DataFrame:
 def text_media(df: DataFrame, text_col: str = "text", form: str = "pgm") -> DataFrame:
     """Adds ``n_bytes`` and ``media``: each whole text as UTF-8, zero-padded to a positive multiple of 64, as the samples of a grey picture.
 
-    The picture is 64 samples wide; ``form`` is ``pgm`` or ``bmp``. Null counts as empty. The text column is dropped.
+    The picture is 64 samples wide; ``form`` is ``pgm`` or ``bmp``, or ``dealt``: either, by the payload's CRC-32, so that equal texts have equal pictures.
+    Null counts as empty. The text column is dropped.
     """
-    encode = {"pgm": encode_pgm, "bmp": encode_bmp}[form]
+    encode = {"pgm": encode_pgm, "bmp": encode_bmp, "dealt": lambda samples: (encode_bmp if zlib.crc32(samples.tobytes()) & 1 else encode_pgm)(samples)}[form]
     bound_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in (text_col, "n_bytes", "media")]
     schema = StructType([*kept, StructField("n_bytes", LongType()), StructField("media", BinaryType())])
@@ -210,20 +215,31 @@ def text_media(df: DataFrame, text_col: str = "text", form: str = "pgm") -> Data
 
 
 def payload_digests(df: DataFrame, media_col: str = "media") -> DataFrame:
-    """Reads the samples back from each stored picture and adds the payload's length, SHA-256 and the CRC-32 of its last 64 bytes, and the stored form's length and SHA-256."""
+    """Reads the samples back from each stored picture and adds the payload's length, SHA-256 and the CRC-32 of its last 64 bytes, and the stored form's length and SHA-256.
+
+    A null picture has null in all of them; one that can't be decoded keeps the stored form's, and has null for the payload.
+    """
     new = [StructField("payload_bytes", LongType()), StructField("payload_sha256", StringType()), StructField("tail_crc32", LongType()), StructField("media_bytes", LongType()), StructField("media_sha256", StringType())]
     df = df.drop(*(f.name for f in new))
     kept = [f for f in df.schema.fields if f.name != media_col]
     schema = StructType([*kept, *new])
 
+    def digests(data: bytes | None) -> tuple:
+        if data is None:
+            return (None,) * 5
+        stored = len(data), hashlib.sha256(data).hexdigest()
+        try:
+            payload = decode(data).tobytes()
+        except BROKEN:
+            return None, None, None, *stored
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *stored
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, media_col):
                 found = []
                 for x in batch.column(media_col):
-                    data = x.as_py()
-                    payload = decode(data).tobytes()
-                    found.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest()))
+                    found.append(digests(x.as_py()))
                 columns = [batch.column(f.name) for f in kept]
                 new_columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))]
                 yield pa.RecordBatch.from_arrays([*columns, *new_columns], names=schema.names)
@@ -232,5 +248,6 @@ def payload_digests(df: DataFrame, media_col: str = "media") -> DataFrame:
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = text_media(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return payload_digests(media_tiles(stored)).selectExpr("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "dhash AS feature")
+    """Texts stored as grey pictures of both forms; the feature is the difference hash of their NPY tiles, which are returned with it."""
+    stored = text_media(read_table(spark, sf_dir, "documents").select("doc_id", "text"), form="dealt")
+    return payload_digests(media_tiles(stored)).selectExpr("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "dhash AS feature", "tile_npy")

@@ -16,11 +16,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from lectern.llm.bpe import slices
 from lectern.llm.common import TOKEN_BYTES, bound_batches, checkpoint, read_table, tidy
@@ -51,6 +52,11 @@ FEATURES = ("exact", "one_edit", "two_edits", "stem", "abuse", "density", "quote
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 
+def folded_words(text: str) -> list[str]:
+    """A text's words without regard to case: the one way in which words are learnt, looked up and compared."""
+    return _WORD.findall(text.casefold())
+
+
 def allowed_edits(term: str) -> int:
     """0 for terms below 5 letters, 1 below 9, else 2."""
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
@@ -297,6 +303,12 @@ def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROW
     return texts.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).join(later, "text_key", "left_anti").select("text", "label")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _learnt_words(text: pd.Series) -> pd.Series:
+    """The words of training texts, cut and folded as those that are looked up."""
+    return text.map(lambda t: folded_words(t or ""))
+
+
 def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     """Words and stems that occur in toxic rows far more often than chance and rarely in others.
 
@@ -304,7 +316,7 @@ def learn_lexicon(train: DataFrame) -> tuple[list[str], list[str]]:
     A candidate's surprise is its number of rows times the divergence of its toxic share from the overall one; it must exceed the log of
     ``CANDIDATES``, so that chance finds are unlikely. What reaches the driver is the lexicon itself.
     """
-    rows = train.select("label", F.expr(r"filter(regexp_extract_all(lower(text), '[\\p{L}]+', 0), w -> w IS NOT NULL)").alias("words"))
+    rows = train.select("label", _learnt_words("text").alias("words"))
     total = train.agg(F.count(F.lit(1)), F.sum("label")).first()
     n, toxic = total[0], total[1] or 0
     if not 0 < toxic < n:
@@ -336,7 +348,7 @@ def with_features(df: DataFrame, words: Iterable[str], stems: Iterable[str], tex
     """Adds the features of each whole text as an array of doubles; null counts as empty."""
     bound_batches(df.sparkSession)
     df = df.drop(features_col)
-    shared = df.sparkSession.sparkContext.broadcast((list(words), list(stems)))
+    shared = df.sparkSession.sparkContext.broadcast(([w.casefold() for w in words], [s.casefold() for s in stems]))
     schema = StructType([*df.schema.fields, StructField(features_col, ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
