@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, cover, objects, spans, suites
+from lectern.operators import cleaning, closure, cover, objects, spans, suites
 from lectern.plans.catalog import query, table
 
 # Cover: goods under way of a supplier, by day, against some days behind each shipment.
@@ -298,3 +298,50 @@ def proposal_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = {"settles": settles, "grows": lambda r: blocked.unionByName(extra(r)), "stands": lambda r: blocked, "asks": asks}
     logs = [objects.rounds_frame(spark, name, objects.proposal_rounds(run, decided)) for name, run in runs.items()]
     return reduce(DataFrame.unionByName, logs)
+
+
+# Closure: orders are entities; each residue of 24 is what one rule reaches. Orders of a customer are a group or a chain.
+
+
+@query("""WITH e AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 24 AS m FROM orders),
+s AS (SELECT k, CASE WHEN m IN (0, 1) THEN 0 WHEN m IN (2, 3) THEN 1 WHEN m = 4 THEN 2 WHEN m IN (5, 6) THEN 3 WHEN m IN (7, 8, 9) THEN 4 WHEN m IN (10, 11) THEN 5 WHEN m = 12 THEN 6 WHEN m = 13 THEN 7 WHEN m = 14 THEN 8 WHEN m IN (15, 16) THEN 9 END AS r, c FROM e),
+g AS (SELECT c, min(r) AS r FROM s WHERE c % 50 = 0 GROUP BY c),
+n AS (SELECT s.k, s.r AS own, g.r AS got FROM s LEFT JOIN g ON g.c = s.c)
+SELECT 'e' || k AS entity_id, coalesce(own, got) IS NOT NULL AS affected, ['target', 'candidate', 'collation', 'provenance_lost', 'conflict_group', 'decision', 'absent_unit', 'view_assertion', 'withdrawn_unit', 'changed_provenance'][coalesce(own, got) + 1] AS rule,
+       CASE WHEN own IS NOT NULL THEN 0 WHEN got IS NOT NULL THEN 1 END AS depth, CASE WHEN own IS NULL AND got IS NOT NULL THEN 'group' END AS via FROM n""")
+def affected_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rule alone seeds entities of its own; groups carry their members along."""
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("e"), "o_orderkey").alias("e"), F.col("o_orderkey").alias("k"), "o_custkey", (F.col("o_orderkey") % 24).alias("m"))
+    of = lambda *m: o.where(F.col("m").isin(*m))
+    none, texts = F.lit(None).cast("string"), F.array().cast("array<string>")
+    key = lambda p: F.concat(F.lit(p), "k")
+    entities = o.select(F.col("e").alias("entity_id"))
+    # The assertions of residues 4, 6 and 12 to 14 are only met by their keys.
+    aim = F.when(F.col("m") == 6, F.concat(F.lit("c"), F.col("k") - 1)).otherwise(key("c"))
+    assertions = of(4, 5, 6, 12, 13, 14).select(F.col("e").alias("entity_id"), F.lit("s").alias("source_id"), F.lit("w").alias("work"), aim.alias("collation_key"))
+    p = lambda df, head, subject=none, targets=texts, options=texts, rule=none: df.select(key(head[:2]).alias("proposal_key"), rule.alias("rule_id"), F.lit(head).alias("head"), F.lit("s").alias("source_id"), F.lit("w").alias("work"), subject.alias("subject"), targets.alias("targets"), options.alias("options"))
+    proposals = reduce(DataFrame.unionByName, [
+        p(of(0), "other", targets=F.array("e")), p(of(1), "pattern", F.lit("unknown"), options=F.array(F.concat(F.lit("attach:"), "e"), F.lit("admit"))), p(of(2), "concept", F.col("e")), p(of(3), "pattern", key("cand")),
+        p(of(4), "collation", key("c")), p(of(5), "provenance_lost", F.col("e")), p(of(7), "conflict_group", F.col("e")), p(of(11), "decided", rule=F.lit("R06")),
+    ])
+    candidates = of(3).select(F.lit("s").alias("source_id"), key("cand").alias("candidate_id"), F.col("e").alias("concept_ref"), none.alias("content_sha256")).unionByName(of(16).select(F.lit("s"), F.col("e"), none, F.lit("new")).toDF("source_id", "candidate_id", "concept_ref", "content_sha256"))
+    # View 8 is a member that speaks about entity 7; view 9 is no member, but of the same subject and school.
+    views = of(8).select(F.col("e").alias("view_id"), F.concat(F.lit("e"), F.col("k") - 1).alias("subject"), F.lit("x").alias("school")).unionByName(of(9).select(F.col("e").alias("view_id"), F.concat(F.lit("e"), F.col("k") - 2).alias("subject"), F.lit("x").alias("school")))
+    groups = of(8).select(key("g").alias("group_id"), F.col("e").alias("member")).unionByName(of(11).select(key("g").alias("group_id"), F.col("e").alias("member")))
+    decisions = of(10).select(F.lit("x").alias("proposal_key"), F.array("e").alias("targets")).unionByName(of(11).select(key("de").alias("proposal_key"), F.array(key("g")).alias("targets")))
+    unit = lambda m, present: of(m).select(F.lit("s").alias("source_id"), F.lit("w").alias("work"), key("c").alias("collation_key"), F.lit(present).alias("present"))
+    provenance = of(15, 16).select(F.col("e").alias("object_id"), F.lit("s").alias("source_id"), F.lit("old").alias("content_sha256"))
+    modes = o.limit(1).select(F.lit("s").alias("source_id"), F.lit("replacement").alias("mode"))
+    seeds = closure.contact_seeds(entities, proposals, candidates, assertions, groups, views, decisions, unit(12, False).unionByName(unit(17, True)), unit(13, True).drop("present"), unit(14, True).drop("present"), provenance, modes)
+    tied = o.where("o_custkey % 50 = 0").select(F.concat(F.lit("c"), "o_custkey").alias("group_id"), F.col("e").alias("member"))
+    relations = o.select(F.col("e").alias("from_id"), F.lit("e1").alias("to_id"), F.lit("mentions").alias("kind"))
+    return closure.affected_entities(entities, seeds, relations, tied)
+
+
+@query("""WITH chain AS (SELECT 'o' || o_orderkey AS node, lag('o' || o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prev, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS depth FROM orders)
+SELECT node, CAST(depth AS INTEGER) AS depth, CASE WHEN depth = 0 THEN NULL ELSE 'edge' END AS via FROM chain""")
+def chained_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From each customer's first order along the chain of its orders: as many rounds as the longest chain."""
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("node"), F.lag(F.concat(F.lit("o"), "o_orderkey")).over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("prev"))
+    seeds = o.where("prev IS NULL").select("node", F.lit("target").alias("rule"))
+    return closure.traced_reach(seeds, o.select(F.col("prev").alias("src"), F.col("node").alias("dst"))).select("node", "depth", "via")
