@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, closure, cover, objects, spans, suites
+from lectern.operators import cleaning, closure, cover, objects, pages, spans, suites
 from lectern.plans.catalog import query, table
 
 # Cover: goods under way of a supplier, by day, against some days behind each shipment.
@@ -345,3 +345,81 @@ def chained_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("node"), F.lag(F.concat(F.lit("o"), "o_orderkey")).over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("prev"))
     seeds = o.where("prev IS NULL").select("node", F.lit("target").alias("rule"))
     return closure.traced_reach(seeds, o.select(F.col("prev").alias("src"), F.col("node").alias("dst"))).select("node", "depth", "via")
+
+
+# Pages: conversations as scanned pages of seven books, turns as lines, letters as glyphs.
+
+
+def _scans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    state = F.when(F.col("conv_id") % 11 == 3, "deferred").when(F.col("conv_id") % 13 == 5, "known_unrecognizable").when(F.col("conv_id") % 17 == 4, "odd").when(F.col("conv_id") % 3 == 0, "manually_transcribed")
+    pages_ = turns.select("conv_id").distinct().select(
+        F.concat(F.lit("book"), F.col("conv_id") % 7).alias("source_id"), F.concat(F.lit("w"), F.col("conv_id") % 7).alias("work"), F.lit("1").alias("edition"), F.col("conv_id").alias("page"), F.col("conv_id").alias("page_no"), state.alias("state"),
+        F.when(F.col("conv_id") % 19 != 6, "img").alias("image_sha256"),
+    )
+    lines = turns.where("conv_id % 13 <> 5 OR conv_id % 2 = 0").select(F.col("conv_id").alias("page"), F.col("turn").alias("line_id"), F.col("turn").alias("seq"), "text", pages.box(F.lit(0), F.col("turn") * 20, F.lit(1000000), F.lit(20)).alias("box"))
+    letters = lines.where("text <> ''").select("page", F.col("line_id").alias("parent"), F.posexplode(F.split("text", "")).alias("seq", "char"), "line_id")
+    glyphs = letters.select("page", F.concat_ws("_", "parent", "seq").alias("glyph_id"), "parent", "seq", "char", pages.box(F.col("seq") * 5, F.col("line_id") * 20 + 1, F.lit(5), F.lit(18)).alias("box"))
+    return pages_, lines, glyphs
+
+
+_SCANNED = """t AS (SELECT conv_id AS page, turn, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+fine AS (SELECT * FROM t WHERE page % 11 <> 3 AND page % 13 <> 5 AND page % 17 <> 4 AND page % 19 <> 6 AND n <= 99),
+firsts AS (SELECT page, coalesce(sum(b) OVER (PARTITION BY page % 7 ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM (SELECT page, (max(n) + 2) // 3 AS b FROM fine GROUP BY page))"""
+
+
+@query(f"""WITH {_SCANNED}
+SELECT 'ss_w' || (f.page % 7) || '_ed1_p' || printf('%04d', f.page) || '_s' || printf('%02d', f.i + 1) AS span_id, 'w' || (f.page % 7) || '_b' || printf('%03d', CAST(firsts.first + f.i // 3 + 1 AS BIGINT)) AS batch_id,
+       CAST(sum(length(text) + 1) OVER w - length(text) - 1 AS INTEGER) AS start_offset, CAST(sum(length(text) + 1) OVER w - 1 AS INTEGER) AS end_offset, sha256(text) AS glyphs_sha256
+FROM fine f JOIN firsts ON firsts.page = f.page WINDOW w AS (PARTITION BY f.page ORDER BY f.i)""")
+def structural_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of pages as spans, in batches of three that are numbered through a book, spelled by their glyphs."""
+    found, _ = pages.structural_spans(*_scans(spark, sf_dir), batch_lines=3)
+    return found.select("span_id", "batch_id", "start_offset", "end_offset", F.sha2(F.array_join(F.transform("anchor.chars", lambda c: c["char"]), ""), 256).alias("glyphs_sha256"))
+
+
+@query("SELECT conv_id AS page, CASE WHEN conv_id % 11 = 3 THEN 'deferred' WHEN conv_id % 13 = 5 THEN 'unrecognizable_with_lines' WHEN conv_id % 17 = 4 THEN 'unknown_state' WHEN conv_id % 19 = 6 THEN 'no_image' ELSE 'too_many_lines' END AS refusal FROM conversations GROUP BY conv_id HAVING conv_id % 11 = 3 OR conv_id % 13 = 5 AND conv_id % 2 = 0 OR conv_id % 13 <> 5 AND (conv_id % 17 = 4 OR conv_id % 19 = 6 OR count(*) > 99)")
+def refused_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.structural_spans(*_scans(spark, sf_dir))[1].select("page", "refusal")
+
+
+_GOOD = f"WITH {_SCANNED} SELECT count(*) AS n FROM fine WHERE "
+
+
+@query(f"""SELECT "check", CAST(n AS BIGINT) AS n FROM (
+SELECT 'page_accounting' AS "check", (WITH {_SCANNED} SELECT count(DISTINCT page) FROM t WHERE page % 13 <> 5 AND page NOT IN (SELECT page FROM fine) OR page % 13 = 5 AND page % 11 = 3 AND false) AS n
+UNION ALL SELECT 'concat_equals_block', (WITH {_SCANNED} SELECT count(DISTINCT page) FROM fine WHERE page % 23 = 7 OR page % 31 = 9 AND n > 1)
+UNION ALL SELECT 'contiguous_coverage', ({_GOOD} page % 31 = 9 AND n > 1 AND (i = 1))
+UNION ALL SELECT 'strict_offset', ({_GOOD} page % 23 = 7 AND (page % 31 <> 9 OR i > 0 OR n = 1))
+UNION ALL SELECT 'glyphbox_anchors', ({_GOOD} (page % 23 = 7 OR page % 29 = 8 AND length(text) > 0) AND (page % 31 <> 9 OR i > 0 OR n = 1))
+UNION ALL SELECT 'span_identity', (WITH {_SCANNED} SELECT count(DISTINCT page) FROM fine WHERE page % 37 = 10 AND n > 1)
+UNION ALL SELECT 'batch_rules', (WITH {_SCANNED} SELECT count(DISTINCT (page % 7)) FROM fine WHERE page % 41 = 11)
+UNION ALL SELECT 'header_counts', (WITH {_SCANNED} SELECT count(DISTINCT page % 7) FROM fine WHERE page % 7 < 3)) WHERE n > 0""")
+def structural_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over structural spans of which some were tampered with: texts, anchors, ids, batches, a page's first line left out, and counts."""
+    pages_, lines, glyphs = _scans(spark, sf_dir)
+    found, _ = pages.structural_spans(pages_, lines, glyphs, batch_lines=3)
+    rest = lambda n, r: F.col("page") % n == r
+    several = F.count(F.lit(1)).over(Window.partitionBy("page")) > 1
+    found = found.withColumn("several", several).where(~(rest(31, 9) & F.col("several") & (F.col("line_index") == 0)))
+    found = found.withColumn("text", F.when(rest(23, 7), F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    moved = F.transform("anchor.chars", lambda c: c.withField("glyph_box", c["glyph_box"].withField("y", F.lit(-5.0))))
+    found = found.withColumn("anchor", F.when(rest(29, 8), F.col("anchor").withField("chars", moved)).otherwise(F.col("anchor")))
+    found = found.withColumn("span_id", F.when(rest(37, 10), F.concat(F.lit("same"), "page")).otherwise(F.col("span_id"))).withColumn("batch_id", F.when(rest(41, 11), "one").otherwise(F.col("batch_id")))
+    told = found.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).select("source_id", (F.col("n") + F.when(F.col("source_id") < "book3", 1).otherwise(0)).alias("n_spans"))
+    return pages.structural_gate(found, pages_, lines, glyphs, told, 3).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH b AS (SELECT event_id, user_id, (event_id * 7919) % 400 AS top, (event_id * 7919) % 400 + event_id % 50 AS bottom, (event_id * 104729) % 300 AS x FROM events),
+f AS (SELECT *, max(bottom) OVER (PARTITION BY user_id ORDER BY top, bottom, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM b),
+c AS (SELECT *, sum(CASE WHEN top - far >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY top, bottom, event_id ROWS UNBOUNDED PRECEDING) AS band FROM f),
+g AS (SELECT *, x - lag(x) OVER (PARTITION BY user_id, band ORDER BY x, event_id) AS step FROM c),
+k AS (SELECT *, sum(CASE WHEN step > 30 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, band ORDER BY x, event_id ROWS UNBOUNDED PRECEDING) AS col FROM g),
+r AS (SELECT *, max(col) OVER (PARTITION BY user_id, band) - col AS fromright FROM k)
+SELECT event_id, CAST(band AS BIGINT) AS band, CAST(fromright AS BIGINT) AS "column", CAST(row_number() OVER (PARTITION BY user_id ORDER BY band, fromright, (top + bottom) / 2.0, event_id) AS INTEGER) AS place FROM r""")
+def banded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as boxes on their user's page: bands, columns from the right, and reading order."""
+    top, x = (F.col("event_id") * 7919) % 400, (F.col("event_id") * 104729) % 300
+    boxes = table(spark, sf_dir, "events").select("event_id", "user_id", top.alias("top"), (top + F.col("event_id") % 50).alias("bottom"), x.alias("x"))
+    placed = pages.banded_order(boxes.withColumn("y", (F.col("top") + F.col("bottom")) / 2), "user_id", "top", "bottom", "x", "y", "event_id", 5)
+    return placed.select("event_id", "band", "column", "place")
