@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.similar import shared_items
+
 
 def lanes_agree(a: DataFrame, b: DataFrame, key: str, body: str) -> DataFrame:
     """Per key: bodies of either lane, and whether they are equal as multisets; keys of one lane only are kept."""
@@ -17,10 +19,8 @@ def lanes_agree(a: DataFrame, b: DataFrame, key: str, body: str) -> DataFrame:
 
 
 def overlap_pairs(groups: DataFrame, group: str, item: str, least: int = 2) -> DataFrame:
-    """Pairs of groups that share ``least`` items or more. Groups meet at their items; items of one group alone pair nothing."""
-    items = groups.select(group, item).distinct()
-    left, right = items.withColumnRenamed(group, "left_id"), items.withColumnRenamed(group, "right_id")
-    return left.join(right, item).where("left_id < right_id").groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+    """Pairs of groups that share ``least`` items or more. Groups meet at their rarer items; see ``shared_items``."""
+    return shared_items(groups, group, item, least)
 
 
 def ranked_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, closure, cover, objects, pages, spans, suites
+from lectern.operators import cleaning, closure, cover, identity, objects, pages, similar, spans, suites
 from lectern.plans.catalog import query, table
 
 # Cover: goods under way of a supplier, by day, against some days behind each shipment.
@@ -423,3 +423,63 @@ def banded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = table(spark, sf_dir, "events").select("event_id", "user_id", top.alias("top"), (top + F.col("event_id") % 50).alias("bottom"), x.alias("x"))
     placed = pages.banded_order(boxes.withColumn("y", (F.col("top") + F.col("bottom")) / 2), "user_id", "top", "bottom", "x", "y", "event_id", 5)
     return placed.select("event_id", "band", "column", "place")
+
+
+# Sets, identities and trees.
+
+
+@query("""WITH w AS (SELECT user_id AS span, event_type || '-' || (event_id * 31 % 97) AS t, event_id % 2 AS side FROM events),
+s AS (SELECT DISTINCT span, t, side, list_sort(list_distinct(string_split(replace(t, '-', ''), ''))) AS cs FROM w)
+SELECT b.span, b.t FROM s b WHERE b.side = 1 AND NOT EXISTS (SELECT 1 FROM s a WHERE a.side = 0 AND a.span = b.span AND len(list_intersect(a.cs, b.cs)) >= 0.6 * (len(a.cs) + len(b.cs) - len(list_intersect(a.cs, b.cs))))""")
+def unmatched_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user's odd events say that none of the even ones says in much the same letters."""
+    said = table(spark, sf_dir, "events").select(F.col("user_id").alias("span"), F.concat_ws("-", "event_type", F.col("event_id") * 31 % 97).alias("t"), (F.col("event_id") % 2).alias("side"))
+    return similar.unmatched(said.where("side = 0").select("span", "t"), said.where("side = 1").select("span", "t"), "span", "t").distinct()
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k FROM orders), m AS (SELECT k, CASE WHEN k % 5 = 0 THEN NULL WHEN k % 3 = 0 THEN k + 10000000 ELSE k END AS one FROM o)
+SELECT 'o' || k AS id, CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN NULL WHEN k % 3 = 0 THEN 'o' || (k + 30000000) WHEN k % 11 = 0 THEN 'o' || (k + 20000000) ELSE 'o' || k END AS now,
+       CASE WHEN k % 5 = 0 THEN 'lost' WHEN k % 7 = 0 THEN 'split' WHEN k % 3 = 0 OR k % 11 = 0 THEN 'moved' ELSE 'kept' END AS state, CASE WHEN k % 5 = 0 THEN 'r1' WHEN k % 7 = 0 THEN 'r2' END AS release FROM o""")
+def remapped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders over two releases: moved once or twice, lost in the first, split in the second."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    name = lambda k: F.concat(F.lit("o"), k)
+    first = o.where("k % 5 = 0 OR k % 3 = 0").select(F.lit("r1").alias("release"), name("k").alias("from_id"), F.when(F.col("k") % 5 != 0, name(F.col("k") + 10000000)).alias("to_id"))
+    now = F.when(F.col("k") % 3 == 0, F.col("k") + 10000000).otherwise(F.col("k"))
+    split = o.where("k % 5 <> 0 AND k % 7 = 0").select(F.lit("r2").alias("release"), name(now).alias("from_id"), F.explode(F.array(name(now), F.concat(name(now), F.lit("b")))).alias("to_id"))
+    again = o.where("k % 5 <> 0 AND k % 7 <> 0 AND (k % 3 = 0 OR k % 11 = 0)").select(F.lit("r2").alias("release"), name(now).alias("from_id"), name(now + 20000000).alias("to_id"))
+    return identity.remapped(o.select(name("k").alias("id")), first.unionByName(split).unionByName(again), ["r1", "r2"])
+
+
+@query("SELECT l_orderkey AS submission_id, 'd' AS source_id, CAST(s AS INTEGER) AS seq, CASE WHEN s <= 5 THEN 'p' || s END AS span_id, CASE WHEN s > 5 THEN 'unknown' WHEN n > 1 THEN 'repeated' END AS problem FROM (SELECT l_orderkey, l_linenumber AS s, count(*) AS n FROM lineitem GROUP BY 1, 2)")
+def reselected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers of orders as numbers of spans, of which there are five."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("submission_id")).agg(F.collect_list(F.col("l_linenumber").cast("int")).alias("seqs")).withColumn("source_id", F.lit("d"))
+    known = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").cast("int").alias("seq")).distinct().where("seq <= 5").select(F.lit("d").alias("source_id"), "seq", F.concat(F.lit("p"), "seq").alias("span_id"))
+    return identity.reselected(known, lines)
+
+
+@query("SELECT event_id AS glyph_id, user_id AS page, CASE WHEN event_id % 3 = 0 THEN 'l' || event_id WHEN user_id % 2 = 0 THEN 'p' || user_id END AS span_id, CASE WHEN event_id % 3 = 0 THEN 'line' WHEN user_id % 2 = 0 THEN 'page' END AS found_by FROM events")
+def spans_of_glyphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as glyphs: a third of their lines have a span, some belong to another page, and half of the pages have one."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("page"))
+    lines = e.where("event_id % 3 < 2").select(F.col("event_id").alias("line_id"), F.when(F.col("event_id") % 3 == 1, -1).otherwise(F.col("page")).alias("page"))
+    line_spans = e.where("event_id % 3 < 2").select(F.col("event_id").alias("line_id"), F.concat(F.lit("l"), "event_id").alias("span_id"))
+    page_spans = e.where("page % 2 = 0").select("page", F.concat(F.lit("p"), "page").alias("span_id")).distinct()
+    return identity.spans_of_glyphs(e.select(F.col("event_id").alias("glyph_id"), "page", F.col("event_id").alias("parent")), lines, line_spans, page_spans)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '$' WHEN o_orderkey % 3 = 0 THEN 'steps[1].result.status' WHEN o_orderkey % 7 = 0 THEN 'steps[0].n' ELSE 'kind' END AS path,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'left_only' WHEN o_orderkey % 3 = 0 THEN 'changed' WHEN o_orderkey % 7 = 0 THEN 'right_only' ELSE 'left_only' END AS change
+FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""")
+def substitution_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two adapters' outcomes of all orders: the same but for ids and times, and planted differences at three depths."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    k = F.col("o_orderkey")
+    shape = '{"run_id": "%s", "kind": "x", "steps": [{"step_id": %d}, {"result": {"status": "%s", "finished_at": %d, "log": []}}]}'
+    left = o.select("o_orderkey", F.format_string(shape, F.col("o_custkey").cast("string"), k, "o_orderstatus", k).alias("body"))
+    status = F.when(k % 3 == 0, F.concat("o_orderstatus", F.lit("?"))).otherwise(F.col("o_orderstatus"))
+    body = F.format_string(shape, F.lit("other"), k + 1, status, k * 2)
+    body = F.when((k % 3 != 0) & (k % 7 == 0), F.replace(body, F.lit('"step_id"'), F.lit('"n": 1, "step_id"'))).when((k % 3 != 0) & (k % 11 == 0), F.replace(body, F.lit('"kind": "x", '), F.lit(""))).otherwise(body)
+    right = o.where("o_orderkey % 5 <> 0").select("o_orderkey", body.alias("body"))
+    return identity.substitution_report(left, right, "o_orderkey", "body").select("o_orderkey", "path", "change")
