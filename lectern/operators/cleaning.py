@@ -45,7 +45,7 @@ CONTEXT, MARKS_IN_LINE, LINES_IN_BLOCK = 15, 3, 2
 
 _RULE = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _FRONT, _CONTENTS, _NUMBER, _LETTER = re.compile(FRONT_MATTER, re.DOTALL), re.compile(CONTENTS_HEAD), re.compile(TITLE_NUMBER), re.compile(LETTER)
-_MARKS = frozenset(BOX_MARKS)
+_DRAWN = re.compile(rf"(?:[^{re.escape(BOX_MARKS)}]*[{re.escape(BOX_MARKS)}]){{{MARKS_IN_LINE}}}")
 #: Lines made of drawing marks, or framed by them, in blocks of two or more.
 _BLOCK = re.compile(rf"(?:^[ \t]*[{re.escape(BOX_MARKS)}]{{3,}}[ \t]*$\n?){{2,}}|(?:^[ \t]*[┌│├└+|║][^\n]*[┐│┤┘+|║][ \t]*$\n?){{2,}}|(?:[|+][\-+|=—―]{{3,}}[|+]\n?){{2,}}", re.MULTILINE)
 
@@ -109,9 +109,11 @@ class Sight:
     def starts(self, kind: str) -> set[int]:
         return {a for a, _ in self.found[kind]}
 
-    def findings(self) -> list[Finding]:
+    def findings(self, kinds: Sequence[str]) -> list[Finding]:
         out = []
         for kind, places in self.found.items():
+            if kind not in kinds:
+                continue
             action = "patched" if kind in PATCHED else "kept" if kind in KEPT else "flagged"
             for start, end in places:
                 excerpt = self.raw[start:end]
@@ -149,7 +151,7 @@ def _diagrams(sight: Sight) -> None:
     framed = [m.span() for m in _BLOCK.finditer(sight.text)]
     drawn, run = [], []
     for start, end, line in [*sight.lines, (0, 0, "")]:
-        if sum(c in _MARKS for c in line) >= MARKS_IN_LINE:
+        if _DRAWN.match(line):
             run.append((start, end))
         else:
             if len(run) >= LINES_IN_BLOCK:
@@ -244,22 +246,30 @@ def _gaps(sight: Sight) -> None:
             sight.note("missing", *m.span())
 
 
-def examine(raw: str | None, variants: Mapping[str, str] = {}, suspects: Iterable[str] = ()) -> list[Finding]:  # noqa: B006
-    """All findings of one text by position. Null counts as empty."""
+#: What finds which kinds, in the order in which they look; repeats leave out what escapes and diagrams hold.
+_RULES = (
+    (_single_marks, ("escape_residue", "encoding_issue", "replacement_char", "private_use_area", "control_char", "watermark", "duplicate")), (_running_heads, ("header_footer",)),
+    (_diagrams, ("textualized_diagram", "duplicate")), (_repeats, ("duplicate",)), (_gaps, ("missing",)),
+)
+
+
+def examine(raw: str | None, variants: Mapping[str, str] = {}, suspects: Iterable[str] = (), kinds: Sequence[str] = KINDS) -> list[Finding]:  # noqa: B006
+    """The findings of one text of the given kinds, by position; rules that none of them needs don't look. Null counts as empty."""
     sight = Sight(raw or "")
-    for rule in (_single_marks, _running_heads, _diagrams, _repeats, _gaps):
-        rule(sight)
-    for wrong in suspects:
+    for rule, found in _RULES:
+        if not set(found).isdisjoint(kinds):
+            rule(sight)
+    for wrong in suspects if "suspected_error" in kinds else ():
         for m in re.finditer(re.escape(wrong), sight.text) if wrong else ():
             sight.note("suspected_error", *m.span())
     old = {a for a, b in variants.items() if a and b and a != b}
     new = {b for a, b in variants.items() if a and b and a != b}
-    letters = set(sight.text)
+    letters = set(sight.text) if old and "variant_mixed" in kinds else set()
     if letters & old and letters & new:
         for i, c in enumerate(sight.text):
             if c in old:
                 sight.note("variant_mixed", i, i + 1)
-    return sight.findings()
+    return sight.findings(kinds)
 
 
 def patched(raw: str, found: Sequence[Finding]) -> str:
@@ -275,8 +285,8 @@ def patched(raw: str, found: Sequence[Finding]) -> str:
 _FINDINGS = pa.list_(pa.struct([(n, pa.int32() if n in ("raw_start", "raw_end") else pa.string()) for n in Finding._fields]))
 
 
-def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: Mapping[str, str] | None = None, suspects: Sequence[str] = ()) -> DataFrame:
-    """For each row its id, ``raw_length``, ``findings`` and ``cleaned`` text, in one pass.
+def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: Mapping[str, str] | None = None, suspects: Sequence[str] = (), kinds: Sequence[str] = KINDS) -> DataFrame:
+    """For each row its id, ``raw_length``, ``findings`` of the given kinds and ``cleaned`` text (with those of them patched that are), in one pass.
 
     ``variants`` maps older letters to newer ones (a text that has both is mixed), ``suspects`` are likely misreadings. Null texts count as empty; repeated rows stay.
     """
@@ -289,7 +299,7 @@ def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", varia
             for at in range(0, whole.num_rows, 64):
                 batch = whole.slice(at, 64)
                 texts = batch.column("text").to_pylist()
-                found = [examine(t, pairs, suspects) for t in texts]
+                found = [examine(t, pairs, suspects, kinds) for t in texts]
                 rows_of = [[f._asdict() for f in fs] for fs in found]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), pa.array(list(map(len, texts)), pa.int32()), pa.array(rows_of, _FINDINGS), pa.array([patched(t, f) for t, f in zip(texts, found, strict=True)], pa.string())],
@@ -299,15 +309,15 @@ def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", varia
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: Mapping[str, str] | None = None, suspects: Sequence[str] = ()) -> DataFrame:
-    """One row for each finding with its ``finding_id``. Null and empty texts have none."""
-    each = cleaned(df, id_col, text_col, variants, suspects).select(id_col, F.inline("findings"))
+def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", variants: Mapping[str, str] | None = None, suspects: Sequence[str] = (), kinds: Sequence[str] = KINDS) -> DataFrame:
+    """One row for each finding of the given kinds with its ``finding_id``. Null and empty texts have none."""
+    each = cleaned(df, id_col, text_col, variants, suspects, kinds).select(id_col, F.inline("findings"))
     return each.withColumn("finding_id", F.concat(F.col("kind"), F.lit("@"), F.col("raw_start"), F.lit("-"), F.col("raw_end")))
 
 
 def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text with its patched findings replaced."""
-    return cleaned(df, id_col, text_col).select(id_col, "cleaned")
+    """Each text with its patched findings replaced; only the rules that patch look."""
+    return cleaned(df, id_col, text_col, kinds=PATCHED).select(id_col, "cleaned")
 
 
 def report(found: DataFrame) -> DataFrame:

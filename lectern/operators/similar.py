@@ -17,7 +17,7 @@ def shared_items(groups: DataFrame, group: str, item: str, least: int = 2) -> Da
 
     A group is found by all its items but the ``least - 1`` most frequent ones, so that an item of many groups joins nobody by itself.
     """
-    items = kept(groups.select(F.col(group).alias("id"), F.col(item).alias("item")).where("id IS NOT NULL AND item IS NOT NULL").distinct())
+    items = groups.select(F.col(group).alias("id"), F.col(item).alias("item")).where("id IS NOT NULL AND item IS NOT NULL").distinct()
     often = items.groupBy("item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     placed = items.join(often, "item").withColumns({"place": F.row_number().over(Window.partitionBy("id").orderBy("often", "item")), "n": F.count(F.lit(1)).over(Window.partitionBy("id"))})
     placed = kept(placed.where(F.col("n") >= least))

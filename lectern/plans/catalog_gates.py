@@ -61,7 +61,7 @@ def forbidden_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = spans.segment_spans(clean).withColumnRenamed("segment", "text").withColumn("span_id", F.col("seq"))
     patch = lambda *v: F.struct(*(F.lit(x).alias(n) for n, x in zip(("raw_start", "raw_end", "cleaned_start", "cleaned_end"), v, strict=True)))
     patches = docs.select("doc_id", F.inline(F.array(patch(0, 5, 0, 0), patch(10, 20, 5, 9))))
-    found = cleaning.findings(docs).where("kind = 'replacement_char' AND doc_id % 5 <> 0")
+    found = cleaning.findings(docs, kinds=["replacement_char"]).where("doc_id % 5 <> 0")
     found = found.withColumn("terminal_state", F.when(F.col("doc_id") % 11 == 0, "processed").otherwise(F.col("terminal_state")))
     found = found.select("doc_id", "kind", "terminal_state", "raw_start", "raw_end", F.explode(F.sequence(F.lit(1), F.when(F.col("doc_id") % 7 == 0, 2).otherwise(1))).alias("copy"))
     return cover.forbidden_chars(parts, patches, found).select("doc_id", "position", "raw_position", "n", "verdict")

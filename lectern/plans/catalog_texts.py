@@ -19,8 +19,8 @@ _COUNT = "SELECT doc_id, '{0}' AS kind, CAST(len(regexp_extract_all(text, '{1}')
 def cleaning_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings by text and kind, of the rules that a pattern defines."""
     kinds = ("replacement_char", "private_use_area", "control_char", "escape_residue", "watermark", "suspected_error", "variant_mixed")
-    found = cleaning.findings(table(spark, sf_dir, "documents"), variants={"ß": "s"}, suspects=["teh"])
-    return found.where(F.col("kind").isin(*kinds)).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    found = cleaning.findings(table(spark, sf_dir, "documents"), variants={"ß": "s"}, suspects=["teh"], kinds=kinds)
+    return found.groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(r"""WITH l AS (
@@ -31,8 +31,8 @@ def cleaning_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ) SELECT doc_id, raw_start, CAST(raw_start + length(line) AS INTEGER) AS raw_end, line AS excerpt FROM o WHERE n >= 3 AND length(trim(line)) BETWEEN 2 AND 40""")
 def running_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of lines that come three times or more in a text."""
-    found = cleaning.findings(table(spark, sf_dir, "documents"))
-    return found.where("kind = 'header_footer'").select("doc_id", "raw_start", "raw_end", "excerpt")
+    found = cleaning.findings(table(spark, sf_dir, "documents"), kinds=["header_footer"])
+    return found.select("doc_id", "raw_start", "raw_end", "excerpt")
 
 
 @query("SELECT CAST(place AS INTEGER) AS place, kind FROM (VALUES (0,'encoding_issue'),(1,'replacement_char'),(2,'private_use_area'),(3,'control_char'),(4,'escape_residue'),(5,'watermark'),(6,'header_footer'),(7,'duplicate'),(8,'missing'),(9,'textualized_diagram'),(10,'suspected_error'),(11,'variant_mixed')) t(place, kind)")
@@ -45,7 +45,7 @@ def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaning_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate over links, with excerpts of every seventh text and cleaned texts of every eleventh tampered with."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    links = cleaning.findings(docs).where("kind = 'watermark'").withColumn("finding_id", F.col("doc_id").cast("string"))
+    links = cleaning.findings(docs, kinds=["watermark"]).withColumn("finding_id", F.col("doc_id").cast("string"))
     told = links.withColumn("excerpt", F.when(F.col("doc_id") % 7 == 0, F.lit("tampered")).otherwise(F.col("excerpt")))
     done = spans.apply_patches(docs, spans.patches_from(links.select("doc_id", "raw_start", "raw_end", "replacement"))).withColumn("cleaned", F.when(F.col("doc_id") % 11 == 0, F.concat("cleaned", F.lit("!"))).otherwise(F.col("cleaned")))
     summary = links.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

@@ -87,3 +87,12 @@ def test_contents_end_before_the_body():
         found, at = entries(head + body + "\n后")
         assert [t for t, _, _ in found] == ["卷一 甲乙", "卷二 丙丁"] and at == len(head)
     assert entries("none") == ([], 4)
+
+
+def test_kinds_on_demand():
+    text = "---\nx: 1\n---\nsame long line\nsame long line\nsame long line\nhttp://a.b \\[x\\] ? 【缺】abcdabcd\n" * 2
+    whole = cleaning.examine(text, {"a": "b"}, ["x"])
+    for kind in cleaning.KINDS:
+        assert cleaning.examine(text, {"a": "b"}, ["x"], [kind]) == [f for f in whole if f.kind == kind]
+    assert {"duplicate", "missing", "header_footer", "watermark", "suspected_error", "variant_mixed"} <= {f.kind for f in whole}
+    assert cleaning.patched(text, cleaning.examine(text, kinds=cleaning.PATCHED)) == cleaning.patched(text, whole)
