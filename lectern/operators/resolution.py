@@ -205,7 +205,9 @@ def compared_drafts(a: DataFrame, b: DataFrame, key: str, spans: str, body: str)
         return pd.DataFrame(out, columns=["a_id", "b_id", "status"])
 
     schema = "a_id string, b_id string, status string"
-    equal = counted.where("n_a = n_b").groupBy("spans").applyInPandas(pair, schema)
+    counted = counted.withColumn("n_b", F.when(F.size("spans") > 0, F.col("n_b")).otherwise(0))  # what has no evidence meets nothing
+    counted = counted.withColumn("n_a", F.when(F.size("spans") > 0, F.col("n_a")).otherwise(0))
+    equal = counted.where("n_a = n_b AND n_a > 0").groupBy("spans").applyInPandas(pair, schema)
     uneven = counted.where("n_a <> n_b AND n_a > 0 AND n_b > 0").select(F.when(F.col("lane") == "a", F.col("id")).alias("a_id"), F.when(F.col("lane") == "b", F.col("id")).alias("b_id"), F.lit("split_merge").alias("status"))
     alone = counted.where("n_a = 0 OR n_b = 0").select("lane", "id", "spans")
     each = alone.select("lane", "id", F.explode("spans").alias("span"))

@@ -84,9 +84,9 @@ def leaf_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.leaf_nodes(nodes, "p_partkey", "parent").select("p_partkey", kind.alias("kind"))
 
 
-@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS positions FROM events WHERE event_id % 50 = 0 GROUP BY 1 HAVING count(*) >= 3")
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS positions FROM events GROUP BY 1 HAVING count(*) >= 3")
 def position_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.position_list(table(spark, sf_dir, "events").where("event_id % 50 = 0"), "event_type", "user_id", 3)
+    return records.position_list(table(spark, sf_dir, "events"), "user_id", "event_id", 3)
 
 
 _GLYPHS = "SELECT l_orderkey % 50 AS page, l_discount > 0.08 AS is_rare, CASE WHEN l_tax > 0.04 THEN 'low_conf' ELSE 'not_common' END AS rare_reason, CASE l_returnflag WHEN 'R' THEN 'corrected' WHEN 'A' THEN 'unrecognized' ELSE CASE WHEN l_linestatus = 'F' THEN 'verified' ELSE 'pending' END END AS status, CASE WHEN l_linenumber = 7 THEN '' ELSE l_linestatus END AS char, CASE WHEN l_quantity > 45 THEN 'x' END AS mapping FROM lineitem"
@@ -106,9 +106,9 @@ def layout_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.layout_verdict(lines).select("page", "n", "signals")
 
 
-@query("SELECT o_orderpriority AS stage, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS done, CAST(count(*) FILTER (o_orderstatus <> 'F') AS BIGINT) AS open FROM orders WHERE o_orderkey % 100 = 0 GROUP BY 1")
+@query("SELECT o_orderpriority AS stage, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS done, CAST(count(*) FILTER (o_orderstatus <> 'F') AS BIGINT) AS open FROM orders GROUP BY 1")
 def stage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0").select(_c("o_orderpriority", "stage"), "o_orderkey", "o_orderstatus")
+    planned = table(spark, sf_dir, "orders").select(_c("o_orderpriority", "stage"), "o_orderkey", "o_orderstatus")
     return records.stage_gaps(planned, planned.where("o_orderstatus = 'F'"), "stage", "o_orderkey").select("stage", "total", "done", F.size("missing").cast("long").alias("open"))
 
 
@@ -195,9 +195,9 @@ def page_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.same_pages(table(spark, sf_dir, "labels"), docs.where("lang = 'de'"), docs, "doc_id")
 
 
-@query("SELECT o_orderkey, 'in_no_batch' AS problem FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber < 3) UNION ALL SELECT l_orderkey, 'in_several' FROM lineitem WHERE l_linenumber < 3 GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT o_orderkey, 'in_no_batch' AS problem FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT l_orderkey, 'in_several' FROM lineitem GROUP BY 1 HAVING count(*) > 1")
 def batch_bijection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = table(spark, sf_dir, "lineitem").where("l_linenumber < 3").select("l_linenumber", F.array("l_orderkey").alias("items"))
+    batches = table(spark, sf_dir, "lineitem").select("l_linenumber", F.array("l_orderkey").alias("items"))
     return records.bijection_problems(table(spark, sf_dir, "orders"), batches, "o_orderkey", "items")
 
 
@@ -288,19 +288,19 @@ def merged_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.merge_editions(base, view, modes)[0]
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 1 THEN 'missing' WHEN o_orderkey % 4 = 2 THEN 'allocation_differs' WHEN o_orderkey % 4 = 3 THEN 'referenced' END AS refusal FROM orders WHERE o_orderkey % 10 < 4")
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 1 THEN 'missing' WHEN o_orderkey % 4 = 2 THEN 'allocation_differs' WHEN o_orderkey % 4 = 3 THEN 'referenced' END AS refusal FROM orders")
 def split_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, k = table(spark, sf_dir, "orders").where("o_orderkey % 10 < 4").select(_c("o_orderkey", "id")), F.col("id")
+    orders, k = table(spark, sf_dir, "orders").select(_c("o_orderkey", "id")), F.col("id")
     span = lambda n: F.concat(F.lit(n), k)
     items = orders.where("id % 4 <> 1").withColumn("spans", F.array(span("a"), span("b")))
     splits = orders.select("id", F.explode(F.array(F.struct(F.lit("p1").alias("placeholder"), F.array(span("a")).alias("spans")), F.struct(F.lit("p2").alias("placeholder"), F.array(F.when(k % 4 == 2, span("c")).otherwise(span("b"))).alias("spans")))).alias("s")).select("id", "s.*")
     return resolution.split_checks(items, splits, orders.where("id % 4 = 3").select(_c("id", "target")), "id", "spans")
 
 
-@query("WITH m AS (SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_custkey % 10 = 1) SELECT a AS survivor, b AS retired, CASE WHEN a % 50 = 1 THEN 'missing' WHEN a % 20 = 1 THEN 'other_kind' WHEN a % 30 = 1 THEN 'referenced' END AS refusal FROM m")
+@query("WITH m AS (SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_custkey % 2 = 1) SELECT a AS survivor, b AS retired, CASE WHEN a % 50 = 1 THEN 'missing' WHEN a % 20 = 1 THEN 'other_kind' WHEN a % 30 = 1 THEN 'referenced' END AS refusal FROM m")
 def merge_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "customer").select(_c("c_custkey", "k"))
-    merges = keys.where("k % 10 = 1").select((F.col("k") + 1).alias("a"), _c("k", "b"))
+    merges = keys.where("k % 2 = 1").select((F.col("k") + 1).alias("a"), _c("k", "b"))
     ids = merges.select(_c("b", "id"), F.lit("x").alias("kind"), _c("b", "of")).unionByName(merges.where("b % 50 <> 1").select(_c("a", "id"), F.when(F.col("b") % 20 == 1, "y").otherwise("x").alias("kind"), _c("b", "of")))
     relations = merges.where("b % 30 = 1").select(_c("a", "from_id"), (F.col("a") + 5).alias("to_id")).unionByName(merges.select(_c("a", "from_id"), _c("b", "to_id")))
     return resolution.merge_checks(ids, merges, merges.limit(0).select(_c("a", "target")), relations, "id", "kind")
@@ -314,10 +314,10 @@ def applied_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.ruled(orders, rulings, "k", "o_orderstatus", "o_orderpriority")
 
 
-@query("WITH i AS (SELECT l_orderkey, l_partkey, l_linenumber AS n FROM lineitem WHERE l_orderkey % 20 = 0), a AS (SELECT l_orderkey AS s, count(*) AS n FROM i WHERE n % 2 = 1 GROUP BY 1), b AS (SELECT l_orderkey AS s, count(*) AS n FROM i WHERE n % 2 = 0 GROUP BY 1) SELECT CASE WHEN coalesce(a.n, 0) = coalesce(b.n, 0) THEN 'paired' WHEN b.n IS NULL THEN 'a_only' WHEN a.n IS NULL THEN 'b_only' ELSE 'split_merge' END AS status, CAST(sum(CASE WHEN coalesce(a.n, 0) = coalesce(b.n, 0) THEN a.n ELSE coalesce(a.n, 0) + coalesce(b.n, 0) END) AS BIGINT) AS n FROM a FULL JOIN b USING (s) GROUP BY 1")
+@query("WITH i AS (SELECT l_orderkey, l_partkey, l_linenumber AS n FROM lineitem), a AS (SELECT l_orderkey AS s, count(*) AS n FROM i WHERE n % 2 = 1 GROUP BY 1), b AS (SELECT l_orderkey AS s, count(*) AS n FROM i WHERE n % 2 = 0 GROUP BY 1) SELECT CASE WHEN coalesce(a.n, 0) = coalesce(b.n, 0) THEN 'paired' WHEN b.n IS NULL THEN 'a_only' WHEN a.n IS NULL THEN 'b_only' ELSE 'split_merge' END AS status, CAST(sum(CASE WHEN coalesce(a.n, 0) = coalesce(b.n, 0) THEN a.n ELSE coalesce(a.n, 0) + coalesce(b.n, 0) END) AS BIGINT) AS n FROM a FULL JOIN b USING (s) GROUP BY 1")
 def compared_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drafts over the same evidence: as many rows of each status as the numbers of either side ask for."""
-    items = table(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.array(F.col("l_orderkey").cast("string")).alias("spans"), F.col("l_partkey").cast("string").alias("body"), "l_linenumber")
+    items = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.array(F.col("l_orderkey").cast("string")).alias("spans"), F.col("l_partkey").cast("string").alias("body"), "l_linenumber")
     found = resolution.compared_drafts(items.where("l_linenumber % 2 = 1"), items.where("l_linenumber % 2 = 0"), "id", "spans", "body")
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
@@ -332,22 +332,25 @@ def closure_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.outside_closure(will, reached, "node").select(F.substring("node", 2, 20).cast("long").alias("c_custkey"), F.lit(None).cast("int").alias("c_nationkey"))
 
 
-@query("WITH g AS (SELECT 'c' || c_custkey AS node, 'n' || c_nationkey AS n FROM customer WHERE c_custkey % 3 = 0) SELECT node, (SELECT min(node) FROM g h WHERE h.n = g.n) AS component FROM g UNION SELECT n, (SELECT min(node) FROM g h WHERE h.n = g.n) FROM g")
+@query("WITH g AS (SELECT 'c' || c_custkey AS node, 'n' || c_nationkey AS n FROM customer), m AS (SELECT n, min(node) AS component FROM g GROUP BY n) SELECT node, component FROM g JOIN m USING (n) UNION SELECT n, component FROM m")
 def edge_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("c"), "c_custkey").alias("src"), F.concat(F.lit("n"), "c_nationkey").alias("dst"))
+    edges = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("src"), F.concat(F.lit("n"), "c_nationkey").alias("dst"))
     return graph.components(edges)
 
 
 # Gates with planted faults.
 
 
-@query("""SELECT 'SEG_001' AS "check", CAST(conv_id AS VARCHAR) AS subject FROM conversations WHERE turn = 0 AND conv_id % 4 = 0 UNION ALL SELECT 'SEG_003', conv_id || '/1' FROM conversations WHERE turn = 0 AND conv_id % 4 = 1 UNION ALL SELECT 'SEG_004', conv_id || '/s01' FROM conversations WHERE turn = 0 AND conv_id % 4 = 2
-UNION ALL SELECT 'SEG_005', conv_id || '/' || CASE WHEN conv_id % 4 = 1 THEN 'x' ELSE 's01' END FROM conversations WHERE turn = 0 AND length(regexp_replace(text, '\\s+', '', 'g')) + CASE WHEN conv_id % 4 = 0 THEN 1 ELSE 0 END > 300
-UNION ALL SELECT 'SEG_007', conv_id || '/' || CASE WHEN conv_id % 4 = 1 THEN 'x' ELSE 's01' END FROM conversations WHERE turn = 0 AND regexp_matches(text, '[()\\[\\]]')""")
+@query("""WITH t AS (SELECT conv_id || '-' || turn AS k, (conv_id + turn) % 4 AS m, coalesce(text, '') AS text FROM conversations)
+SELECT 'SEG_001' AS "check", k AS subject FROM t WHERE m = 0 UNION ALL SELECT 'SEG_003', k || '/1' FROM t WHERE m = 1 UNION ALL SELECT 'SEG_004', k || '/s01' FROM t WHERE m = 2
+UNION ALL SELECT 'SEG_005', k || '/' || CASE WHEN m = 1 THEN 'x' ELSE 's01' END FROM t WHERE length(regexp_replace(text, '\\s+', '', 'g')) + CASE WHEN m = 0 THEN 1 ELSE 0 END > 300
+UNION ALL SELECT 'SEG_007', k || '/' || CASE WHEN m = 1 THEN 'x' ELSE 's01' END FROM t WHERE regexp_matches(text, '[()\\[\\]]')""")
 def segment_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, rest = table(spark, sf_dir, "conversations").where("turn = 0"), F.col("conv_id") % 4
-    segments = first.select("conv_id", F.lit(0).alias("seq"), F.when(rest == 1, "x").otherwise("s01").alias("seg_id"), F.when(rest == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), F.when(rest == 2, "").otherwise("note").alias("note"))
-    return validators.segment_checks(segments, first, "conv_id").select("check", "subject")
+    """Turns as texts of one segment: a longer one, a wrong id, no note, and what is long or has brackets by itself."""
+    turns = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("k"), ((F.col("conv_id") + F.col("turn")) % 4).alias("m"), F.coalesce("text", F.lit("")).alias("text"))
+    rest = F.col("m")
+    segments = turns.select("k", F.lit(0).alias("seq"), F.when(rest == 1, "x").otherwise("s01").alias("seg_id"), F.when(rest == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), F.when(rest == 2, "").otherwise("note").alias("note"))
+    return validators.segment_checks(segments, turns, "k").select("check", "subject")
 
 
 _BAD = "SELECT conv_id, turn, conv_id || '-' || turn AS id, length(text) AS n FROM conversations WHERE length(text) > 3"
@@ -413,9 +416,9 @@ def assertion_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("assertion_id", F.size("evidence").cast("long").alias("n_evidence"), F.get("evidence", F.lit(0))["span_id"].alias("first_span"))
 
 
-@query("SELECT l_partkey AS concept_id, l_orderkey AS span_id, o_orderstatus AS quote FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 2 = 0 WHERE l_linenumber = 1")
+@query("SELECT l_partkey AS concept_id, l_orderkey AS span_id, o_orderstatus AS quote FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 2 = 0")
 def concept_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mentions = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(_c("l_partkey", "concept_id"), _c("l_orderkey", "span_id"), F.lit("s").alias("surface"), F.lit("u").alias("unit_id"))
+    mentions = table(spark, sf_dir, "lineitem").select(_c("l_partkey", "concept_id"), _c("l_orderkey", "span_id"), F.lit("s").alias("surface"), F.lit("u").alias("unit_id"))
     spans = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(_c("o_orderkey", "span_id"), _c("o_orderstatus", "quote"), F.lit("p").alias("location"))
     return products.concept_hits(mentions, spans).select("concept_id", "span_id", "quote")
 
@@ -474,15 +477,15 @@ def first_holder(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Layout.
 
 
-_BOXES = "SELECT o_orderkey AS line_id, o_orderkey % 3 AS page, (o_orderkey * 37 % 1000)::DOUBLE AS x, (o_orderkey * 53 % 1000)::DOUBLE AS y, 60.0::DOUBLE AS w, 40.0::DOUBLE AS h FROM orders WHERE o_orderkey % 8 = 0"
+_BOXES = "SELECT o_orderkey AS line_id, o_orderkey % 1000 AS page, (o_orderkey * 37 % 1000)::DOUBLE AS x, (o_orderkey * 53 % 1000)::DOUBLE AS y, 60.0::DOUBLE AS w, 40.0::DOUBLE AS h FROM orders"
 
 
-@query(f"WITH l AS ({_BOXES}), g AS (SELECT l_orderkey * 10 + l_linenumber AS glyph_id, l_orderkey % 3 AS page, (l_partkey % 1000)::DOUBLE AS x, (l_suppkey * 11 % 1000)::DOUBLE AS y, 8.0::DOUBLE AS w, 8.0::DOUBLE AS h FROM lineitem WHERE l_orderkey % 4 = 1) SELECT DISTINCT l.page, line_id, glyph_id FROM l JOIN g ON l.page = g.page AND g.x >= l.x - 2 AND g.y >= l.y - 2 AND g.x + g.w <= l.x + l.w + 2 AND g.y + g.h <= l.y + l.h + 2")
+@query(f"WITH l AS ({_BOXES}), g AS (SELECT l_orderkey * 10 + l_linenumber AS glyph_id, l_orderkey % 1000 AS page, (l_partkey % 1000)::DOUBLE AS x, (l_suppkey * 11 % 1000)::DOUBLE AS y, 8.0::DOUBLE AS w, 8.0::DOUBLE AS h FROM lineitem) SELECT DISTINCT l.page, line_id, glyph_id FROM l JOIN g ON l.page = g.page AND g.x >= l.x - 2 AND g.y >= l.y - 2 AND g.x + g.w <= l.x + l.w + 2 AND g.y + g.h <= l.y + l.h + 2")
 def glyphs_in_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = lambda x, y, w, h: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), F.lit(w).alias("w"), F.lit(h).alias("h")).alias("box")
     k = F.col("o_orderkey")
-    lines = table(spark, sf_dir, "orders").where("o_orderkey % 8 = 0").select(_c("o_orderkey", "line_id"), (k % 3).alias("page"), box(k * 37 % 1000, k * 53 % 1000, 60.0, 40.0))
-    glyphs = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 1").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("glyph_id"), (F.col("l_orderkey") % 3).alias("page"), box(F.col("l_partkey") % 1000, F.col("l_suppkey") * 11 % 1000, 8.0, 8.0))
+    lines = table(spark, sf_dir, "orders").select(_c("o_orderkey", "line_id"), (k % 1000).alias("page"), box(k * 37 % 1000, k * 53 % 1000, 60.0, 40.0))
+    glyphs = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("glyph_id"), (F.col("l_orderkey") % 1000).alias("page"), box(F.col("l_partkey") % 1000, F.col("l_suppkey") * 11 % 1000, 8.0, 8.0))
     return layout.glyphs_in_lines(lines, glyphs)
 
 

@@ -148,9 +148,9 @@ def page_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.page_blocks(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text").select("conv_id", F.sha2("block", 256).alias("block_sha256"))
 
 
-@query("SELECT doc_id, nullif(list_position(list_transform(range(1, greatest(length(text), length(u)) + 1), lambda i: substr(text, i, 1) <> substr(u, i, 1)), true), 0) - 1 AS at FROM (SELECT doc_id, text, replace(text, 'e', CASE WHEN doc_id % 2 = 0 THEN 'e' ELSE 'E' END) AS u FROM documents WHERE length(text) BETWEEN 1 AND 2000)")
+@query("SELECT doc_id, CAST(CASE WHEN doc_id % 2 = 1 AND strpos(text, 'e') > 0 THEN strpos(text, 'e') - 1 END AS INTEGER) AS at FROM documents")
 def first_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("length(text) BETWEEN 1 AND 2000").withColumn("u", F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.replace("text", F.lit("e"), F.lit("E"))))
+    docs = table(spark, sf_dir, "documents").withColumn("u", F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.replace("text", F.lit("e"), F.lit("E"))))
     return docs.select("doc_id", text.first_difference(F.col("text"), F.col("u")).alias("at"))
 
 
@@ -164,11 +164,11 @@ def id_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", scalars.is_id("source_span_id", i).alias("is_span"), scalars.id_kind(i).alias("kind"), scalars.id_part(i, "work").alias("work"), scalars.id_part(i, "page").alias("page"))
 
 
-@query(r"SELECT doc_id, length(regexp_replace(text, '\s+', '', 'g')) AS bare, CAST(len(regexp_extract_all(text, '\pP')) AS INTEGER) AS marks, regexp_replace(substr(text, 1, 40), '[^a-zA-Z0-9 ]', '', 'g') AS allowed, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' ELSE 'other' END AS language FROM documents")
+@query(r"SELECT doc_id, length(regexp_replace(text, '\s+', '', 'g')) AS bare, CAST(len(regexp_extract_all(text, '\pP')) AS INTEGER) AS marks, sha256(regexp_replace(text, '[^a-zA-Z0-9 ]', '', 'g')) AS allowed_sha256, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' ELSE 'other' END AS language FROM documents")
 def text_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.length(scalars.without_space(t)).alias("bare"), scalars.punctuation_count(t).alias("marks"), scalars.allowed_only(F.substring(t, 1, 40), ["a-z", "A-Z", "0-9 "]).alias("allowed"), scalars.mapped(F.col("lang"), {"en": "English", "de": "German"}, "other").alias("language"),
+        "doc_id", F.length(scalars.without_space(t)).alias("bare"), scalars.punctuation_count(t).alias("marks"), F.sha2(scalars.allowed_only(t, ["a-z", "A-Z", "0-9 "]), 256).alias("allowed_sha256"), scalars.mapped(F.col("lang"), {"en": "English", "de": "German"}, "other").alias("language"),
     )
 
 
@@ -179,9 +179,9 @@ def domain_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", scalars.joined_hash("part", F.when(F.col("p_size") % 2 == 0, F.col("p_name")), F.col("p_brand")).alias("joined"), scalars.set_hash("set", items).alias("of_set"), scalars.token_hash(F.col("p_name"), F.col("p_size")).alias("token"))
 
 
-@query(r"SELECT conv_id, turn, list_sort(list_distinct(string_split(lower(text), ' '))) AS words, CASE WHEN text = '' THEN '□' ELSE coalesce(substr(text, 1, 1), '□') END AS shown, substr(replace(text, chr(10), ' '), greatest(6 - 3, 0) + 1, 9 + 3 - 3) AS context FROM conversations WHERE length(text) > 12 AND len(string_split(text, ' ')) < 30")
+@query(r"SELECT conv_id, turn, list_sort(list_distinct(string_split(lower(text), ' '))) AS words, CASE WHEN text = '' THEN '□' ELSE coalesce(substr(text, 1, 1), '□') END AS shown, substr(replace(text, chr(10), ' '), greatest(6 - 3, 0) + 1, 9 + 3 - 3) AS context FROM conversations")
 def array_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").where("length(text) > 12 AND size(split(text, ' ', -1)) < 30")
+    rows = table(spark, sf_dir, "conversations")
     return rows.select("conv_id", "turn", scalars.sorted_set(F.split(F.lower("text"), " ")).alias("words"), scalars.shown(F.substring("text", 1, 1)).alias("shown"), records.context(F.col("text"), F.lit(6), F.lit(9), 3).alias("context"))
 
 

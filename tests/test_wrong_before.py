@@ -96,3 +96,11 @@ def test_kinds_on_demand():
         assert cleaning.examine(text, {"a": "b"}, ["x"], [kind]) == [f for f in whole if f.kind == kind]
     assert {"duplicate", "missing", "header_footer", "watermark", "suspected_error", "variant_mixed"} <= {f.kind for f in whole}
     assert cleaning.patched(text, cleaning.examine(text, kinds=cleaning.PATCHED)) == cleaning.patched(text, whole)
+
+
+def test_drafts_pair_by_evidence_only(spark):
+    a = spark.createDataFrame([("a1", ["s1"], "the cat"), ("a2", ["s1"], "a dog"), ("a3", [], "same"), ("a4", None, "same"), ("a5", ["s2", "s3"], "x"), ("a6", ["s9"], "x")], "id string, spans array<string>, body string")
+    b = spark.createDataFrame([("b1", ["s1"], "a dogs"), ("b2", ["s1"], "the cats"), ("b3", [], "same"), ("b4", None, "same"), ("b5", ["s3"], "x"), ("b6", ["s2"], "x"), ("b7", ["s8"], "x"), ("b8", ["s8"], "y")], "id string, spans array<string>, body string")
+    got = sorted(rows(resolution.compared_drafts(a, b, "id", "spans", "body")), key=repr)
+    want = [("a1", "b2", "paired"), ("a2", "b1", "paired"), ("a5", "b5", "partial"), *((x, None, "a_only") for x in ("a3", "a4", "a6")), *((None, x, "b_only") for x in ("b3", "b4", "b6", "b7", "b8"))]
+    assert got == sorted(want, key=repr)
