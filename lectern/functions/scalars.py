@@ -79,9 +79,13 @@ def repaired(text: Column, table: Mapping[str, str]) -> Column:
     return F.when(~out.rlike(r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]"), out)
 
 
+#: Fixed value: what numbers a title.
+TITLE_NUMBER = r"^(?:卷[0-9一二三四五六七八九十]+|第[0-9一二三四五六七八九十]+[章节卷回]|[0-9]+)[、.\s·]*"
+
+
 def bare_title(title: Column) -> Column:
     """A title without its volume, chapter or running number."""
-    return F.trim(F.regexp_replace(title, r"^(?:卷[0-9一二三四五六七八九十]+|第[0-9一二三四五六七八九十]+[章节卷回]|[0-9]+)[、.\s·]*", ""))
+    return F.trim(F.regexp_replace(title, TITLE_NUMBER, ""))
 
 
 def punctuation_count(text: Column) -> Column:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions.scalars import TITLE_NUMBER
 from lectern.operators.spans import apply_patches, patches_from
 
 # Kinds of findings, what is done about them, how they end, and the patterns that define them.
@@ -39,7 +40,6 @@ PATTERNS = {
 FRONT_MATTER = r"\A---[ \t]*\r?\n.*?\r?\n---[ \t]*(?:\r?\n|\Z)"
 BOX_MARKS = "┌┐└┘├┤┬┴┼─│━┃┏┓┗┛═║╔╗╚╝╠╣╦╩╬+-—―|"
 CONTENTS_HEAD = r"(?:^|\n)[ \t]*(?:[^\n]{0,15})?(?:目錄|目录|卷目|目次)[ \t*：:\n]+"
-TITLE_NUMBER = r"^(?:卷[0-9一二三四五六七八九十]+|第[0-9一二三四五六七八九十]+[章节卷回]|[0-9]+)[、.\s·]*"
 LETTER = r"[A-Za-z\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
 CONTEXT, MARKS_IN_LINE, LINES_IN_BLOCK = 15, 3, 2
 
