@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import padded_id
+from lectern.functions.text import nfc, padded_id
 
 
 def view_modes(views: DataFrame, base: DataFrame, source: str = "source_id", parts: str = "parts") -> DataFrame:
@@ -90,6 +90,43 @@ def collation(view: DataFrame, base: DataFrame) -> DataFrame:
     return compared.unionByName(undeclared).where("relation IS NOT NULL OR reason IS NOT NULL")
 
 
+def concept_outcomes(mentions: DataFrame, base: DataFrame) -> DataFrame:
+    """What becomes of each concept that a source mentions: source_id, subject, outcome, resolution, choice, targets, refusal.
+
+    mentions (source_id, concept_ref, surface, aliases) with one id, or without an id one surface, are one subject. A mention with an id of the base (concept_id, name, aliases) is attached;
+    else one that shares a name with a base concept may be its ``alias``, for a person to say; else it is admitted. If a subject's mentions fall apart, it is refused as ``mixed``. Names are compared in NFC.
+    Mentions with neither id nor surface are no subject. A name that many share joins each mention once, and each subject of aliases with all its holders.
+    """
+    strings = F.array().cast("array<string>")
+    told = mentions.select("source_id", "concept_ref", F.coalesce("concept_ref", "surface").alias("subject"), F.concat(F.array("surface"), F.coalesce("aliases", strings)).alias("names")).where("subject IS NOT NULL").distinct()
+    named = base.select("concept_id", F.explode(F.concat(F.array("name"), F.coalesce("aliases", strings))).alias("name")).where("name <> ''").select("concept_id", nfc("name").alias("name")).distinct()
+    each = told.select("source_id", "concept_ref", "subject", "names", F.explode_outer("names").alias("name")).withColumn("name", nfc("name"))
+    same = each.join(named.select("name").distinct().withColumn("_same", F.lit(True)), "name", "left")
+    known = base.select(F.col("concept_id").alias("concept_ref"), F.lit(True).alias("_known")).distinct()
+    labelled = same.groupBy("source_id", "subject", "concept_ref", "names").agg(F.bool_or(F.coalesce("_same", F.lit(False))).alias("_same")).join(known, "concept_ref", "left")
+    label = F.when(F.col("_known"), "attach").when(F.col("_same"), "alias").otherwise("admit_new")
+    groups = labelled.groupBy("source_id", "subject").agg(F.min(label).alias("outcome"), F.count_distinct(label).alias("_n"))
+    groups = groups.withColumns({"refusal": F.when(F.col("_n") > 1, "mixed"), "outcome": F.when(F.col("_n") == 1, F.col("outcome"))})
+    holders = each.join(groups.where("outcome = 'alias'").select("source_id", "subject"), ["source_id", "subject"], "left_semi").join(named, "name").groupBy("source_id", "subject").agg(F.array_sort(F.collect_set("concept_id")).alias("_holders"))
+    outcome = F.col("outcome")
+    targets = F.when(outcome == "attach", F.array("subject")).when(outcome == "alias", F.col("_holders")).otherwise(strings)
+    choice = F.when(outcome == "attach", F.concat(F.lit("attach:"), "subject")).when(outcome == "admit_new", F.lit("admit_new"))
+    return groups.join(holders, ["source_id", "subject"], "left").select("source_id", "subject", "outcome", F.when(outcome == "alias", "human").when(outcome.isNotNull(), "auto").alias("resolution"), choice.alias("choice"), targets.alias("targets"), "refusal")
+
+
+def school_conflicts(views: DataFrame, entities: DataFrame, base_views: DataFrame, groups: DataFrame) -> DataFrame:
+    """Subjects about which a new view (source_id, subject, conflict_group_id) disagrees: source_id, subject, pending, targets; a person decides.
+
+    Only views with a conflict group, about a known entity (entity_id), count, and a source's subject comes once. ``pending`` are the base's views (school_view_id, subject) of it, ``targets`` the groups (group_id, member) that
+    one of these is in; both sorted, empty if there are none.
+    """
+    about = views.where("conflict_group_id IS NOT NULL").select("source_id", "subject").distinct().join(entities.select(F.col("entity_id").alias("subject")), "subject", "left_semi")
+    pending = base_views.groupBy("subject").agg(F.array_sort(F.collect_set("school_view_id")).alias("pending"))
+    targets = groups.join(base_views.select(F.col("school_view_id").alias("member"), "subject"), "member").groupBy("subject").agg(F.array_sort(F.collect_set("group_id")).alias("targets"))
+    none = F.array().cast("array<string>")
+    return about.join(pending, "subject", "left").join(targets, "subject", "left").select("source_id", "subject", F.coalesce("pending", none).alias("pending"), F.coalesce("targets", none).alias("targets"))
+
+
 def retired_on_replacement(base: DataFrame, view: DataFrame, modes: DataFrame, key: str, source: str = "source_id") -> DataFrame:
     """Base objects of a replaced source that the new view doesn't have any more."""
     return base.join(modes.where("mode = 'replacement'").select(source), source, "left_semi").join(view.select(key), key, "left_anti")

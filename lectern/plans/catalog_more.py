@@ -191,3 +191,32 @@ def title_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.sha2(scalars.without_headings(F.col("text")), 256).alias("body_sha256"), F.length(scalars.han_only(F.col("text"))).alias("han"), scalars.bare_title(title).alias("title"), scalars.repaired(odd, {"\ue000": "a"}).alias("repaired"), scalars.slug(F.col("lang"), 2).alias("slug"),
         (scalars.present(F.split("text", "")) & (F.length("text") > 0)).alias("present"), text.missing_fields("lang").alias("missing"), text.one_of(F.col("lang"), ["en", "de"]).alias("known"),
     )
+
+
+@query("""WITH m AS (SELECT 's' || (l_linenumber % 3) AS source_id, CASE WHEN l_partkey % 3 = 0 THEN 'co' || (l_partkey % 200) END AS ref, 'n' || (l_suppkey % 150) AS surface FROM lineitem),
+b AS (SELECT DISTINCT 'co' || (p_partkey % 200) AS id, 'n' || (p_partkey % 200) AS name FROM part WHERE p_partkey % 200 < 60),
+e AS (SELECT m.source_id, coalesce(m.ref, m.surface) AS subject, m.surface, n.id AS holder, CASE WHEN i.id IS NOT NULL THEN 'attach' WHEN n.id IS NOT NULL THEN 'alias' ELSE 'admit_new' END AS label FROM m LEFT JOIN b i ON i.id = m.ref LEFT JOIN b n ON n.name = m.surface),
+g AS (SELECT source_id, subject, CASE WHEN count(DISTINCT label) = 1 THEN min(label) END AS outcome, list_sort(list(DISTINCT holder) FILTER (holder IS NOT NULL)) AS holders FROM e GROUP BY source_id, subject)
+SELECT source_id, subject, outcome, CASE WHEN outcome = 'alias' THEN 'human' WHEN outcome IS NOT NULL THEN 'auto' END AS resolution, CASE outcome WHEN 'attach' THEN 'attach:' || subject WHEN 'admit_new' THEN 'admit_new' END AS choice,
+       CASE outcome WHEN 'attach' THEN subject WHEN 'alias' THEN array_to_string(holders, ',') ELSE '' END AS targets, CASE WHEN outcome IS NULL THEN 'mixed' END AS refusal FROM g""")
+def concept_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as ids and suppliers as names of concepts, of which the base has sixty."""
+    none = F.array().cast("array<string>")
+    mentions = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("s"), F.col("l_linenumber") % 3).alias("source_id"), F.when(F.col("l_partkey") % 3 == 0, F.concat(F.lit("co"), F.col("l_partkey") % 200)).alias("concept_ref"), F.concat(F.lit("n"), F.col("l_suppkey") % 150).alias("surface"), none.alias("aliases"))
+    base = table(spark, sf_dir, "part").where("p_partkey % 200 < 60").select(F.concat(F.lit("co"), F.col("p_partkey") % 200).alias("concept_id"), F.concat(F.lit("n"), F.col("p_partkey") % 200).alias("name"), none.alias("aliases")).distinct()
+    return resolution.concept_outcomes(mentions, base).withColumn("targets", F.array_join("targets", ","))
+
+
+@query("""WITH v AS (SELECT DISTINCT 's' || (o_orderkey % 2) AS source_id, o_custkey AS c FROM orders WHERE o_orderkey % 5 = 0)
+SELECT source_id, 'c' || c AS subject, (SELECT count(*) FROM orders WHERE o_custkey = c AND o_orderkey % 3 = 0) AS n_pending, (SELECT count(DISTINCT o_orderpriority) FROM orders WHERE o_custkey = c AND o_orderkey % 3 = 0 AND o_orderkey % 2 = 0) AS n_targets
+FROM v WHERE c % 7 <> 0""")
+def school_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as views of customers, grouped by priority; every seventh customer is no known entity."""
+    name = lambda p, c: F.concat(F.lit(p), c)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", name("c", "o_custkey").alias("subject"), "o_orderpriority")
+    views = o.select(name("s", F.col("o_orderkey") % 2).alias("source_id"), "subject", F.when(F.col("o_orderkey") % 5 == 0, "g").alias("conflict_group_id"))
+    entities = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0").select(name("c", "c_custkey").alias("entity_id"))
+    base = o.where("o_orderkey % 3 = 0").select(name("v", "o_orderkey").alias("school_view_id"), "subject")
+    groups = o.where("o_orderkey % 2 = 0").select(F.col("o_orderpriority").alias("group_id"), name("v", "o_orderkey").alias("member"))
+    found = resolution.school_conflicts(views, entities, base, groups)
+    return found.select("source_id", "subject", F.size("pending").cast("long").alias("n_pending"), F.size("targets").cast("long").alias("n_targets"))

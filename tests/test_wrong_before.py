@@ -104,3 +104,13 @@ def test_drafts_pair_by_evidence_only(spark):
     got = sorted(rows(resolution.compared_drafts(a, b, "id", "spans", "body")), key=repr)
     want = [("a1", "b2", "paired"), ("a2", "b1", "paired"), ("a5", "b5", "partial"), *((x, None, "a_only") for x in ("a3", "a4", "a6")), *((None, x, "b_only") for x in ("b3", "b4", "b6", "b7", "b8"))]
     assert got == sorted(want, key=repr)
+
+
+def test_concepts_attach_alias_admit(spark):
+    base = spark.createDataFrame([("co1", "é", ["b"]), ("co2", "x", None), ("co3", "b", [])], "concept_id string, name string, aliases array<string>")
+    mentions = [("s", "co1", "zz", None), ("s", "co1", "x", None), ("s", None, "e\u0301", None), ("s", None, "new", ["b"]), ("s", None, "other", [None, ""]), ("s", "co9", "x", None), ("s", "co9", "q", None), ("s", None, None, None), ("t", "co8", None, None)]
+    got = resolution.concept_outcomes(spark.createDataFrame(mentions, "source_id string, concept_ref string, surface string, aliases array<string>"), base)
+    assert {(r.source_id, r.subject, r.outcome, r.choice, tuple(r.targets), r.refusal) for r in got.collect()} == {
+        ("s", "co1", "attach", "attach:co1", ("co1",), None), ("s", "e\u0301", "alias", None, ("co1",), None), ("s", "new", "alias", None, ("co1", "co3"), None), ("s", "other", "admit_new", "admit_new", (), None),
+        ("s", "co9", None, None, (), "mixed"), ("t", "co8", "admit_new", "admit_new", (), None),
+    }
