@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from lectern.plans import catalog, catalog_gates, catalog_more, catalog_records, catalog_texts  # noqa: F401
+from lectern.plans import catalog, catalog_gates, catalog_more, catalog_records, catalog_release, catalog_texts  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
