@@ -1,7 +1,8 @@
 """State that ends: reactions whose final state wins, ids that are created once, and runs that leave when they are over.
 
 Each has a form for tables and one for streams. What the stream writes, rebuilt as a table, equals the table form over the same events, in whatever order
-and batches they came. States end by event time, so a replay gives the same. (``transformWithState`` fails while it is planned in Spark 4.1.2 from Python, so states are those of ``applyInPandasWithState``.)
+and batches they came. States end by event time, so a replay gives the same. (``transformWithState`` failed while it was planned in the one setting that was tried, processing time
+with ``foreachBatch`` on Spark 4.1.2; the cause isn't known, and states are those of ``applyInPandasWithState``.)
 """
 
 from __future__ import annotations
