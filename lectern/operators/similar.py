@@ -1,7 +1,8 @@
 """Joins of sets by how much they share, without a join on what everybody has.
 
 Items are ordered from rare to frequent. Two sets that share enough must share an item among the first few of each (the prefix), so only prefixes
-meet; the most frequent items are in the prefix of hardly any set. Equal sets are one set, with all who have it as members.
+meet; the most frequent items are in the prefix of hardly any set. Equal sets are one set, with all who have it as members. Small sets that must share
+two items meet by two at once.
 """
 
 from __future__ import annotations
@@ -12,20 +13,40 @@ from pyspark.sql import functions as F
 from lectern.operators.graph import kept
 
 
+#: Groups of up to so many items that others have too meet by pairs of items; larger ones by prefixes.
+FEW = 16
+
+
 def shared_items(groups: DataFrame, group: str, item: str, least: int = 2) -> DataFrame:
     """Pairs of groups that share ``least`` different items or more: left_id, right_id, shared. Null groups and items pair nothing.
 
-    A group is found by all its items but the ``least - 1`` most frequent ones, so that an item of many groups joins nobody by itself.
+    Groups of ``FEW`` items or less meet by two items at once, so that only those meet which share two: the times that they do tell how many they share.
+    A larger group is found by all its items but the ``least - 1`` most frequent ones, so that an item of many groups joins nobody by itself.
     """
     items = groups.select(F.col(group).alias("id"), F.col(item).alias("item")).where("id IS NOT NULL AND item IS NOT NULL").distinct()
     often = items.groupBy("item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     placed = items.join(often, "item").withColumns({"place": F.row_number().over(Window.partitionBy("id").orderBy("often", "item")), "n": F.count(F.lit(1)).over(Window.partitionBy("id"))})
     placed = kept(placed.where(F.col("n") >= least))
-    prefix = placed.where(F.col("place") <= F.col("n") - (least - 1)).select("id", "item")
-    maybe = prefix.withColumnRenamed("id", "left_id").join(prefix.withColumnRenamed("id", "right_id"), "item").where("left_id < right_id").select("left_id", "right_id").distinct()
+    large = F.col("n") > (FEW if least > 1 else 0)
+    few = _by_two(placed.where(~large), least)
+    if placed.where(large).isEmpty():
+        return few
+    prefix = placed.where(F.col("place") <= F.col("n") - (least - 1)).select("id", "item", large.alias("large"))
+    met = prefix.where("large").select(F.col("id").alias("one"), "item").join(prefix.select(F.col("id").alias("other"), "item"), "item").where("one <> other")
+    maybe = met.select(F.least("one", "other").alias("left_id"), F.greatest("one", "other").alias("right_id")).distinct()
     side = lambda c: placed.select(F.col("id").alias(c), "item")
     counted = maybe.join(side("left_id"), "left_id").join(side("right_id"), ["right_id", "item"]).groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.where(F.col("shared") >= least)
+    return few.unionByName(counted.where(F.col("shared") >= least).select("left_id", "right_id", "shared"))
+
+
+def _by_two(placed: DataFrame, least: int) -> DataFrame:
+    """Pairs of groups that share two items or more: s shared items are s * (s - 1) / 2 shared pairs of items."""
+    listed = placed.groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    twos = F.flatten(F.transform("items", lambda a, i: F.transform(F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    each = listed.select("id", F.explode(twos).alias("two")).select("id", "two.*")
+    pairs = each.withColumnRenamed("id", "left_id").join(each.withColumnRenamed("id", "right_id"), ["a", "b"]).where("left_id < right_id")
+    times = pairs.groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("times"))
+    return times.select("left_id", "right_id", F.round((F.sqrt(F.col("times") * 8 + 1) + 1) / 2).cast("long").alias("shared")).where(F.col("shared") >= least)
 
 
 def _sets(rows: DataFrame, items: str) -> DataFrame:
