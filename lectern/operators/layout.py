@@ -76,11 +76,14 @@ def slot_signs(glyphs: DataFrame, line: str, start: str, size: str, at: str, ext
 
 
 def circle_fit(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Least-squares circle of each group's points from sums of moments: centre, radius and relative residual. Fewer than three points, or points on a line, give nulls."""
+    """Least-squares circle of each group's points from sums of moments: centre, radius and relative residual. Fewer than three points, or points on a line, give nulls.
+
+    Joins are by sorting: points that a plan takes for few, such as generated ones, are never gathered in the driver to be sent to all.
+    """
     a, b = F.col(x).cast("double"), F.col(y).cast("double")
     mean = points.groupBy(group).agg(F.avg(a).alias("_mx"), F.avg(b).alias("_my"))
     u, v = a - F.col("_mx"), b - F.col("_my")
-    s = points.join(mean, group).withColumns({"_u": u, "_v": v})
+    s = points.hint("merge").join(mean.hint("merge"), group).withColumns({"_u": u, "_v": v})
     sums = {f"_{p}{q}": F.sum(F.pow("_u", F.lit(p)) * F.pow("_v", F.lit(q))) for p, q in ((2, 0), (1, 1), (0, 2), (3, 0), (2, 1), (1, 2), (0, 3))}
     m = s.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.first("_mx").alias("_mx"), F.first("_my").alias("_my"), *(c.alias(n) for n, c in sums.items()))
     det = F.col("_20") * F.col("_02") - F.col("_11") * F.col("_11")
@@ -89,8 +92,9 @@ def circle_fit(points: DataFrame, group: str, x: str, y: str) -> DataFrame:
     cu, cv = F.when(ok, (p * F.col("_02") - q * F.col("_11")) / det), F.when(ok, (q * F.col("_20") - p * F.col("_11")) / det)
     circles = m.select(group, "n", (cu + F.col("_mx")).alias("centre_x"), (cv + F.col("_my")).alias("centre_y"), F.sqrt(cu * cu + cv * cv + (F.col("_20") + F.col("_02")) / F.col("n")).alias("radius"))
     off = F.abs(F.hypot(a - F.col("centre_x"), b - F.col("centre_y")) - F.col("radius")) / F.col("radius")
-    residual = points.join(circles, group).groupBy(group).agg(F.avg(off).alias("residual"))
-    return circles.join(residual, group)
+    values = [c for c in circles.columns if c != group]
+    fitted = points.hint("merge").join(circles.hint("merge"), group).groupBy(group).agg(*(F.first(c).alias(c) for c in values), F.avg(off).alias("residual"))
+    return fitted.select(group, *values, "residual")
 
 
 def rare_glyphs(glyphs: DataFrame, common: DataFrame, simplified: DataFrame, least: float = 0.5) -> DataFrame:
