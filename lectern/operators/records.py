@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,17 +106,22 @@ def page_quality(glyphs: DataFrame, page: str = "page") -> DataFrame:
 
 
 def layout_verdict(lines: DataFrame, page: str = "page", pages: DataFrame | None = None) -> DataFrame:
-    """Pages whose layout needs a look: mean confidence, three ratios and the signs that speak against them; at least two must. A page of ``pages`` without lines has the sign ``no_text``."""
-    n = F.count(F.lit(1))
+    """Pages whose layout needs a look: mean confidence, three ratios and the signs that speak against them; at least two must. A page of ``pages`` without lines has the sign ``no_text``.
+
+    Whether a mean is low is told from the exact sum of confidences of twelve decimals, so that it doesn't hang on the order of the lines.
+    """
+    n, conf = F.count(F.lit(1)), F.coalesce("conf", F.lit(0.0)).cast("double")
     share = lambda c: F.count_if(c) / n
     stats = lines.groupBy(page).agg(
-        n.alias("n"), F.avg(F.coalesce("conf", F.lit(0.0))).alias("mean_conf"), share(F.coalesce("conf", F.lit(0.0)) < 0.6).alias("low"),
+        n.alias("n"), F.avg(conf).alias("mean_conf"), F.sum(conf.try_cast("decimal(38,12)")).alias("_sum"), share(conf < 0.6).alias("low"),
         share(F.length(F.trim(F.coalesce("text", F.lit("")))) <= 1).alias("single"), share(F.col("w") >= F.col("h")).alias("flat"),
     )
+    finite = F.abs("mean_conf") < float("inf")  # neither infinite nor NaN
+    dim = F.when(finite, F.col("_sum") < F.col("n") * F.lit(Decimal("0.80"))).otherwise(F.col("mean_conf") < 0.80)
     signs = F.array_compact(F.array(
-        F.when(F.col("low") > 0.20, "low_conf_lines"), F.when(F.col("single") > 0.15, "many_single_char_boxes"), F.when(F.col("flat") > 0.07, "mixed_orientation"), F.when(F.col("mean_conf") < 0.80, "low_mean_conf"),
+        F.when(F.col("low") > 0.20, "low_conf_lines"), F.when(F.col("single") > 0.15, "many_single_char_boxes"), F.when(F.col("flat") > 0.07, "mixed_orientation"), F.when(dim, "low_mean_conf"),
     ))
-    found = stats.withColumn("signals", signs).where(F.size("signals") >= 2)
+    found = stats.withColumn("signals", signs).where(F.size("signals") >= 2).drop("_sum")
     if pages is not None:
         found = found.unionByName(pages.select(page).distinct().join(lines, page, "left_anti").withColumn("signals", F.array(F.lit("no_text"))), allowMissingColumns=True)
     return found
