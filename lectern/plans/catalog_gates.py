@@ -391,13 +391,13 @@ _GOOD = f"WITH {_SCANNED} SELECT count(*) AS n FROM fine WHERE "
 
 
 @query(f"""SELECT "check", CAST(n AS BIGINT) AS n FROM (
-SELECT 'page_accounting' AS "check", (WITH {_SCANNED} SELECT count(DISTINCT page) FROM t WHERE page % 13 <> 5 AND page NOT IN (SELECT page FROM fine) OR page % 13 = 5 AND page % 11 = 3 AND false) AS n
+SELECT 'page_accounting' AS "check", (WITH {_SCANNED} SELECT count(DISTINCT page) FROM t WHERE page % 13 <> 5 AND page NOT IN (SELECT page FROM fine) OR page % 13 = 5 AND page % 11 = 3) AS n
 UNION ALL SELECT 'concat_equals_block', (WITH {_SCANNED} SELECT count(DISTINCT page) FROM fine WHERE page % 23 = 7 OR page % 31 = 9 AND n > 1)
 UNION ALL SELECT 'contiguous_coverage', ({_GOOD} page % 31 = 9 AND n > 1 AND (i = 1))
 UNION ALL SELECT 'strict_offset', ({_GOOD} page % 23 = 7 AND (page % 31 <> 9 OR i > 0 OR n = 1))
 UNION ALL SELECT 'glyphbox_anchors', ({_GOOD} (page % 23 = 7 OR page % 29 = 8 AND length(text) > 0) AND (page % 31 <> 9 OR i > 0 OR n = 1))
-UNION ALL SELECT 'span_identity', (WITH {_SCANNED} SELECT count(DISTINCT page) FROM fine WHERE page % 37 = 10 AND n > 1)
-UNION ALL SELECT 'batch_rules', (WITH {_SCANNED} SELECT count(DISTINCT (page % 7)) FROM fine WHERE page % 41 = 11)
+UNION ALL SELECT 'span_identity', (WITH {_SCANNED} SELECT count(DISTINCT page) FROM fine WHERE page % 37 = 10 AND n > CASE WHEN page % 31 = 9 THEN 2 ELSE 1 END)
+UNION ALL SELECT 'batch_rules', (WITH {_SCANNED} SELECT count(*) FROM (SELECT page % 7 FROM fine WHERE page % 41 = 11 AND (page % 31 <> 9 OR i > 0 OR n = 1) GROUP BY 1 HAVING count(DISTINCT page) > 1 OR count(*) > 3))
 UNION ALL SELECT 'header_counts', (WITH {_SCANNED} SELECT count(DISTINCT page % 7) FROM fine WHERE page % 7 < 3)) WHERE n > 0""")
 def structural_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate over structural spans of which some were tampered with: texts, anchors, ids, batches, a page's first line left out, and counts."""
