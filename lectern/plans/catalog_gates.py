@@ -155,7 +155,7 @@ _G3 = {
     "anchor_offset_mismatch": _SPANS + "conv_id % 13 <> 5 AND conv_id % 19 = 6", "source_id_mismatch": _SPANS + "conv_id % 13 <> 5 AND conv_id % 23 = 7", "content_status_invalid": _SPANS + "conv_id % 29 = 8",
     "dangling_ref": _LINE + "l_orderkey % 31 = 0", "not_consumable": _LINE + "l_orderkey % 31 <> 0 AND l_orderkey % 37 = 0", "ref_type_mismatch": _LINE + "l_orderkey % 31 <> 0 AND l_linenumber = 3",
     "offset_out_of_range": _TURNS + "conv_id % 13 = 5 OR conv_id % 31 = 9", "offset_mismatch": _TURNS + "conv_id % 13 <> 5 AND conv_id % 31 <> 9 AND conv_id % 37 = 10", "quote_hash_mismatch": _TURNS + "conv_id % 43 <> 12 AND (conv_id % 41 = 11)",
-    "quote_hash_not_stored": _TURNS + "conv_id % 43 = 12", "anchor_revision_mismatch": _TURNS + "conv_id % 13 = 5 OR conv_id % 47 = 13", "raw_anchor_mismatch": _TURNS + "conv_id % 37 <> 10 AND conv_id % 53 = 14",
+    "quote_hash_not_stored": _TURNS + "conv_id % 43 = 12", "anchor_revision_mismatch": _TURNS + "conv_id % 13 = 5 OR conv_id % 47 = 13", "raw_anchor_mismatch": _TURNS + "conv_id % 53 = 14 AND CASE WHEN conv_id % 37 = 10 THEN t || '!' ELSE t END <> 'raw'",
     "page_image_hash_mismatch": _LINE + "l_orderkey % 11 <> 3 AND l_linenumber = 1", "line_box_mismatch": _LINE + "l_orderkey % 11 <> 3 AND l_orderkey % 13 = 5", "glyph_box_mismatch": _LINE + "l_orderkey % 11 <> 3 AND (l_linenumber = 4 OR l_orderkey % 13 = 5 OR l_orderkey % 17 = 6)",
     "anchor_out_of_page": _LINE + "l_orderkey % 11 <> 3 AND l_orderkey % 17 = 6", "anchor_field_missing": _LINE + "l_orderkey % 11 = 3", "glyph_text_misaligned": _LINE + "l_orderkey % 11 <> 3 AND l_linenumber = 2",
     "evidence_level_insufficient": _ORD + "o_orderkey % 3 = 1 AND o_orderkey % 7 <> 0", "glyphbox_incomplete": _ORD + "o_orderkey % 3 = 2 AND o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0", "evidence_level_invalid": _ORD + "o_orderkey % 7 = 0",
