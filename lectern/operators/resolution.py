@@ -11,8 +11,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lectern.functions.text import nfc, padded_id
+from lectern.operators.graph import kept
 
 
 def view_modes(views: DataFrame, base: DataFrame, source: str = "source_id", parts: str = "parts") -> DataFrame:
@@ -34,10 +36,18 @@ def candidate_hits(candidates: DataFrame, base: DataFrame, key: str, base_id: st
 
 
 def batch_partners(candidates: DataFrame, key: str, keys_col: str) -> DataFrame:
-    """For each candidate the sorted other candidates of its batch that share a key."""
-    each = candidates.select(key, F.explode(keys_col).alias("_k")).where("_k IS NOT NULL").distinct()
-    pairs = each.join(each.withColumnRenamed(key, "_other"), "_k").where(F.col(key) != F.col("_other")).select(key, "_other").distinct()
-    return pairs.groupBy(key).agg(F.sort_array(F.collect_list("_other")).alias("partners"))
+    """For each candidate the sorted other candidates of its batch that share a key.
+
+    The list of all who have a key of some set is made once for each different set of keys; a candidate takes its set's list without itself. So no pairs
+    travel, only lists; what is returned still grows with the square of the candidates that share a key.
+    """
+    each = candidates.select(F.col(key).alias("_id"), F.explode(keys_col).alias("_k")).where("_id IS NOT NULL AND _k IS NOT NULL").distinct()
+    sets = kept(each.groupBy("_id").agg(F.array_sort(F.collect_list("_k")).alias("_keys")))
+    members = sets.select("_id", F.explode("_keys").alias("_k")).groupBy("_k").agg(F.collect_list("_id").alias("_members"))
+    wanted = sets.select("_keys").distinct().select("_keys", F.explode("_keys").alias("_k"))
+    lists = wanted.join(members, "_k").groupBy("_keys").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_members")))).alias("_all"))
+    others = sets.join(lists, "_keys").select(F.col("_id").alias(key), F.array_remove("_all", F.col("_id")).alias("partners"))
+    return others.where(F.size("partners") > 0)
 
 
 def hit_rule(has_id: Column, bound: Column, consistent: Column, names: Column, rules: Column, partners: Column, partner_waits: Column) -> Column:
