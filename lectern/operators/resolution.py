@@ -242,19 +242,24 @@ def compared_drafts(a: DataFrame, b: DataFrame, key: str, spans: str, body: str)
     items = side(a, "a").unionByName(side(b, "b"))
     counted = items.join(items.groupBy("spans").agg(F.count_if(F.col("lane") == "a").alias("n_a"), F.count_if(F.col("lane") == "b").alias("n_b")), "spans")
 
-    def pair(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = (group[group.lane == x].sort_values("id") for x in "ab")
-        rest = list(zip(right.id, right.body, strict=True))
+    @F.pandas_udf(ArrayType(StructType([StructField("a_id", StringType()), StructField("b_id", StringType())])))
+    def pair(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
-        for i, text in zip(left.id, left.body, strict=True):
-            best = max(range(len(rest)), key=lambda j: (SequenceMatcher(None, text, rest[j][1]).ratio(), -j))
-            out.append((i, rest.pop(best)[0], "paired"))
-        return pd.DataFrame(out, columns=["a_id", "b_id", "status"])
+        for ones, others in zip(left, right, strict=True):
+            rest, found = [(x["id"], x["body"]) for x in others], []
+            for x in ones:
+                best = max(range(len(rest)), key=lambda j: (SequenceMatcher(None, x["body"], rest[j][1]).ratio(), -j)) if len(rest) > 1 else 0
+                found.append((x["id"], rest.pop(best)[0]))
+            out.append(found)
+        return pd.Series(out)
 
-    schema = "a_id string, b_id string, status string"
     counted = counted.withColumn("n_b", F.when(F.size("spans") > 0, F.col("n_b")).otherwise(0))  # what has no evidence meets nothing
     counted = counted.withColumn("n_a", F.when(F.size("spans") > 0, F.col("n_a")).otherwise(0))
-    equal = counted.where("n_a = n_b AND n_a > 0").groupBy("spans").applyInPandas(pair, schema)
+    counted = kept(counted)
+    # Many sets go to Python at once: a call for each would cost more than its work.
+    mine = lambda lane: F.array_sort(F.collect_list(F.when(F.col("lane") == lane, F.struct("id", "body"))))
+    sets = counted.where("n_a = n_b AND n_a > 0").groupBy("spans").agg(mine("a").alias("left"), mine("b").alias("right"))
+    equal = sets.select(F.inline(pair("left", "right"))).withColumn("status", F.lit("paired"))
     uneven = counted.where("n_a <> n_b AND n_a > 0 AND n_b > 0").select(F.when(F.col("lane") == "a", F.col("id")).alias("a_id"), F.when(F.col("lane") == "b", F.col("id")).alias("b_id"), F.lit("split_merge").alias("status"))
     alone = counted.where("n_a = 0 OR n_b = 0").select("lane", "id", "spans")
     each = alone.select("lane", "id", F.explode("spans").alias("span"))
