@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,16 +25,38 @@ def overlap_pairs(groups: DataFrame, group: str, item: str, least: int = 2) -> D
     return shared_items(groups, group, item, least)
 
 
-def ranked_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pairs that agree by any rule, with the best (first) rule that they agree by.
+def linked_classes(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Each row of both sides with its class and its number of links: side, id, class_id, key_0, key_1, ..., links_0, links_1, ...
 
-    Each rule is an equality of two columns. They are joined one by one and united, since a disjunction would become a nested loop. Null keys match nothing.
+    Each rule is an equality of two columns; null keys match nothing. Two rows of different sides are linked if any of their keys are equal, by the first rule whose keys are. ``links_i`` counts
+    the links by rule i. Rows of a side with the same keys are one class, named by its least id: they have the same links, so classes
+    and keys tell every pair, and no pair becomes a row. Links that an earlier rule takes are subtracted by counts of rows that agree by both.
     """
-    hits = None
-    for rank, (a, b) in enumerate(rules):
-        one = left.select(F.col(left_id).alias("left_id"), F.col(a).alias("k")).join(right.select(F.col(right_id).alias("right_id"), F.col(b).alias("k")), "k").select("left_id", "right_id", F.lit(rank).alias("rule"))
-        hits = one if hits is None else hits.unionByName(one)
-    return hits.groupBy("left_id", "right_id").agg(F.min("rule").alias("rule"))
+    names = [f"key_{i}" for i in range(len(rules))]
+
+    def packed(df: DataFrame, id_col: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(F.col(id_col).alias("id"), *(F.col(c).alias(n) for c, n in zip(columns, names, strict=True)))
+        return rows, rows.groupBy(*names).agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("_n"))
+
+    def counted(classes: DataFrame, others: DataFrame) -> DataFrame:
+        for i, last in enumerate(names):
+            terms = []
+            for size in range(i + 1):
+                for some in combinations(names[:i], size):
+                    term = f"_t{i}_{'_'.join(some)}"
+                    agree = others.groupBy(*some, last).agg(F.sum("_n").alias(term))
+                    classes = classes.join(agree, [*some, last], "left")
+                    terms.append(F.coalesce(term, F.lit(0)) * (-1) ** size)
+            classes = classes.withColumn(f"links_{i}", reduce(Column.__add__, terms))
+        return classes.select(*names, "class_id", *(f"links_{i}" for i in range(len(rules))))
+
+    def told(side: str, rows: DataFrame, classes: DataFrame) -> DataFrame:
+        same = reduce(Column.__and__, (F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names))
+        joined = rows.join(classes.withColumnsRenamed({n: f"_{n}" for n in names}), same)
+        return joined.select(F.lit(side).alias("side"), "id", "class_id", *names, *(f"links_{i}" for i in range(len(rules))))
+
+    (a, of_a), (b, of_b) = packed(left, left_id, [x for x, _ in rules]), packed(right, right_id, [y for _, y in rules])
+    return told("left", a, counted(of_a, of_b)).unionByName(told("right", b, counted(of_b, of_a)))
 
 
 def precedence(rows: DataFrame, key: str, verdict: str, ranking: Sequence[str]) -> DataFrame:
