@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.scalars import contains_box
+from lectern.operators.graph import kept
 
 #: A box more than so many slots long spans several characters, one below the second figure holds a stroke, and one further off than the third is out of place.
 OVER, THIN, DRIFT = 1.6, 0.25, 0.6
@@ -44,11 +45,34 @@ def reading_order(rows: DataFrame, group: str, x: str, y: str, key: str, column_
 
 
 def glyphs_in_lines(lines: DataFrame, glyphs: DataFrame, page: str = "page", tolerance: float = 2.0, cell: float = 64.0) -> DataFrame:
-    """Glyphs whose box lies in a line's box, give or take ``tolerance``: page, line_id, glyph_id. They meet in the cells of a grid that a line's box touches, not page by page."""
+    """Glyphs whose box lies in a line's box, give or take ``tolerance``: page, part, line_id, line_no, glyph_id, glyph_no, member.
+
+    Equal boxes of a page are one, named by the least id that has it, and by a number from 1 as an id may have several boxes. Rows of the part ``pair`` say which line's box holds which glyph's; those of the parts ``line`` and
+    ``glyph`` give each ``member`` that has such a box. Copies are never paired with each other. Boxes meet in the cells of a grid that a line's box touches, not page by page.
+    """
+    sides, side = ("x", "y", "w", "h"), {"line": ("line_id", "line_no"), "glyph": ("glyph_id", "glyph_no")}
+
+    def classes(df: DataFrame, part: str) -> tuple[DataFrame, DataFrame]:
+        name, number = side[part]
+        rows = df.select(page, F.col(name).alias("member"), *(F.col(f"box.{n}").alias(n) for n in sides))
+        one = rows.groupBy(page, *sides).agg(F.min("member").alias(name))
+        return rows, one.withColumn(number, F.row_number().over(Window.partitionBy(page, name).orderBy(*sides)))
+
+    (all_lines, one_line), (all_glyphs, one_glyph) = classes(lines, "line"), classes(glyphs, "glyph")
+    box = F.struct(*sides)
     span = lambda a, n: F.sequence(F.floor((a - tolerance) / cell), F.floor((a + n + tolerance) / cell))
-    tall = lines.select(page, "line_id", F.col("box").alias("line_box"), F.explode(span(F.col("box.x"), F.col("box.w"))).alias("_i")).withColumn("_j", F.explode(span(F.col("line_box.y"), F.col("line_box.h"))))
-    placed = glyphs.select(page, "glyph_id", "box", F.floor(F.col("box.x") / cell).alias("_i"), F.floor(F.col("box.y") / cell).alias("_j"))
-    return placed.join(tall, [page, "_i", "_j"]).where(contains_box(F.col("line_box"), F.col("box"), tolerance)).select(page, "line_id", "glyph_id").distinct()
+    tall = one_line.select(page, *side["line"], box.alias("line_box"), F.explode(span(F.col("x"), F.col("w"))).alias("_i")).withColumn("_j", F.explode(span(F.col("line_box.y"), F.col("line_box.h"))))
+    placed = one_glyph.select(page, *side["glyph"], box.alias("glyph_box"), F.floor(F.col("x") / cell).alias("_i"), F.floor(F.col("y") / cell).alias("_j"))
+    met = placed.join(tall, [page, "_i", "_j"]).where(contains_box(F.col("line_box"), F.col("glyph_box"), tolerance))
+    pairs = kept(met.select(page, *side["line"], *side["glyph"], "line_box", "glyph_box"))
+    blank = lambda column: F.lit(None).cast(pairs.schema[column].dataType).alias(column)
+
+    def members(part: str, rows: DataFrame) -> DataFrame:
+        taken = pairs.select(page, f"{part}_box.*", *side[part]).distinct()
+        return rows.join(taken, [page, *sides]).select(page, F.lit(part).alias("part"), *(F.col(c) if p == part else blank(c) for p, names in side.items() for c in names), "member")
+
+    linked = pairs.select(page, F.lit("pair").alias("part"), *side["line"], *side["glyph"], F.lit(None).cast(all_lines.schema["member"].dataType).alias("member"))
+    return linked.unionByName(members("line", all_lines)).unionByName(members("glyph", all_glyphs))
 
 
 def glyphs_of_lines(lines: DataFrame, glyphs: DataFrame, order: str) -> DataFrame:
