@@ -56,10 +56,7 @@ def spans_of_glyphs(glyphs: DataFrame, lines: DataFrame, line_spans: DataFrame,
 VOLATILE = ("_id", "_at", "_time", "_revision")
 
 
-def tree_leaves(text: F.Column, volatile: Sequence[str] = VOLATILE) -> F.Column:
-    """The leaves of a JSON text as an array of (path, value): names joined by dots, list places in brackets. Names that end in one of ``volatile`` are left out with all below; empty lists and objects are leaves. Broken JSON is one leaf, ``!``."""
-    ends = tuple(volatile)
-
+def _leaves(text: str, ends: tuple[str, ...]) -> list[tuple[str, str]]:
     def walk(value, path: str, out: list) -> None:
         if isinstance(value, dict) and value:
             for k in sorted(value):
@@ -69,35 +66,59 @@ def tree_leaves(text: F.Column, volatile: Sequence[str] = VOLATILE) -> F.Column:
             for i, v in enumerate(value):
                 walk(v, f"{path}[{i}]", out)
         else:
-            out.append({"path": path, "value": json.dumps(value, ensure_ascii=False, sort_keys=True)})
-
-    def leaves(t: str | None) -> list | None:
-        if t is None:
-            return None
-        out: list = []
-        try:
-            walk(json.loads(t), "", out)
-        except ValueError:
-            return [{"path": "!", "value": t}]
+            out.append((path, json.dumps(value, ensure_ascii=False, sort_keys=True)))
+
+    out: list = []
+    try:
+        walk(json.loads(text), "", out)
+    except ValueError:
+        return [("!", text)]
+    return out
+
+
+_CHANGES = ArrayType(StructType([StructField(c, StringType()) for c in ("path", "left_value", "right_value", "change")]))
+
+
+def tree_changes(left: F.Column, right: F.Column, volatile: Sequence[str] = VOLATILE) -> F.Column:
+    """Where the leaves of two lists of JSON texts differ, as an array of (path, left_value, right_value, change).
+
+    Leaves have names joined by dots, and list places in brackets. Names that end in one of ``volatile`` are left out with all below; empty lists and objects are leaves. Broken JSON is one leaf, ``!``. Of several
+    texts on a side, each leaf meets each of the other side that has its path.
+    """
+    ends = tuple(volatile)
+
+    def by_path(texts) -> dict[str, list[str]]:
+        out: dict[str, list[str]] = {}
+        for t in texts:
+            for path, value in _leaves(t, ends):
+                out.setdefault(path, []).append(value)
         return out
 
-    @F.pandas_udf(ArrayType(StructType([StructField("path", StringType()), StructField("value", StringType())])))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(leaves)
+    def changes(one, two) -> list[dict]:
+        if one is None or two is None or len(one) == len(two) == 1 and one[0] == two[0]:
+            return []
+        a, b = by_path(one), by_path(two)
+        met = [(p, x, y) for p in a.keys() | b.keys() for x in a.get(p, [None]) for y in b.get(p, [None])]
+        return [{"path": p, "left_value": x, "right_value": y, "change": "right_only" if x is None else "left_only" if y is None else "changed"} for p, x, y in met if x != y]
+
+    @F.pandas_udf(_CHANGES)
+    def run(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([changes(x, y) for x, y in zip(one, two, strict=True)], dtype=object)
 
-    return run(text)
+    return run(left, right)
 
 
 def substitution_report(left: DataFrame, right: DataFrame, key: str, body: str, volatile: Sequence[str] = VOLATILE) -> DataFrame:
     """Where two adapters' outcomes (key, JSON body) differ once ids and times are left out: key, path, left_value, right_value, change.
 
     ``changed``, ``left_only``, ``right_only`` by path, at any depth. A key that only one side has is one row with the path ``$``. Trees that are equal give no rows.
+    Both sides' bodies meet once, by key, before they are taken apart: leaves that are equal never become rows.
     """
-    leaves = lambda df, name: df.select(F.col(key).alias("key"), F.explode(tree_leaves(F.col(body), volatile)).alias("l")).select("key", "l.path", F.col("l.value").alias(name))
-    one, two = left.select(F.col(key).alias("key")).distinct(), right.select(F.col(key).alias("key")).distinct()
-    both = one.join(two, "key")
-    joined = leaves(left, "left_value").join(both, "key", "left_semi").join(leaves(right, "right_value").join(both, "key", "left_semi"), ["key", "path"], "full")
-    change = F.when(F.col("left_value").isNull(), "right_only").when(F.col("right_value").isNull(), "left_only").when(F.col("left_value") != F.col("right_value"), "changed")
-    rows = joined.withColumn("change", change).where("change IS NOT NULL")
-    alone = lambda df, name: df.select("key", F.lit("$").alias("path"), F.lit(None).cast("string").alias("left_value"), F.lit(None).cast("string").alias("right_value"), F.lit(name).alias("change"))
-    return rows.select("key", "path", "left_value", "right_value", "change").unionByName(alone(one.join(two, "key", "left_anti"), "left_only")).unionByName(alone(two.join(one, "key", "left_anti"), "right_only")).withColumnRenamed("key", key)
+    side = lambda df, name: df.select(F.col(key).alias("key"), *(F.when(F.lit(n == name), F.col(body)).alias(n) for n in ("one", "two")), F.lit(name).alias("side"))
+    met = side(left, "one").unionByName(side(right, "two")).groupBy("key").agg(F.collect_list("one").alias("one"), F.collect_list("two").alias("two"), F.array_sort(F.collect_set("side")).alias("sides"))
+    # A null key is on one side only, as it equals no other.
+    both = (F.size("sides") == 2) & F.col("key").isNotNull()
+    none = F.lit(None).cast("string")
+    alone = F.transform("sides", lambda s: F.struct(F.lit("$").alias("path"), none.alias("left_value"), none.alias("right_value"), F.when(s == "one", "left_only").otherwise("right_only").alias("change")))
+    found = met.select("key", both.alias("both"), tree_changes(F.when(both, F.col("one")), F.when(both, F.col("two")), volatile).alias("changes"), alone.alias("alone"))
+    return found.select("key", F.inline(F.when(F.col("both"), F.col("changes")).otherwise(F.col("alone")))).withColumnRenamed("key", key)
