@@ -77,14 +77,42 @@ def similar_sets(left: DataFrame, right: DataFrame, scope: str, items: str, leas
     return whole.withColumn("similarity", similarity).where(F.col("similarity") >= least).select("scope", "left_set", "right_set", "similarity")
 
 
+#: So many sets that begin with one item at most are packed into one row, which sets of the other side are compared with.
+PACK = 512
+
+
+def _met_sets(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """The sets (scope, set) of the right that are similar to one of the left. The left ones that begin with an item are packed into rows, so that a pair of sets is never a row."""
+    each = left.select("scope", F.explode("set").alias("item")).unionAll(right.select("scope", F.explode("set").alias("item")))
+    often = each.groupBy("scope", "item").agg(F.count(F.lit(1)).alias("often"))
+
+    def prefix(sets: DataFrame) -> DataFrame:
+        counted = sets.select("scope", "set", F.explode("set").alias("item")).join(often, ["scope", "item"])
+        ordered = counted.groupBy("scope", "set").agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("order"))
+        n = F.size("set") - F.ceil(F.size("set") * F.lit(least) - 1e-9) + 1
+        return ordered.select("scope", "set", F.explode(F.slice("order", F.lit(1), n.cast("int"))).alias("o")).select("scope", "set", "o.item")
+
+    begun = prefix(left).withColumn("part", F.row_number().over(Window.partitionBy("scope", "item").orderBy("set")).cast("long"))
+    packs = begun.groupBy("scope", "item", F.floor((F.col("part") - 1) / PACK).alias("part")).agg(F.collect_list("set").alias("sets"))
+    n, m = F.size("set"), lambda x: F.size(x)
+    both = lambda x: F.size(F.array_intersect(x, F.col("set")))
+    fits = lambda x: (m(x) >= n * least - 1e-9) & (n >= m(x) * least - 1e-9)
+    alike = F.exists("sets", lambda x: F.when(fits(x), both(x) / (m(x) + n - both(x)) >= least).otherwise(False))
+    return prefix(right).join(packs, ["scope", "item"]).where(alike).select("scope", "set").distinct()
+
+
 def unmatched(a: DataFrame, b: DataFrame, span: str, text_col: str, least: float = 0.6) -> DataFrame:
     """Rows of the second draft that the first doesn't have: no text of it in the same span is made of the same letters, by a Jaccard similarity of ``least``.
 
     Case, white space and punctuation don't count. A text without letters matches nothing; repeated rows stay; null spans match nothing.
+    Sets that both drafts have are matched by that alone; only the others are compared.
     """
     from lectern.functions.text import search_key
 
     letters = lambda df: df.withColumn("_set", F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce(search_key(F.col(text_col)), F.lit("")), ""), lambda c: c != ""))))
     theirs = letters(b)
-    found = similar_sets(letters(a), theirs, span, "_set", least).select(F.col("scope").alias(span), F.col("right_set").alias("_set")).distinct()
+    ours, asked = (kept(df.select(F.col(span).alias("scope"), F.col("_set").alias("set")).where("scope IS NOT NULL AND size(set) > 0").distinct()) for df in (letters(a), theirs))
+    same = asked.join(ours, ["scope", "set"], "left_semi")
+    open_ = kept(asked.join(ours, ["scope", "set"], "left_anti"))
+    found = same.unionByName(_met_sets(ours, open_, least)).select(F.col("scope").alias(span), F.col("set").alias("_set"))
     return theirs.join(found, [span, "_set"], "left_anti").select(*b.columns)
