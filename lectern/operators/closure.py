@@ -24,25 +24,40 @@ def traced_reach(seeds: DataFrame, edges: DataFrame, groups: DataFrame | None =
 
     ``depth`` counts steps between nodes; passing a group is one. ``rule`` is that of the seed, the first in ``SEED_RULES`` (others by name) if several are as near;
     ``via`` says whether the last step was an ``edge`` or a ``group`` (edges first), and is null for seeds. Null ends and members reach nothing.
-    Each round joins the newest nodes only, and ends when there are none.
+    Each round joins the newest nodes only, and ends when there are none. As steps go both ways, a node next to the newest ones is new, one of them, or of the round before; older ones aren't looked at.
+    Edges into nodes that are reached, and members of groups that are entered, are dropped whenever the nodes reached since are a quarter of what is left, so that many rounds don't read all edges each.
     """
     rank = F.coalesce(F.nullif(F.array_position(F.array(*(F.lit(r) for r in SEED_RULES)), F.col("rule")), F.lit(0).cast("long")), F.lit(len(SEED_RULES) + 1))
     best = lambda df: df.groupBy("node").agg(F.min(F.struct("rank", "rule", "way")).alias("b")).select("node", "b.rank", "b.rule", "b.way")
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     both = kept(both)
     members = None if groups is None else kept(groups.select(F.col(group).alias("g"), F.col(member).alias("node")).where("g IS NOT NULL AND node IS NOT NULL").distinct())
+    size = lambda: both.count() + (0 if members is None else members.count())
     frontier = kept(best(seeds.where("node IS NOT NULL").select("node", "rule", rank.alias("rank"), F.lit(None).cast("int").alias("way"))).withColumn("depth", F.lit(0)))
-    seen, depth, entered = frontier, 0, None
-    while not frontier.isEmpty():
+    seen, near, depth, entered, left = frontier, frontier.select("node"), 0, None, size()
+    # What was reached and entered since edges were dropped.
+    reached, passed, newest = near, None, frontier.count()
+    fresh = newest
+    while newest:
+        if fresh * 4 >= left > 0:
+            both = kept(both.join(reached.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst"))
+            members = members if passed is None else kept(members.join(passed, "g", "left_anti").select("g", "node"))
+            reached, passed, fresh, left = None, None, 0, size()
         depth += 1
         found = frontier.join(both, frontier["node"] == both["src"]).select(F.col("dst").alias("node"), "rank", "rule", F.lit(0).alias("way"))
         if members is not None:
-            # A group is entered once: whoever comes later finds all its members reached.
+            # A group is entered once: those who come from it find all its members reached, and nobody comes later.
             into = frontier.join(members, "node").groupBy("g").agg(F.min(F.struct("rank", "rule")).alias("b"))
             into = kept(into if entered is None else into.join(entered, "g", "left_anti"))
-            entered = into.select("g") if entered is None else entered.unionByName(into.select("g"))
+            entered = into.select("g")
+            passed = entered if passed is None else passed.unionByName(entered)
             found = found.unionByName(into.join(members, "g").select("node", "b.rank", "b.rule", F.lit(1).alias("way")))
-        frontier = kept(best(found.join(seen.select("node"), "node", "left_anti")).withColumn("depth", F.lit(depth)))
+        last = frontier.select("node")
+        frontier = kept(best(found.join(near, "node", "left_anti")).withColumn("depth", F.lit(depth)))
+        newest = frontier.count()
+        near = last.unionByName(frontier.select("node"))
+        reached = frontier.select("node") if reached is None else reached.unionByName(frontier.select("node"))
+        fresh += newest
         seen = seen.unionByName(frontier)
     return seen.select("node", "rule", "depth", F.when(F.col("way") == 0, "edge").when(F.col("way") == 1, "group").alias("via"))
 
