@@ -244,9 +244,13 @@ def same_pages(covered: DataFrame, excluded: DataFrame, manifest: DataFrame, pag
 
 
 def bijection_problems(spans: DataFrame, batches: DataFrame, span: str, batch_items: str) -> DataFrame:
-    """Spans in no batch, batch items that are no span, and spans in several batches: key and problem."""
-    items = batches.select(F.explode(batch_items).alias(span))
-    problem = lambda x, name: x.select(span, F.lit(name).alias("problem"))
-    several = items.groupBy(span).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    known = spans.select(span).distinct()
-    return problem(known.join(items, span, "left_anti"), "in_no_batch").unionByName(problem(items.distinct().join(known, span, "left_anti"), "no_span")).unionByName(problem(several, "in_several"))
+    """Spans in no batch, batch items that are no span, and spans in several batches: key and problem.
+
+    Spans and items are counted together, in one grouping: an item is added up where it is read, and nothing is joined. Null equals nothing, so it is a span in no batch and an item that is no span.
+    """
+    counted = lambda x, known, items: x.select(span, F.lit(known).alias("_known"), F.lit(items).alias("_items"))
+    both = counted(spans, 1, 0).unionByName(counted(batches.select(F.explode(batch_items).alias(span)), 0, 1)).groupBy(span).agg(F.max("_known").alias("_known"), F.sum("_items").alias("_items"))
+    null = F.col(span).isNull()
+    alone, strange = (F.col("_known") == 1) & ((F.col("_items") == 0) | null), (F.col("_items") > 0) & ((F.col("_known") == 0) | null)
+    problems = F.array_compact(F.array(F.when(alone, "in_no_batch"), F.when(strange, "no_span"), F.when(F.col("_items") > 1, "in_several")))
+    return both.select(span, F.explode(problems).alias("problem"))
