@@ -62,15 +62,21 @@ def split_pages(transcripts: DataFrame, text_col: str = "text") -> DataFrame:
     return one.select(*rest, F.regexp_extract("_part", r"p\d+", 0).alias("page"), F.regexp_replace("_part", r"^<!--\s*p\d+\s*-->\s*|\s+\z", "").alias("body"))
 
 
-def html_to_text(fragment: Column) -> Column:
-    """Tags away, entities resolved, white space squeezed. Only the entities need Python."""
+#: What ``html.unescape`` takes for a reference.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
-    @F.pandas_udf("string")
-    def unescaped(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: None if t is None else html.unescape(t))
+
+def with_html_text(df: DataFrame, fragment: str, text: str) -> DataFrame:
+    """Adds the text of HTML: tags away, entities resolved, white space squeezed. Only the references to characters go to Python, not the texts that they stand in."""
+
+    @F.pandas_udf("array<string>")
+    def unescaped(references: pd.Series) -> pd.Series:
+        return references.map(lambda xs: None if xs is None else [html.unescape(x) for x in xs])
 
     bare = F.regexp_replace(F.regexp_replace(fragment, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<!--.*?-->|<[^>]*>", " ")
-    return F.trim(F.regexp_replace(unescaped(bare), r"\s+", " "))
+    parts = df.withColumn("_bare", bare).withColumn("_meant", unescaped(F.regexp_extract_all("_bare", F.lit(REFERENCE), F.lit(0))))
+    whole = F.array_join(F.zip_with(F.split("_bare", REFERENCE), "_meant", lambda piece, meant: F.concat(piece, F.coalesce(meant, F.lit("")))), "")
+    return parts.withColumn(text, F.trim(F.regexp_replace(whole, r"\s+", " "))).drop("_bare", "_meant")
 
 
 def epub_sections(data: bytes) -> list[tuple[int, str, str]]:
