@@ -10,14 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.canonical import canonical_json
 from lectern.functions.text import nfc, padded_id
 from lectern.operators.graph import kept
 from lectern.operators.intervals import as_of
-from lectern.operators.recon import table_fingerprint
+from lectern.operators.recon import fingerprint
 from lectern.operators.records import numbered
 
 PROVENANCE = "array<struct<source_id:string,content_sha256:string,content_status:string>>"
@@ -163,6 +163,21 @@ class Rounds(NamedTuple):
     log: list[tuple[int, int, int, int]]
 
 
+def _round_counts(proposals: DataFrame, keys: DataFrame) -> Row:
+    """A round's counts from one look at its rows: n, an order-free mark of its keys, pending ones, those of them that are human or blocked, and those that depend on anything (waiting)."""
+    rows = proposals.join(keys.withColumn("_decided", F.lit(True)), "proposal_key", "left")
+    pending = F.col("resolution").isin("human", "blocked") & F.col("_decided").isNull()
+    counts = {"pending": pending, "human": pending & (F.col("resolution") == "human"), "blocked": pending & (F.col("resolution") == "blocked"), "waiting": pending & (F.size("depends_on") > 0)}
+    return rows.agg(F.count(F.lit(1)).alias("n"), fingerprint(["proposal_key"]).alias("mark"), *(F.count_if(c).alias(name) for name, c in counts.items())).first()
+
+
+def _ready(proposals: DataFrame, keys: DataFrame) -> int:
+    """Number of pending blocked rows of which no row waits for anything that isn't decided."""
+    pending = proposals.where(F.col("resolution").isin("human", "blocked")).join(keys, "proposal_key", "left_anti")
+    waits = pending.select("proposal_key", F.explode("depends_on").alias("on")).join(keys.select(F.col("proposal_key").alias("on")), "on", "left_anti").select("proposal_key").distinct()
+    return pending.where("resolution = 'blocked'").join(waits, "proposal_key", "left_anti").count()
+
+
 def proposal_rounds(propose: Callable[[int], DataFrame], decided: DataFrame, most: int = 10) -> Rounds:
     """Proposes until nothing is pending.
 
@@ -173,20 +188,21 @@ def proposal_rounds(propose: Callable[[int], DataFrame], decided: DataFrame, mos
     log, last = [], None
     keys = kept(decided.select("proposal_key").distinct())
     for number in range(1, most + 1):
-        proposals = kept(propose(number))
-        pending = kept(proposals.where(F.col("resolution").isin("human", "blocked")).join(keys, "proposal_key", "left_anti"))
-        waits = pending.select("proposal_key", F.explode("depends_on").alias("on")).join(keys.select(F.col("proposal_key").alias("on")), "on", "left_anti").select("proposal_key").distinct()
-        ready = pending.where("resolution = 'blocked'").join(waits, "proposal_key", "left_anti").count()
-        counts = pending.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("resolution") == "human").alias("human")).first()
-        mark = tuple(table_fingerprint(proposals.select("proposal_key")).first())
-        log.append((number, int(mark[0]), counts.n, ready))
-        if not counts.n:
+        proposals = kept(propose(number)) if number == most else propose(number)
+        seen = _round_counts(proposals, keys)
+        if number < most and (seen.waiting or not seen.blocked or seen.human or (seen.n, seen.mark) == last):
+            # Rows that are looked at twice or returned are kept, and counted as they are kept.
+            proposals = kept(proposals)
+            seen = _round_counts(proposals, keys)
+        ready = _ready(proposals, keys) if seen.waiting else seen.blocked
+        log.append((number, seen.n, seen.pending, ready))
+        if not seen.pending:
             return Rounds("converged", proposals, log)
-        if counts.human or not ready:
+        if seen.human or not ready:
             return Rounds("awaiting_human", proposals, log)
-        if mark == last:
+        if (seen.n, seen.mark) == last:
             return Rounds("unchanged", proposals, log)
-        last = mark
+        last = seen.n, seen.mark
     return Rounds("too_many", proposals, log)
 
 

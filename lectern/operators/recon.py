@@ -78,10 +78,14 @@ def merge_version(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) ->
     return base.join(incoming.select(*keys).distinct(), list(keys), "left_anti").unionByName(incoming.select(*base.columns))
 
 
+def fingerprint(columns: Sequence[str]) -> Column:
+    """An order-free hash of the columns, as an aggregate."""
+    return F.sum(F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(columns))).cast("decimal(38,0)"))
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-free hash, to compare an incremental table with a full one."""
-    one = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns))).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(one).alias("fingerprint"))
+    return df.agg(F.count(F.lit(1)).alias("n"), fingerprint(df.columns).alias("fingerprint"))
 
 
 def not_comparable(rows: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
