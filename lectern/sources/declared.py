@@ -44,7 +44,7 @@ def _kind(value: Column) -> Column:
 
 
 def _string(value: Column) -> Column:
-    return F.when(_kind(value) == "STRING", F.variant_get(value, "$", "string"))
+    return F.when(F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string"))
 
 
 def _strings(value: Column) -> Column:
@@ -126,10 +126,12 @@ def units(files: DataFrame, prefix: str = "ku_") -> DataFrame:
     one = parsed.groupBy("unit_id").agg(*(F.max(F.when(F.col("file") == f, F.col("json"))).alias(f) for f in UNIT_FILES), *map(count, UNIT_FILES))
     listed = lambda label, test: F.array_join(F.array_compact(F.array(*(F.when(test(f), F.lit(f"{label}:{f}")) for f in UNIT_FILES))), ",")
     named = lambda label, test: F.when(listed(label, test) != "", listed(label, test))
-    unit, assertions = F.try_parse_json("unit"), F.try_parse_json("assertions")
-    items = F.when(_kind(assertions) == "ARRAY", F.variant_get(assertions, "$", "array<variant>"))
-    spans = F.array_distinct(F.flatten(F.transform(items, lambda a: F.coalesce(F.filter(_strings(_at(a, "span_ids")), lambda s: s.isNotNull()), F.array().cast("array<string>")))))
-    problem = F.coalesce(named("missing", lambda f: F.col(f"n_{f}") == 0), named("twice", lambda f: F.col(f"n_{f}") > 1), named("unparsable", lambda f: F.col(f).isNull()), F.when(_false(_string(_at(unit, "unit_id")) == F.col("unit_id")), "identity"), F.when(items.isNull(), "assertions"))
+    # Each text is parsed once, into columns of its own; only arrays can be read as arrays.
+    named_id, items = _string(F.col("_id")), F.col("_items")
+    one = one.withColumn("_id", _at(F.try_parse_json("unit"), "unit_id")).withColumn("_items", F.try_variant_get(F.try_parse_json("assertions"), "$", "array<variant>"))
+    ids = lambda a: F.filter(F.transform(F.try_variant_get(a, "$.span_ids", "array<variant>"), _string), lambda s: s.isNotNull())
+    spans = F.array_distinct(F.flatten(F.transform(items, lambda a: F.coalesce(ids(a), F.array().cast("array<string>")))))
+    problem = F.coalesce(named("missing", lambda f: F.col(f"n_{f}") == 0), named("twice", lambda f: F.col(f"n_{f}") > 1), named("unparsable", lambda f: F.col(f).isNull()), F.when(_false(named_id == F.col("unit_id")), "identity"), F.when(items.isNull(), "assertions"))
     return one.select("unit_id", "provenance", "assertions", spans.alias("span_ids"), problem.alias("problem"))
 
 
