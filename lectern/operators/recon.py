@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.similar import shared_items
+from lectern.operators.similar import one_row_each, packs, shared_items
 
 
 def lanes_agree(a: DataFrame, b: DataFrame, key: str, body: str) -> DataFrame:
@@ -25,6 +25,28 @@ def overlap_pairs(groups: DataFrame, group: str, item: str, least: int = 2) -> D
     return shared_items(groups, group, item, least)
 
 
+def ranked_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pairs that agree by any rule, with the best (first) rule that they agree by: left_id, right_id, rule.
+
+    Each rule is an equality of two columns; null keys match nothing. Rules are joined one by one, since a disjunction would become a nested loop, and a pair that an earlier rule has is left out.
+    Rows meet in packs, which are dealt out by key and pack, so that no key is one task's; a pair is a row only where it is returned, unless an id has several rows.
+    """
+    names = [f"key_{i}" for i in range(len(rules))]
+    a = left.select(F.col(left_id).alias("id"), *(F.col(c).alias(n) for n, (c, _) in zip(names, rules, strict=True)))
+    b = right.select(F.col(right_id).alias("id"), *(F.col(c).alias(n) for n, (_, c) in zip(names, rules, strict=True)))
+    many = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = []
+    for i, key in enumerate(names):
+        x, y = (packs(side, [key], F.struct("id", *names[:i])).withColumnRenamed("items", name) for side, name in ((a, "xs"), (b, "ys")))
+        met = x.join(y, key).repartition(many, key, F.col("xs")[0], F.col("ys")[0])
+        each = met.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+        for n in names[:i]:
+            each = each.where(~F.coalesce(F.col(f"x.{n}") == F.col(f"y.{n}"), F.lit(False)))
+        hits.append(each.select(F.col("x.id").alias("left_id"), F.col("y.id").alias("right_id"), F.lit(i).alias("rule")))
+    united = reduce(DataFrame.unionByName, hits)
+    return united if one_row_each(a, "id") and one_row_each(b, "id") else united.groupBy("left_id", "right_id").agg(F.min("rule").alias("rule"))
+
+
 def linked_classes(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Each row of both sides with its class and its number of links: side, id, class_id, key_0, key_1, ..., links_0, links_1, ...
 

@@ -7,7 +7,10 @@ two items meet by two at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.graph import kept
@@ -77,10 +80,22 @@ def similar_sets(left: DataFrame, right: DataFrame, scope: str, items: str, leas
     return whole.withColumn("similarity", similarity).where(F.col("similarity") >= least).select("scope", "left_set", "right_set", "similarity")
 
 
-#: So many sets that begin with one item at most are packed into one row, which sets of the other side are compared with.
+#: So many sets that begin with one item, or items of one key, at most are packed into one row, which sets or packs of the other side meet.
 PACK = 512
 
 
+def packs(rows: DataFrame, keys: Sequence[str], item: Column) -> DataFrame:
+    """Items of equal keys in sorted lists of at most ``PACK``: the keys, items. Rows without a key are left out."""
+    placed = rows.where(reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))).select(*keys, item.alias("item"))
+    numbered = placed.withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("item")).cast("long"))
+    return numbered.groupBy(*keys, F.floor((F.col("part") - 1) / PACK).alias("part")).agg(F.sort_array(F.collect_list("item")).alias("items")).drop("part")
+
+
+def one_row_each(rows: DataFrame, *ids: str) -> bool:
+    """Whether no two rows have the same ids."""
+    return rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def _met_sets(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """The sets (scope, set) of the right that are similar to one of the left. The left ones that begin with an item are packed into rows, so that a pair of sets is never a row."""
     each = left.select("scope", F.explode("set").alias("item")).unionAll(right.select("scope", F.explode("set").alias("item")))
