@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scalars import contains_box
 from lectern.operators.graph import kept
+from lectern.operators.similar import packs
 
 #: A box more than so many slots long spans several characters, one below the second figure holds a stroke, and one further off than the third is out of place.
 OVER, THIN, DRIFT = 1.6, 0.25, 0.6
@@ -75,6 +76,28 @@ def glyphs_in_lines(lines: DataFrame, glyphs: DataFrame, page: str = "page", tol
     return linked.unionByName(members("line", all_lines)).unionByName(members("glyph", all_glyphs))
 
 
+def boxed_glyphs(lines: DataFrame, glyphs: DataFrame, page: str = "page", tolerance: float = 2.0, cell: float = 64.0) -> DataFrame:
+    """Every glyph that has a box in a line's box, give or take ``tolerance``: page, line_id, glyph_id, once each.
+
+    Ids of a page that have the same boxes are packed into lists; packs meet in the cells of a grid that a line's box touches, not page by page, are paired once however many of their boxes
+    meet, and dealt out. So a pair of ids is a row only where it is returned.
+    """
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        boxes = df.groupBy(page, F.col(name).alias("id")).agg(F.array_sort(F.collect_set("box")).alias("boxes"))
+        return packs(boxes, [page, "boxes"], F.col("id")).select(page, F.col("items").alias(f"{name}s"), F.col("items")[0].alias(name), F.explode("boxes").alias(f"{name}_box"))
+
+    span = lambda a, n: F.sequence(F.floor((a - tolerance) / cell), F.floor((a + n + tolerance) / cell))
+    line, glyph = F.col("line_id_box"), F.col("glyph_id_box")
+    tall = packed(lines, "line_id").withColumn("_i", F.explode(span(line["x"], line["w"]))).withColumn("_j", F.explode(span(line["y"], line["h"])))
+    placed = packed(glyphs, "glyph_id").withColumns({"_i": F.floor(glyph["x"] / cell), "_j": F.floor(glyph["y"] / cell)})
+    met = placed.join(tall, [page, "_i", "_j"]).where(contains_box(line, glyph, tolerance))
+    once = [page, "line_id", "glyph_id"]
+    many = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = met.select(*once, "line_ids", "glyph_ids").repartition(many, *once).dropDuplicates(once)
+    return dealt.select(page, F.explode("line_ids").alias("line_id"), "glyph_ids").select(page, "line_id", F.explode("glyph_ids").alias("glyph_id"))
+
+
 def glyphs_of_lines(lines: DataFrame, glyphs: DataFrame, order: str) -> DataFrame:
     """Lines with the glyphs that name them as parent, in order; lines without any have an empty list."""
     listed = glyphs.groupBy(F.col("parent").alias("line_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct(order, "glyph_id"))), lambda g: g["glyph_id"]).alias("glyph_ids"))

@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.similar import one_row_each, packs, shared_items
+from lectern.operators.similar import packs, shared_items
 
 
 def lanes_agree(a: DataFrame, b: DataFrame, key: str, body: str) -> DataFrame:
@@ -44,7 +44,8 @@ def ranked_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: st
             each = each.where(~F.coalesce(F.col(f"x.{n}") == F.col(f"y.{n}"), F.lit(False)))
         hits.append(each.select(F.col("x.id").alias("left_id"), F.col("y.id").alias("right_id"), F.lit(i).alias("rule")))
     united = reduce(DataFrame.unionByName, hits)
-    return united if one_row_each(a, "id") and one_row_each(b, "id") else united.groupBy("left_id", "right_id").agg(F.min("rule").alias("rule"))
+    several = a.groupBy("id").count().unionAll(b.groupBy("id").count()).where("count > 1")
+    return united if several.isEmpty() else united.groupBy("left_id", "right_id").agg(F.min("rule").alias("rule"))
 
 
 def linked_classes(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: Sequence[tuple[str, str]]) -> DataFrame:

@@ -85,15 +85,10 @@ PACK = 512
 
 
 def packs(rows: DataFrame, keys: Sequence[str], item: Column) -> DataFrame:
-    """Items of equal keys in sorted lists of at most ``PACK``: the keys, items. Rows without a key are left out."""
+    """Items of equal keys in sorted lists of at most ``PACK``: the keys, items. Rows without a key are left out; null items stay."""
     placed = rows.where(reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))).select(*keys, item.alias("item"))
     numbered = placed.withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("item")).cast("long"))
-    return numbered.groupBy(*keys, F.floor((F.col("part") - 1) / PACK).alias("part")).agg(F.sort_array(F.collect_list("item")).alias("items")).drop("part")
-
-
-def one_row_each(rows: DataFrame, *ids: str) -> bool:
-    """Whether no two rows have the same ids."""
-    return rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    return numbered.groupBy(*keys, F.floor((F.col("part") - 1) / PACK).alias("part")).agg(F.sort_array(F.collect_list(F.struct("item")))["item"].alias("items")).drop("part")
 
 
 def _met_sets(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
